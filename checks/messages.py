@@ -105,7 +105,10 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compressed_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of all users squeezed in time, so that windows hold several of them."""
-    events = events_table(spark, sf_dir)
+    return compressed_clock_rows(events_table(spark, sf_dir))
+
+
+def compressed_clock_rows(events: DataFrame) -> DataFrame:
     millis = F.floor(micros() / 1000)
     squeezed = EPOCH_MS + F.floor((millis - EPOCH_MS) / CLOCK_FACTOR)
     return events.select(

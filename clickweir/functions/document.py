@@ -34,52 +34,57 @@ def document_map(value: Column) -> Column:
     """All top-level keys with their values as text.
 
     A key that occurs twice keeps both entries, in document order; read it
-    through ``last_entry``/``lookup``, never through ``map[key]``.
+    through ``last_entry``, never through ``map[key]``.
     """
     return F.from_json(value, "map<string,string>")
 
 
-def last_entry(document: Column, matches) -> Column:
-    """Text of the last non-null entry whose key satisfies ``matches``."""
+def last_entry(document: Column, key: str) -> Column:
+    """Text of the last non-null entry of ``key`` in a ``document_map``."""
     hits = F.filter(
         F.map_entries(document),
-        lambda entry: matches(entry["key"]) & null_text(entry["value"]).isNotNull(),
+        lambda entry: (entry["key"] == key) & null_text(entry["value"]).isNotNull(),
     )
     return F.try_element_at(hits, F.lit(_NEGATIVE_ONE))["value"]
 
 
-def lookup(document: Column, key: str, fold_case: bool = False) -> Column:
-    """Value text of ``key``: the last non-null occurrence.
+def spelled_key(keys: Column, name: str) -> Column:
+    """How a document spells an unquoted SQL name, given its keys.
 
-    ``fold_case`` adds the SQL rule for unquoted names: the exact key if the
-    document has it (even as null), otherwise any key equal to it in upper case.
+    The upper-case name if the document has it, otherwise the last key equal to it
+    in upper case, otherwise NULL.
     """
-    exact = last_entry(document, lambda name: name == key)
-    if not fold_case:
-        return exact
-    folded = last_entry(document, lambda name: F.upper(name) == key)
-    present = F.exists(F.map_keys(document), lambda name: name == key)
-    return F.when(present, exact).otherwise(folded)
+    upper = name.upper()
+    variants = F.filter(keys, lambda key: F.upper(key) == upper)
+    return F.when(F.array_contains(keys, upper), F.lit(upper)).otherwise(
+        F.try_element_at(variants, F.lit(_NEGATIVE_ONE))
+    )
+
+
+def extendable(value: Column) -> Column:
+    """True for the text of exactly one JSON object, up to surrounding blanks."""
+    # '}{' inside a string is harmless, between two documents it is not
+    single = ~value.rlike(r"\}\s*\{") | F.try_parse_json(value).isNotNull()
+    return is_document(value) & F.rtrim(value).endswith("}") & single
 
 
-def extend_document(value: Column, added: Column) -> Column:
+def extend_document(value: Column, added: Column, checked: bool = False) -> Column:
     """Append the entries of ``added`` to a JSON object, as text.
 
     Known and unknown fields keep their types, order and spelling. On a key
     conflict the document ends up with both and every reader here takes the
-    last, i.e. the added one. NULL where the text is not a single JSON object.
+    last, i.e. the added one. NULL where the text is not ``extendable``; with
+    ``checked`` the caller has filtered on that already.
     """
     body = F.rtrim(value)
-    # '}{' inside a string is harmless, between two documents it is not
-    single = ~value.rlike(r"\}\s*\{") | F.try_parse_json(value).isNotNull()
-    tail = F.substring(F.to_json(added), 2, 2**31 - 1)
     head = F.substring(body, F.lit(1), F.length(body) - 1)
+    tail = F.substring(F.to_json(added), 2, 2**31 - 1)
     joined = (
         F.when(F.size(F.map_keys(added)) == 0, value)
-        .when(F.size(F.json_object_keys(value)) == 0, F.to_json(added))
+        .when(value.rlike(r"^\s*\{\s*\}\s*$"), F.to_json(added))
         .otherwise(F.concat(head, F.lit(","), tail))
     )
-    return F.when(is_document(value) & body.endswith("}") & single, joined)
+    return joined if checked else F.when(extendable(value), joined)
 
 
 def number_spelling(value: Column, key: Column, text: Column) -> Column:

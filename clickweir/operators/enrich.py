@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweir.functions import decisions
-from clickweir.functions.document import extend_document
+from clickweir.functions.document import extend_document, extendable
 from clickweir.operators.parse import parse_events
 
 # Payload fields of a click event.
@@ -59,14 +59,18 @@ def extended_documents(
     load_test_marker: str = LOAD_TEST_MARKER,
     extra_fields: ExtraFields | None = None,
     match: str = "exact",
+    skip_rejects: bool = False,
 ) -> DataFrame:
     """Envelopes whose documents carry the added fields: ``rowkey, value`` plus
     the envelope's partition, offset and timestamp.
 
     ``extra_fields`` maps further names to functions returning a BIGINT column
     over the parsed event (a category classifier, for instance). Payloads that
-    are not documents come back with a NULL value; see ``parse.rejects``.
+    are not documents come back with a NULL value, or are left out by
+    ``skip_rejects``; ``parse.rejects`` tells about them.
     """
+    if skip_rejects:
+        messages = messages.where(extendable(F.col("value")))
     events = parse_events(
         messages, EVENT_COLUMNS, match=match, document="_document"
     )
@@ -76,7 +80,9 @@ def extended_documents(
         entries += [F.lit(name), F.col(name)]
     for name, make in (extra_fields or {}).items():
         entries += [F.lit(name), make().cast("bigint")]
-    value = extend_document(F.col("_document"), F.create_map(*entries))
+    value = extend_document(
+        F.col("_document"), F.create_map(*entries), checked=skip_rejects
+    )
     return full.select(
         "rowkey", value.alias("value"), "partition", "offset", "timestamp"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickweir.functions.coerce import coerce
-from clickweir.functions.document import document_map, lookup, reject_reason
+from clickweir.functions.document import is_document, reject_reason, spelled_key
 from clickweir.functions.text import null_text
 
 MATCH_RULES = ("exact", "sql")
@@ -71,25 +71,13 @@ def parse_events(
         kept.append(F.col("value").alias(document))
     held = list(keep) + [name for name in (rowkey, document) if name]
     raw = [f"_raw_{position}" for position in range(len(names))]
+    source = messages.select(*kept, F.col("value").alias("_text"))
     if match == "exact":
-        source = only_documents(messages) if skip_rejects else messages
-        texts = extract_fields(
-            source.select(*kept, F.col("value").alias("_text")),
-            dict(zip(raw, names)),
-            held,
-            "_text",
-        )
-    else:
-        whole = messages.select(*kept, document_map(F.col("value")).alias("_map"))
         if skip_rejects:
-            whole = whole.where(F.col("_map").isNotNull())
-        texts = whole.select(
-            *held,
-            *[
-                lookup(F.col("_map"), name.upper(), fold_case=True).alias(alias)
-                for alias, name in zip(raw, names)
-            ],
-        )
+            source = source.where(is_document(F.col("_text")))
+        texts = extract_fields(source, dict(zip(raw, names)), held, "_text")
+    else:
+        texts = _extract_sql_names(source, dict(zip(raw, names)), held, skip_rejects)
     overrides = types or {}
     return texts.select(
         *held,
@@ -104,9 +92,35 @@ def parse_events(
     )
 
 
+def _extract_sql_names(
+    source: DataFrame, wanted: Mapping[str, str], held: Sequence[str], skip_rejects: bool
+) -> DataFrame:
+    """``extract_fields`` with the spelling of each name looked up per document.
+
+    A first pass lists the keys, a second reads the values. Both are done once per
+    row: nothing can be pushed through the generator that makes the values.
+    """
+    spelled = source.withColumn("_keys", F.json_object_keys("_text"))
+    if skip_rejects:
+        spelled = source.where(is_document(F.col("_text"))).withColumn(
+            "_keys", F.json_object_keys("_text")
+        )
+    keys = [f"_key_{position}" for position in range(len(wanted))]
+    named = spelled.select(
+        *held,
+        "_text",
+        *[
+            spelled_key(F.col("_keys"), name).alias(key)
+            for key, name in zip(keys, wanted.values())
+        ],
+    )
+    values = F.call_function("json_tuple", F.col("_text"), *[F.col(key) for key in keys])
+    return named.select(*held, values.alias(*wanted))
+
+
 def only_documents(messages: DataFrame) -> DataFrame:
     """Messages whose payload is a JSON object; the rest is skipped."""
-    return messages.where(F.json_object_keys("value").isNotNull())
+    return messages.where(is_document(F.col("value")))
 
 
 def rejects(messages: DataFrame, include_value: bool = False) -> DataFrame:

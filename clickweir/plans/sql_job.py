@@ -16,8 +16,9 @@ SQL_FUNCTIONS = {
         RETURN CASE
           WHEN json_object_keys(document) IS NULL THEN NULL
           WHEN NOT endswith(rtrim(document), '}') THEN NULL
+          WHEN document RLIKE '[}]\\s*[{]' AND try_parse_json(document) IS NULL THEN NULL
           WHEN size(added) = 0 THEN document
-          WHEN size(json_object_keys(document)) = 0 THEN to_json(added)
+          WHEN document RLIKE '^\\s*[{]\\s*[}]\\s*$' THEN to_json(added)
           ELSE concat(left(rtrim(document), length(rtrim(document)) - 1), ',',
                       substring(to_json(added), 2))
         END""",

@@ -107,7 +107,7 @@ def _mapped_cell(
 ) -> Column:
     key = F.lit(item.key)
     if not item.hashed:
-        return number_spelling(value, key, last_entry(document, lambda k: k == item.key))
+        return number_spelling(value, key, last_entry(document, item.key))
     entries = F.filter(F.map_entries(document), lambda entry: entry["key"] == item.key)
     last = F.try_element_at(entries, F.lit(-1))
     text = F.when(last.isNotNull(), F.coalesce(last["value"], F.lit("null")))

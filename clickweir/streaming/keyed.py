@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 BATCH = "change_batch"
 
@@ -42,15 +42,16 @@ def start_keyed(
 
 
 def read_keyed(
-    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]
+    spark: SparkSession, path: str, schema: StructType | str, keys: Sequence[str]
 ) -> DataFrame:
     """The current table: per key the row of its latest change.
 
     One aggregation over the log with map-side combine.
     """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     values = [name for name in schema.fieldNames() if name not in keys]
     log = spark.read.schema(
-        StructType(schema.fields).add(BATCH, LongType())
+        StructType([*schema.fields, StructField(BATCH, LongType())])
     ).parquet(path)
     latest = log.groupBy(*keys).agg(
         F.max_by(F.struct(*values), F.col(BATCH)).alias("_row")
@@ -65,7 +66,7 @@ def compact_keyed(
     spark: SparkSession,
     path: str,
     target: str,
-    schema: StructType,
+    schema: StructType | str,
     keys: Sequence[str],
 ) -> None:
     """Fold the log at ``path`` into a fresh one-batch log at ``target``.

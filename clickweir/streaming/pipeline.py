@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from clickweir.operators.enrich import LOAD_TEST_MARKER, extended_documents
 from clickweir.operators.features import cookie_features
@@ -32,12 +31,12 @@ WINDOW_COLUMNS = "eid int, uid int, _server_time bigint, _ua_is_test int"
 DOCUMENT_TOPIC = "CLICKSTREAM_CORE"
 WINDOW_TOPIC = "CLICKSTREAM_COOKIES"
 
-WINDOW_SCHEMA = StructType.fromDDL(
+WINDOW_SCHEMA = (
     "rowkey string, agg_time bigint, u string, is_logged_in int, cnt_pixel bigint, "
     "cnt_item_view bigint, cnt_phone_view bigint, cnt_app_item bigint, "
     "cnt_app_call bigint"
 )
-FEATURE_SCHEMA = StructType.fromDDL(
+FEATURE_SCHEMA = (
     "u string, agg_time bigint, has_pixel boolean, has_ctr_broken boolean, "
     "has_frontback_iv_broken boolean, has_frontback_ph_broken boolean"
 )
@@ -67,7 +66,7 @@ class Stages:
 
 def document_envelope(documents: DataFrame, topic: str = DOCUMENT_TOPIC) -> DataFrame:
     """Extended documents as messages again: keyed by row key, same position."""
-    return documents.where(F.col("value").isNotNull()).select(
+    return documents.select(
         F.col("rowkey").alias("key"),
         "value",
         F.lit(topic).alias("topic"),
@@ -94,7 +93,9 @@ def start_documents(
     """Stage 1: enrich and store documents. Stateless, appended exactly once."""
     if fallback_time is None:
         fallback_time = F.unix_millis("timestamp")
-    documents = extended_documents(messages, fallback_time, load_test_marker)
+    documents = extended_documents(
+        messages, fallback_time, load_test_marker, skip_rejects=True
+    )
     return (
         document_envelope(documents)
         .writeStream.format("parquet")
@@ -175,9 +176,8 @@ def start_topic_writer(
 ) -> StreamingQuery:
     """Publish documents to a topic, keyed by row key so that each key stays in one
     partition. ``options`` from ``sources.kafka``; needs the connector package."""
-    rows = documents.where(F.col("value").isNotNull())
     return (
-        rows.select(F.col("rowkey").alias("key"), "value")
+        documents.select(F.col("rowkey").alias("key"), "value")
         .writeStream.format("kafka")
         .options(**options)
         .option("topic", topic)
