@@ -114,10 +114,13 @@ def _core_stream_spec() -> StreamSpec:
 
 
 def _core_messages(spark, sf_dir):
+    """Extended documents, stored between the jobs as they are in a topic."""
+    folder = fresh_folder(spark, "documents")
     documents = enrich.extended_documents(
         m.clickstream(spark, sf_dir), no_clock(), skip_rejects=True
     )
-    return pipeline.document_envelope(documents)
+    pipeline.document_envelope(documents).write.parquet(folder)
+    return read_replay(spark, folder)
 
 
 def declared_stream(spark, sf_dir):

@@ -17,6 +17,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clickweir.functions.text import is_true_word
+
 MODES = ("strict", "number", "prefix", "append")
 
 # Logical type -> Spark type that can hold every value of it.
@@ -91,7 +93,7 @@ def coerce(text: Column, type_name: str, mode: str = "strict") -> Column:
         return F.trim(text).try_cast(stored)
     if mode == "append":
         one = F.lit(1).cast(stored)
-        number = F.when((number == 0) & text.isin("t", "true", "on"), one).otherwise(number)
+        number = F.when((number == 0) & is_true_word(text), one).otherwise(number)
     return number
 
 
