@@ -201,41 +201,48 @@ def hash_sql(texts: str) -> str:
     """Hashes of the column ``text`` of a query, block by block, in wrapping 64 bits.
 
     A recursive step adds one 24-byte block and mixes; the mixing is a tower of
-    subqueries, one per step, that rotate the three words.
+    subqueries, one per step, that rotate the three words. The last, partial block
+    (possibly empty) counts the length and moves its third word up by a byte.
     """
     shifts = (43, -9, 8, 38, -23, 5, 35, -49, 11, 12, -18, 22)
     modulus = "18446744073709551616::hugeint"
 
     def word(number: int) -> str:
-        at = f"1 + 48 * block + {16 * number}"
         return " + ".join(
-            f"(('0x' || substr(hx, {at} + {2 * i}, 2))::hugeint << {8 * i})"
+            f"(('0x' || substr(hx, {1 + 16 * number + 2 * i}, 2))::hugeint << {8 * i})"
             for i in range(8)
         )
 
     inner = f"""
-      select text, hx, len, blocks, block + 1 as block,
-        (a + {word(0)}) % {modulus} as x, (b + {word(1)}) % {modulus} as y,
-        (c + case when block < blocks then {word(2)}
-             else (({word(2)}) << 8) % {modulus} + len end) % {modulus} as z
-      from steps where block <= blocks"""
+      select s.id, s.block + 1 as block,
+        (a + w0) % {modulus} as x, (b + w1) % {modulus} as y, (c + w2) % {modulus} as z
+      from steps s join words w on w.id = s.id and w.block = s.block"""
     for shift in shifts:
         moved = f"z >> {shift}" if shift > 0 else f"(z << {-shift}) % {modulus}"
         inner = f"""
-      select text, hx, len, blocks, block, y as x, z as y,
+      select id, block, y as x, z as y,
         xor((x - y - z + 2 * {modulus}) % {modulus}, {moved}) as z
       from ({inner})"""
     return f"""
-  texts as (select distinct text from ({texts}) t where text is not null),
+  texts as materialized (
+    select row_number() over () as id, text, hex(encode(text)) as hx,
+      octet_length(encode(text)) as len, octet_length(encode(text)) // 24 as blocks
+    from (select distinct text from ({texts}) t where text is not null) d),
+  pieces as (
+    select id, len, blocks, block, rpad(substr(hx, 1 + 48 * block, 48), 48, '0') as hx
+    from (select *, unnest(range(blocks + 1)) as block from texts) cut),
+  words as materialized (
+    select id, block, {word(0)} as w0, {word(1)} as w1,
+      case when block < blocks then {word(2)}
+           else (({word(2)}) << 8) % {modulus} + len end as w2 from pieces),
   steps as (
-    select text, rpad(hex(encode(text)), 48 * (octet_length(encode(text)) // 24 + 1)::int, '0') as hx,
-      octet_length(encode(text))::hugeint as len, octet_length(encode(text)) // 24 as blocks,
-      0::bigint as block, 200::hugeint as a, 200::hugeint as b,
-      {modulus} - 7046029254386353133::hugeint as c
-    from texts
+    select id, 0::bigint as block, 200::hugeint as a, 200::hugeint as b,
+      {modulus} - 7046029254386353133::hugeint as c from texts
     union all
-    select text, hx, len, blocks, block, x as a, y as b, z as c from ({inner})),
-  hashes as (select text, (c >> 1)::bigint as hash from steps where block > blocks)"""
+    select id, block, x as a, y as b, z as c from ({inner})),
+  hashes as (
+    select text, (c >> 1)::bigint as hash
+    from steps join texts using (id) where block > blocks)"""
 
 
 def _with(ctes: str, body: str, recursive: bool = False) -> str:
@@ -489,6 +496,11 @@ from fx left join hashes u on u.text = fx.uuid left join hashes a on a.text = fx
   left join hashes c on c.text = cast(fx.cid as varchar)""",
         recursive=True,
     )
+    sql["hash_documents"] = _with(
+        hash_sql("select text from documents").lstrip(),
+        "select doc_id, hash as text_hash from documents left join hashes using (text)",
+        recursive=True,
+    )
     sql["orc_roundtrip"] = _with(
         FX,
         """select cast(src_id as bigint) as src_id, cast(src as bigint) as src, uuid,
@@ -543,6 +555,7 @@ where session_end <= (select max(server_time) from counted) - 60000""",
   event_id as "offset" from (select * replace (
     case when dtm > 0 or dt > 0 then server_time else ms end as server_time) from core) c""",
     )
+    sql["stream_rejects"] = sql["parse_rejects"]
     late = "event_id % 10 = 9"
     sql["stream_late_drop"] = _with(
         FAST,

@@ -53,7 +53,10 @@ def core_extend_json(spark, sf_dir):
 
 
 def core_rekey(spark, sf_dir):
-    return enrich.rekey(core_extend_json(spark, sf_dir))
+    folder = fresh_folder(spark, "rekeyed")
+    rows = enrich.rekey(core_extend_json(spark, sf_dir), buckets=8)
+    rows.write.partitionBy("key_bucket").parquet(folder)
+    return spark.read.parquet(folder).select("offset", "rowkey", "value")
 
 
 def core_extend_json_messy(spark, sf_dir):
@@ -451,12 +454,12 @@ def stream_append_panes(spark, sf_dir):
 
 def stream_update_upsert(spark, sf_dir):
     rows = windows.hopping_counters(_stream_counted(spark, sf_dir))
-    return _keyed_sink(rows, spark, "upsert", ["rowkey", "agg_time"])
+    return _keyed_sink(rows, spark, "upsert", pipeline.WINDOW_KEYS)
 
 
 def stream_tumbling(spark, sf_dir):
     rows = windows.tumbling_counters(_stream_counted(spark, sf_dir))
-    return _keyed_sink(rows, spark, "tumbling", ["rowkey", "agg_time"])
+    return _keyed_sink(rows, spark, "tumbling", pipeline.WINDOW_KEYS)
 
 
 def stream_session(spark, sf_dir):
@@ -476,7 +479,7 @@ def stream_late_drop(spark, sf_dir):
         stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
         rows = windows.hopping_counters(stream)
         _drain(keyed.start_keyed(rows, f"{folder}/out", f"{folder}/checkpoint"))
-    return keyed.read_keyed(spark, f"{folder}/out", rows.schema, ["rowkey", "agg_time"])
+    return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
 
 
 def stream_documents(spark, sf_dir):
@@ -485,6 +488,16 @@ def stream_documents(spark, sf_dir):
     return spark.read.parquet(stages.documents).drop("timestamp")
 
 
+def messy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.envelope(events_stream(spark, sf_dir), m.messy_document(), m.row_key())
+
+
+def stream_rejects(spark, sf_dir):
+    stages = _stages(spark, "rejects")
+    _drain(pipeline.start_rejects(messy_stream(spark, sf_dir), stages, include_value=True))
+    return spark.read.parquet(stages.rejects)
+
+
 def stream_features(spark, sf_dir):
     stages = _stages(spark, "features")
     rows = windows.hopping_counters(_fast_stream(spark, sf_dir))
@@ -613,6 +626,7 @@ def queries() -> dict[str, Query]:
         "stream_session": stream_session,
         "stream_late_drop": stream_late_drop,
         "stream_documents": stream_documents,
+        "stream_rejects": stream_rejects,
         "stream_features": stream_features,
         "pipeline_end_to_end": pipeline_end_to_end,
         "stream_table_append": stream_table_append,

@@ -88,12 +88,15 @@ def extended_documents(
     )
 
 
-def rekey(documents: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Partition the output by row key, as a keyed topic is.
+def rekey(documents: DataFrame, buckets: int) -> DataFrame:
+    """Lay documents out by row key: each key in one of ``buckets`` groups.
 
-    This puts one key's rows into one task, so it is only for a writer that needs
-    that layout. No operator in this library requires it.
+    Adds ``key_bucket``; write with ``partitionBy("key_bucket")``. The rebalance hint
+    lets adaptive execution merge small groups and split one that a hot key made
+    large over several tasks, so a key shares a directory, never a single task. A
+    topic writer needs none of this: it places messages by their key.
     """
-    if partitions:
-        return documents.repartition(partitions, "rowkey")
-    return documents.repartition("rowkey")
+    bucket = F.pmod(F.hash("rowkey"), F.lit(buckets))
+    return documents.withColumn("key_bucket", bucket).hint(
+        "rebalance", F.col("key_bucket")
+    )

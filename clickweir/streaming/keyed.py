@@ -46,20 +46,18 @@ def read_keyed(
 ) -> DataFrame:
     """The current table: per key the row of its latest change.
 
-    One aggregation over the log with map-side combine.
+    One aggregation over the log with map-side combine. A text column that the key
+    determines is better listed among the keys.
     """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     values = [name for name in schema.fieldNames() if name not in keys]
     log = spark.read.schema(
         StructType([*schema.fields, StructField(BATCH, LongType())])
     ).parquet(path)
-    latest = log.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col(BATCH)).alias("_row")
-    )
-    return latest.select(*[
-        F.col(name) if name in keys else F.col(f"_row.{name}").alias(name)
-        for name in schema.fieldNames()
-    ])
+    # column by column, which keeps fixed-width columns in a hash aggregation
+    return log.groupBy(*keys).agg(
+        *[F.max_by(name, BATCH).alias(name) for name in values]
+    ).select(*schema.fieldNames())
 
 
 def compact_keyed(

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickweir.operators.enrich import LOAD_TEST_MARKER, extended_documents
 from clickweir.operators.features import cookie_features
-from clickweir.operators.parse import parse_events
+from clickweir.operators.parse import parse_events, rejects
 from clickweir.operators.windows import (
     cookie_events,
     hopping_counters,
@@ -40,6 +40,8 @@ FEATURE_SCHEMA = (
     "u string, agg_time bigint, has_pixel boolean, has_ctr_broken boolean, "
     "has_frontback_iv_broken boolean, has_frontback_ph_broken boolean"
 )
+# ``u`` repeats ``rowkey``.
+WINDOW_KEYS = ("rowkey", "u", "agg_time")
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,10 @@ class Stages:
     def documents(self) -> str:
         return f"{self.root}/documents"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     @property
     def windows(self) -> str:
         return f"{self.root}/windows"
@@ -107,6 +113,24 @@ def start_documents(
     )
 
 
+def start_rejects(
+    messages: DataFrame,
+    stages: Stages,
+    include_value: bool = False,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The log of payloads that stage 1 left out: position and reason."""
+    return (
+        rejects(messages, include_value)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", stages.rejects)
+        .option("checkpointLocation", stages.checkpoint("rejects"))
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def stream_documents(spark: SparkSession, stages: Stages) -> DataFrame:
     return spark.readStream.schema(ENVELOPE).parquet(stages.documents)
 
@@ -140,7 +164,7 @@ def read_final_windows(spark: SparkSession, stages: Stages) -> DataFrame:
 
 
 def read_window_changes(spark: SparkSession, stages: Stages) -> DataFrame:
-    return read_keyed(spark, stages.windows, WINDOW_SCHEMA, ["rowkey", "agg_time"])
+    return read_keyed(spark, stages.windows, WINDOW_SCHEMA, WINDOW_KEYS)
 
 
 def start_features(
