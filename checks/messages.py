@@ -45,17 +45,20 @@ def seconds_text() -> Column:
     return F.concat(F.floor(micros() / 1000000).cast("string"), F.lit("."), rest)
 
 
-def event_fields() -> dict[str, Column]:
-    """Typed payload fields of each event; NULL means absent."""
-    number = F.col("event_id")
+def counted_eid() -> Column:
     kind = F.col("event_type")
     eid = F
     for name, value in EVENT_IDS.items():
         eid = eid.when(kind == name, value)
-    eid = eid.otherwise(OTHER_EVENT_ID)
+    return eid.otherwise(OTHER_EVENT_ID).cast("int")
+
+
+def event_fields() -> dict[str, Column]:
+    """Typed payload fields of each event; NULL means absent."""
+    number = F.col("event_id")
     return {
         "uuid": F.concat(F.lit("c-"), F.col("user_id").cast("string")),
-        "eid": F.when(number % 11 == 0, UNCOUNTED_EVENT_ID).otherwise(eid).cast("int"),
+        "eid": F.when(number % 11 == 0, UNCOUNTED_EVENT_ID).otherwise(counted_eid()),
         "uid": F.when(number % 3 == 0, 0).otherwise(F.col("user_id")).cast("int"),
         "dt": F.when(number % 5 != 0, F.floor(micros() / 1000000)).cast("int"),
         "dtm": F.when(number % 4 != 0, seconds_text()),
@@ -113,7 +116,7 @@ def compressed_clock_rows(events: DataFrame) -> DataFrame:
     squeezed = EPOCH_MS + F.floor((millis - EPOCH_MS) / CLOCK_FACTOR)
     return events.select(
         F.col("user_id").cast("string").alias("rowkey"),
-        event_fields()["eid"].alias("eid"),
+        counted_eid().alias("eid"),
         event_fields()["uid"].alias("uid"),
         squeezed.cast("bigint").alias("_server_time"),
         F.lit(0).cast("bigint").alias("_ua_is_test"),

@@ -14,9 +14,9 @@ fx0 as (
          else cast(user_id as varchar) end as rowkey,
     cast(user_id % 4 as int) as part,
     'c-' || user_id as uuid,
-    cast(case when event_id % 11 = 0 then 312 when event_type = 'signup' then 3506
-         when event_type = 'view' then 301 when event_type = 'click' then 303
-         when event_type = 'purchase' then 2649 else 2650 end as int) as eid,
+    cast(case event_type when 'signup' then 3506 when 'view' then 301 when 'click' then 303
+         when 'purchase' then 2649 else 2650 end as int) as counted_eid,
+    cast(case when event_id % 11 = 0 then 312 else counted_eid end as int) as eid,
     cast(case when event_id % 3 = 0 then 0 else user_id end as int) as uid,
     cast(case when event_id % 5 <> 0 then epoch_us(ts) // 1000000 end as int) as dt,
     case when event_id % 4 <> 0 then (epoch_us(ts) // 1000000) || '.' ||
@@ -78,7 +78,7 @@ FAST = (
     FX
     + """,
 fast as (
-  select event_id, cast(user_id as varchar) as rowkey, eid, uid,
+  select event_id, cast(user_id as varchar) as rowkey, counted_eid as eid, uid,
     1704067200000 + (ms - 1704067200000) // 2000 as server_time from fx)"""
 )
 

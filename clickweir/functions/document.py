@@ -62,10 +62,17 @@ def spelled_key(keys: Column, name: str) -> Column:
 
 
 def extendable(value: Column) -> Column:
-    """True for the text of exactly one JSON object, up to surrounding blanks."""
-    # '}{' inside a string is harmless, between two documents it is not
-    single = ~value.rlike(r"\}\s*\{") | F.try_parse_json(value).isNotNull()
-    return is_document(value) & F.rtrim(value).endswith("}") & single
+    """True for the text of exactly one JSON object, up to surrounding blanks.
+
+    The reader stops at the end of the first object. Where the first closing brace
+    is not the last character, a key put before the last brace has to come back as
+    the object's last key, or that brace belongs to something else.
+    """
+    body = F.rtrim(value)
+    flat = F.instr(body, "}") == F.length(body)
+    probe = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(',"":0}'))
+    last_key = F.try_element_at(F.json_object_keys(probe), F.lit(_NEGATIVE_ONE))
+    return is_document(value) & F.when(flat, True).otherwise(last_key.eqNullSafe(""))
 
 
 def extend_document(value: Column, added: Column, checked: bool = False) -> Column:
