@@ -69,18 +69,27 @@ def append_to_table(
     nulls: str = "keep",
     slices: int | None = None,
     types: dict[str, str] | None = None,
+    replace: tuple[str, int] | None = None,
 ) -> None:
     """Append a batch of messages to ``table``.
 
     Columns the table fills in by itself are not written. ``slices`` sets the number
     of parallel writers; by default the partitioning of the input stays, which needs
-    no shuffle.
+    no shuffle. ``replace`` names one partition of the table, by column and value, and
+    writes that anew instead.
     """
     schema = appendable_schema(messages.sparkSession, table)
+    verb = "INTO"
+    partition = ""
+    if replace:
+        column, number = replace
+        schema = StructType([field for field in schema if field.name != column])
+        verb, partition = "OVERWRITE", f" PARTITION (`{column}` = {number})"
     rows = table_rows(messages, schema, nulls, types)
     if slices:
         rows = rows.repartition(slices)
     names = ", ".join(f"`{name}`" for name in schema.fieldNames())
     messages.sparkSession.sql(
-        f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows
+        f"INSERT {verb} {table}{partition} ({names}) SELECT {names} FROM {{rows}}",
+        rows=rows,
     )

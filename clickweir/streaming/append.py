@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from clickweir.sinks.tables import append_to_table, table_rows
-from clickweir.sources.catalog import appendable_schema
+from clickweir.sinks.tables import append_to_table
 
 
 def start_table_append(
@@ -16,32 +15,27 @@ def start_table_append(
     nulls: str = "keep",
     slices: int | None = None,
     types: dict[str, str] | None = None,
+    batch_column: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append every message to ``table``.
+    """Append every message to ``table``, one insert per micro-batch.
 
-    A table whose columns all come from the messages is written by the file sink,
-    exactly once. One with self-filled columns, or a given number of ``slices``, is
-    written per micro-batch: at least once, a failed batch is written again whole.
+    An insert that fails half-way is repeated whole: at least once. With
+    ``batch_column``, a BIGINT column the table is partitioned by, each micro-batch
+    has a partition of its own that a repetition overwrites: exactly once, for one
+    stream per table. The streaming file sink is no alternative here, its log would
+    hide the rows the table already has.
     """
     spark = messages.sparkSession
-    schema = appendable_schema(spark, table)
-    plain = len(schema) == len(spark.table(table).schema)
-    settings = trigger or {"availableNow": True}
-    if plain and slices is None:
-        return (
-            table_rows(messages, schema, nulls, types)
-            .writeStream.option("checkpointLocation", checkpoint)
-            .trigger(**settings)
-            .toTable(table)
-        )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_to_table(batch, table, nulls, slices, types)
+        own = (batch_column, batch_id) if batch_column else None
+        append_to_table(batch, table, nulls, slices, types, replace=own)
+        spark.catalog.refreshTable(table)  # the batch ran in a session of its own
 
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**settings)
+        .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(write)
         .start()
     )
