@@ -7,6 +7,9 @@ set of keys, or that change the document.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,34 +67,39 @@ def spelled_key(keys: Column, name: str) -> Column:
 def extendable(value: Column) -> Column:
     """True for the text of exactly one JSON object, up to surrounding blanks.
 
-    The reader stops at the end of the first object. Where the first closing brace
-    is not the last character, a key put before the last brace has to come back as
-    the object's last key, or that brace belongs to something else.
+    The reader stops at the end of the first object, so what follows it has to be
+    looked at as well: a key put before the last brace must come back as the last
+    key. One pass over the text settles both.
     """
     body = F.rtrim(value)
-    flat = F.instr(body, "}") == F.length(body)
     probe = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(',"":0}'))
     last_key = F.try_element_at(F.json_object_keys(probe), F.lit(_NEGATIVE_ONE))
-    return is_document(value) & F.when(flat, True).otherwise(last_key.eqNullSafe(""))
+    checked = F.when(value.rlike(r"^\s*\{\s*\}\s*$"), True).otherwise(
+        body.endswith("}") & last_key.eqNullSafe("")
+    )
+    return F.coalesce(checked, F.lit(False))
 
 
-def extend_document(value: Column, added: Column, checked: bool = False) -> Column:
-    """Append the entries of ``added`` to a JSON object, as text.
+def extend_document(
+    value: Column, added: Mapping[str, Column], valid: Column | None = None
+) -> Column:
+    """Append BIGINT fields to a JSON object, as text.
 
     Known and unknown fields keep their types, order and spelling. On a key
     conflict the document ends up with both and every reader here takes the
-    last, i.e. the added one. NULL where the text is not ``extendable``; with
-    ``checked`` the caller has filtered on that already.
+    last, i.e. the added one. NULL where ``valid`` (by default ``extendable``) is
+    not true; a caller that has filtered on it already passes ``lit(True)``.
     """
+    parts: list[Column] = []
+    for name, number in added.items():
+        comma = "," if parts else ""
+        parts.append(F.lit(f"{comma}{json.dumps(name)}:"))
+        parts.append(F.coalesce(number.cast("string"), F.lit("null")))
     body = F.rtrim(value)
     head = F.substring(body, F.lit(1), F.length(body) - 1)
-    tail = F.substring(F.to_json(added), 2, 2**31 - 1)
-    joined = (
-        F.when(F.size(F.map_keys(added)) == 0, value)
-        .when(value.rlike(r"^\s*\{\s*\}\s*$"), F.to_json(added))
-        .otherwise(F.concat(head, F.lit(","), tail))
-    )
-    return joined if checked else F.when(extendable(value), joined)
+    separator = F.when(head.rlike(r"^\s*\{\s*$"), "").otherwise(",")
+    joined = F.concat(head, separator, *parts, F.lit("}")) if parts else value
+    return F.when(extendable(value) if valid is None else valid, joined)
 
 
 def number_spelling(value: Column, key: Column, text: Column) -> Column:

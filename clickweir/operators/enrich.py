@@ -69,20 +69,18 @@ def extended_documents(
     are not documents come back with a NULL value, or are left out by
     ``skip_rejects``; ``parse.rejects`` tells about them.
     """
+    document = F.col("_document")
+    valid = None
     if skip_rejects:
-        messages = messages.where(extendable(F.col("value")))
+        messages, valid = messages.where(extendable(F.col("value"))), F.lit(True)
     events = parse_events(
         messages, EVENT_COLUMNS, match=match, document="_document"
     )
     full = enrich(events, fallback_time, load_test_marker)
-    entries: list[Column] = []
-    for name in ADDED_FIELDS:
-        entries += [F.lit(name), F.col(name)]
+    added = {name: F.col(name) for name in ADDED_FIELDS}
     for name, make in (extra_fields or {}).items():
-        entries += [F.lit(name), make().cast("bigint")]
-    value = extend_document(
-        F.col("_document"), F.create_map(*entries), checked=skip_rejects
-    )
+        added[name] = make().cast("bigint")
+    value = extend_document(document, added, valid)
     return full.select(
         "rowkey", value.alias("value"), "partition", "offset", "timestamp"
     )

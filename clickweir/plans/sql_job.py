@@ -14,15 +14,12 @@ SQL_FUNCTIONS = {
     "extend_json": r"""
         (added MAP<STRING, BIGINT>, document STRING) RETURNS STRING
         RETURN CASE
-          WHEN json_object_keys(document) IS NULL THEN NULL
-          WHEN instr(rtrim(document), '}') <> length(rtrim(document))
-            AND NOT try_element_at(json_object_keys(
-              concat(left(rtrim(document), length(rtrim(document)) - 1), ',"":0}')), -1) <=> ''
-            THEN NULL
           WHEN size(added) = 0 THEN document
           WHEN document RLIKE '^\\s*[{]\\s*[}]\\s*$' THEN to_json(added)
-          ELSE concat(left(rtrim(document), length(rtrim(document)) - 1), ',',
-                      substring(to_json(added), 2))
+          WHEN endswith(rtrim(document), '}') AND try_element_at(json_object_keys(
+              concat(left(rtrim(document), length(rtrim(document)) - 1), ',"":0}')), -1) <=> ''
+            THEN concat(left(rtrim(document), length(rtrim(document)) - 1), ',',
+                        substring(to_json(added), 2))
         END""",
     "clock_ms": "() RETURNS BIGINT RETURN unix_millis(current_timestamp())",
     "window_start_ms": """

@@ -77,41 +77,42 @@ def field_values(
     ]
     held = [f"_head_{n}" for n in range(len(heads))]
     value = F.col("_value")
+    messages = messages.select(*heads, F.col("value").alias("_value"))
     if any(item.hashed for item in ordered):
         # hash() also covers explicit nulls, so presence of the key must be known
-        base = messages.select(
-            *heads,
-            F.col("value").alias("_value"),
-            document_map(F.col("value")).alias("_map"),
+        document = messages.select("*", document_map(value).alias("_map"))
+        base = document.select(
+            *held,
+            "_value",
+            *[_map_text(F.col("_map"), i).alias(f"_raw_{n}") for n, i in enumerate(ordered)],
         )
-        cells = [_mapped_cell(item, value, F.col("_map"), hash_method) for item in ordered]
     else:
         raw = {f"_raw_{n}": item.key for n, item in enumerate(ordered)}
-        base = extract_fields(
-            messages.select(*heads, F.col("value").alias("_value")),
-            raw,
-            [*held, "_value"],
-            "_value",
-        )
-        cells = [
-            number_spelling(value, F.lit(item.key), null_text(F.col(f"_raw_{n}")))
-            for n, item in enumerate(ordered)
-        ]
+        base = extract_fields(messages, raw, [*held, "_value"], "_value")
+    cells = [
+        _cell(item, value, F.col(f"_raw_{n}"), hash_method)
+        for n, item in enumerate(ordered)
+    ]
     return base.select(
         *held, *[cell.alias(f"_cell_{n}") for n, cell in enumerate(cells)]
     )
 
 
-def _mapped_cell(
-    item: ExportField, value: Column, document: Column, hash_method: str
-) -> Column:
-    key = F.lit(item.key)
+def _map_text(document: Column, item: ExportField) -> Column:
+    """Text of a field; under hash() the last entry counts, whatever it holds."""
     if not item.hashed:
-        return number_spelling(value, key, last_entry(document, item.key))
+        return last_entry(document, item.key)
     entries = F.filter(F.map_entries(document), lambda entry: entry["key"] == item.key)
-    last = F.try_element_at(entries, F.lit(-1))
-    text = F.when(last.isNotNull(), F.coalesce(last["value"], F.lit("null")))
-    return text_hash(number_spelling(value, key, text), hash_method).cast("string")
+    return F.try_element_at(
+        F.transform(entries, lambda entry: F.coalesce(entry["value"], F.lit("null"))),
+        F.lit(-1),
+    )
+
+
+def _cell(item: ExportField, value: Column, raw: Column, hash_method: str) -> Column:
+    text = raw if item.hashed else null_text(raw)
+    spelled = number_spelling(value, F.lit(item.key), text)
+    return text_hash(spelled, hash_method).cast("string") if item.hashed else spelled
 
 
 def entity_rows(messages: DataFrame, headers=()) -> DataFrame:
