@@ -42,6 +42,7 @@ STORED_AS = {
     "text": "string",
     "varchar": "string",
     "char": "string",
+    "time": "string",  # kept as HH:mm:ss
     "numeric": "decimal(38,9)",
     "decimal": "decimal(38,9)",
 }
@@ -77,8 +78,13 @@ def coerce(text: Column, type_name: str, mode: str = "strict") -> Column:
         items = F.from_json(text, "array<string>")
         return F.transform(items, lambda item: coerce(item, name[:-2], mode))
     stored = stored_type(name)
+    if name == "time":
+        moment = F.concat(F.lit("1970-01-01 "), F.trim(text)).try_cast("timestamp_ntz")
+        return F.date_format(moment, "HH:mm:ss")
     if stored == "string":
         return text
+    if stored.startswith(("array<", "map<", "struct<")):
+        return F.from_json(text, stored)
     if mode in ("strict", "number"):
         return _literal(text, name, stored, decimals=mode == "number")
     if name in _UNSIGNED_BITS:

@@ -17,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # sessions are merged before the shuffle, so a hot key sends few rows
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # HotSpot leaves larger generated methods uncompiled; long CASE chains make them
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # call sites in error messages cost more than planning most of these queries

@@ -79,11 +79,22 @@ class TypedColumn:
 
 
 def parse_typed_columns(text: str) -> list[TypedColumn]:
-    """``name:type,...`` with optional ``(p,s)`` in a type."""
+    """``name:type,...``; commas inside brackets belong to a type."""
     columns = []
-    for item in re.split(r",(?![^()<]*[)>])", text):
+    for item in _outer_commas(text):
         name, colon, kind = item.strip().partition(":")
         if not (name and colon and kind):
             raise ValueError(f"expected name:type, got {item!r}")
         columns.append(TypedColumn(name.strip(), kind.strip()))
     return columns
+
+
+def _outer_commas(text: str) -> list[str]:
+    parts, depth = [""], 0
+    for char in text:
+        depth += (char in "(<") - (char in ")>")
+        if char == "," and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += char
+    return parts

@@ -51,6 +51,8 @@ def test_typed_columns():
     assert [(c.name, c.type) for c in columns] == [
         ("a", "bigint"), ("b", "decimal(10,2)"), ("c", "int[]"),
     ]
+    nested = parse_typed_columns("a:struct<x:int,y:array<int>>,b:int")
+    assert [c.name for c in nested] == ["a", "b"]
     with pytest.raises(ValueError):
         parse_typed_columns("a:int,b")
 

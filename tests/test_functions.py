@@ -70,6 +70,8 @@ COERCIONS = [
     ("uint8", "append", ["true", "t", "on", "yes", "0", "True", "7"], [1, 1, 1, 0, 0, 0, 7]),
     ("int64", "append", ["on", "off", "-3"], [1, 0, -3]),
     ("string", "append", ["true", " x "], ["true", " x "]),
+    ("struct<a:int,b:array<int>>", "strict", ['{"a":1,"b":[2]}', None], [(1, [2]), None]),
+    ("time", "strict", ["12:34:56", "noon", None], ["12:34:56", None, None]),
     ("int[]", "prefix", ["[1, 2, 3]", "x"], [[1, 2, 3], None]),
 ]
 
