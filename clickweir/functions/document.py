@@ -23,14 +23,21 @@ def is_document(value: Column) -> Column:
     return F.json_object_keys(value).isNotNull()
 
 
-def reject_reason(value: Column) -> Column:
-    """Why a payload is not an event document; NULL when it is one."""
-    return (
-        F.when(value.isNull(), F.lit("missing"))
-        .when(is_document(value), F.lit(None).cast("string"))
-        .when(F.try_parse_json(value).isNotNull(), F.lit("not_object"))
-        .otherwise(F.lit("malformed"))
+def reject_reason(value: Column, whole: bool = False) -> Column:
+    """Why a payload is not an event document; NULL when it is one.
+
+    Readers take the first object of a text. With ``whole``, anything after it is a
+    reason as well: such a text cannot be extended.
+    """
+    valid = extendable(value) if whole else is_document(value)
+    reason = F.when(value.isNull(), F.lit("missing")).when(
+        valid, F.lit(None).cast("string")
     )
+    if whole:
+        reason = reason.when(is_document(value), F.lit("trailing_text"))
+    return reason.when(
+        F.try_parse_json(value).isNotNull(), F.lit("not_object")
+    ).otherwise(F.lit("malformed"))
 
 
 def document_map(value: Column) -> Column:

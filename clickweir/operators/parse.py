@@ -123,14 +123,17 @@ def only_documents(messages: DataFrame) -> DataFrame:
     return messages.where(is_document(F.col("value")))
 
 
-def rejects(messages: DataFrame, include_value: bool = False) -> DataFrame:
+def rejects(
+    messages: DataFrame, include_value: bool = False, whole: bool = False
+) -> DataFrame:
     """Where and why payloads were rejected.
 
-    The text itself is left out unless asked for: it may be sensitive.
+    The text itself is left out unless asked for: it may be sensitive. ``whole`` lists
+    what the extended documents leave out, texts with a second document included.
     """
     columns = ["partition", "offset", "reason"] + (["value"] if include_value else [])
     return (
-        messages.withColumn("reason", reject_reason(F.col("value")))
+        messages.withColumn("reason", reject_reason(F.col("value"), whole))
         .where(F.col("reason").isNotNull())
         .select(*columns)
     )

@@ -121,7 +121,7 @@ def start_rejects(
 ) -> StreamingQuery:
     """The log of payloads that stage 1 left out: position and reason."""
     return (
-        rejects(messages, include_value)
+        rejects(messages, include_value, whole=True)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", stages.rejects)

@@ -263,6 +263,16 @@ def test_reject_reason(spark):
     ]
 
 
+def test_every_text_is_extended_or_rejected(spark):
+    texts = ['{"a":1}', "{}", '{"a":1} {"b":2}', '{"a":1}}', "[1]", "{broken", None, "7"]
+    reasons = read(spark, texts, reject_reason(F.col("x"), whole=True))
+    extended = read(spark, texts, extend_document(F.col("x"), {"t": F.lit(7)}))
+    assert [r is None for r in reasons] == [e is not None for e in extended]
+    assert reasons[2:] == [
+        "trailing_text", "trailing_text", "not_object", "malformed", "missing", "not_object",
+    ]
+
+
 def test_spelled_key(spark):
     texts = ['{"eid":1,"EID":2}', '{"eid":1,"Eid":2}', '{"x":1}', "{"]
     column = spelled_key(F.json_object_keys("x"), "eid")
