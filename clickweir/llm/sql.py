@@ -1,0 +1,33 @@
+"""SQL of an independent engine for the operators that SQL can express."""
+
+from __future__ import annotations
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MINHASH_DEDUP = rf"""
+with recursive tokens as (
+  select doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') as ws from documents),
+shingles as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(case
+      when len(ws) >= 5 then
+        list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+      when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s
+    from tokens)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as u, b.doc_id as v, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+linked as (
+  select u, v from common join sizes x on x.doc_id = u join sizes y on y.doc_id = v
+  where 100 * c >= 75 * (x.n + y.n - c)),
+both_ways as (select u, v from linked union all select v, u from linked),
+reached(doc_id, root) as (
+  select doc_id, doc_id from documents
+  union
+  select b.v, r.root from reached r join both_ways b on b.u = r.doc_id where r.root < b.v)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, r.root as component_id,
+  d.doc_id = r.root as kept
+from documents d left join sizes s using (doc_id)
+join (select doc_id, min(root) as root from reached group by doc_id) r using (doc_id)
+"""
