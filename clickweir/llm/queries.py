@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickweir.llm import sql
+from clickweir.llm import bpe, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
+from clickweir.llm.token_counts import token_counts
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +24,39 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and truncated totals at every encoded length that occurs."""
+    return token_counts(spark, table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    encoded = bpe.encode(spark, table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.decode(spark, encoded, TOKENIZER).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model that never saw a third of the ids."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.train(documents, labels)
+    return toxicity.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "n_sentences", "offending"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op3_token_counts": op3_token_counts,
+        "op4_bpe": op4_bpe,
+        "op8_toxicity": op8_toxicity,
     }
 
 

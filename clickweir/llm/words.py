@@ -12,8 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 BLOCK_BYTES = 1 << 20
+PORTION_BYTES = 2 << 20
 
 _random = np.random.Generator(np.random.PCG64(20240501))
 _BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,6 +71,24 @@ def mix(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def portions(
+    batches: Iterator[pa.RecordBatch], text: int = 1, most: int = PORTION_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with at most so many bytes of text, or one row, to bound the memory."""
+    for batch in batches:
+        column = batch.column(text)
+        lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(
+            zero_copy_only=False
+        )
+        ends = np.cumsum(lengths, dtype=np.int64)
+        first = 0
+        while first < batch.num_rows:
+            before = int(ends[first - 1]) if first else 0
+            last = max(int(np.searchsorted(ends, before + most, side="right")), first + 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each row begins; null counts as empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -81,24 +101,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, offsets - offsets[0]
 
 
-def word_hashes(
-    column: pa.Array, separator: np.ndarray = SPACE
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the index of each row's first word (and the end)."""
-    data, offsets = text_bytes(column)
+    """First and past-the-last byte of every word; rows end words as separators do."""
     size = len(data)
     if not size:
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     blank = separator[data]
     row_start = np.zeros(size + 1, dtype=bool)
     row_start[offsets] = True
     after_gap = row_start[:-1].copy()
     after_gap[1:] |= blank[:-1]
-    starts = np.flatnonzero(after_gap & ~blank)
     before_gap = row_start[1:].copy()
     before_gap[:-1] |= blank[1:]
     before_gap[-1] = True
-    ends = np.flatnonzero(before_gap & ~blank) + 1
+    return np.flatnonzero(after_gap & ~blank), np.flatnonzero(before_gap & ~blank) + 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every span of bytes, lower-cased; spans are in order and do not overlap."""
     out = np.empty(len(starts), dtype=np.uint64)
     done = 0
     while done < len(starts):
@@ -112,7 +134,16 @@ def word_hashes(
         at = starts[done:upto] - first
         out[done:upto] = (sums[ends[done:upto] - first] - sums[at]) * down[at]
         done = upto
-    return mix(out), np.searchsorted(starts, offsets).astype(np.int64)
+    return mix(out)
+
+
+def word_hashes(
+    column: pa.Array, separator: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the index of each row's first word (and the end)."""
+    data, offsets = text_bytes(column)
+    starts, ends = word_spans(data, offsets, separator)
+    return span_hashes(data, starts, ends), np.searchsorted(starts, offsets).astype(np.int64)
 
 
 def grams(words: np.ndarray, length: int) -> np.ndarray:
