@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from clickweir.llm import bpe, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
+from clickweir.llm.mixing import mix
+from clickweir.llm.sharding import shard
 from clickweir.llm.token_counts import token_counts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +42,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes from every document: weights 5, 2, 1, 150 % of all words."""
+    return mix(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model that never saw a third of the ids."""
     documents = table(spark, sf_dir, "documents")
@@ -51,16 +58,24 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of near equal bytes by a k-d tree over id, source, language and length."""
+    return shard(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
         "op3_token_counts": op3_token_counts,
         "op4_bpe": op4_bpe,
+        "op5_mixing": op5_mixing,
         "op8_toxicity": op8_toxicity,
+        "op9_kd_sharding": op9_kd_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": sql.MINHASH_DEDUP,
+        "op5_mixing": sql.MIXING,
     }

@@ -31,3 +31,78 @@ select d.doc_id, coalesce(s.n, 0) as n_shingles, r.root as component_id,
 from documents d left join sizes s using (doc_id)
 join (select doc_id, min(root) as root from reached group by doc_id) r using (doc_id)
 """
+
+MIXING = r"""
+with sized as (
+  select doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+  from documents),
+sources as (
+  select source, sum(size)::bigint as source_size,
+    ((count(*) + 4095) // 4096)::bigint as shards,
+    row_number() over (order by source nulls last) - 1 as place
+  from sized group by source),
+weighted as (
+  select *, case place % 3 when 0 then 5.0 when 1 then 2.0 else 1.0 end::double as weight,
+    sum(source_size) over () * 1.5::double as budget
+  from sources),
+levels as (
+  select *, (budget - coalesce(sum(2 * source_size) over (
+      order by 2 * source_size / weight, place
+      rows between unbounded preceding and 1 preceding), 0))
+    / sum(weight) over (order by 2 * source_size / weight, place
+      rows between current row and unbounded following) as level
+  from weighted),
+targets as (
+  select *, least(2.0::double * source_size, max(level) over () * weight) as target from levels),
+wanted as (select *, floor(sum(target) over () / 32 + 0.5)::bigint as blocks from targets),
+quotients as (
+  select place, target / (2 * k + 1) as q, blocks
+  from wanted, lateral (select unnest(range(0, (target / 32)::bigint + 1000)) as k) t),
+seats as (
+  select place, count(*) as source_blocks from (
+    select place, row_number() over (order by q desc, place) as r, blocks
+    from quotients where q > 0)
+  where r <= blocks group by place),
+planned as (
+  select w.source, source_size, shards, weight, target, coalesce(source_blocks, 0) as source_blocks
+  from wanted w left join seats using (place)),
+placed as (
+  select d.doc_id, d.source, d.size, p.source_size, p.weight, p.target, p.source_blocks,
+    'mix-1:' || coalesce(d.doc_id::varchar, '') as seed,
+    cast('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::varchar, '')), 1, 12) as bigint)
+      % p.shards as shard
+  from sized d join planned p on d.source is not distinct from p.source),
+cells as (
+  select source, shard, sum(size)::bigint as cell_size, any_value(source_blocks) as source_blocks
+  from placed group by source, shard),
+cell_quotients as (
+  select source, shard, cell_size / (2 * k + 1) as q, source_blocks
+  from cells, lateral (select unnest(range(0, cell_size // 16 + 1000)) as k) t
+  where cell_size > 0),
+cell_seats as (
+  select source, shard, count(*) as quota from (
+    select source, shard, source_blocks,
+      row_number() over (partition by source order by q desc, shard) as r
+    from cell_quotients)
+  where r <= source_blocks group by source, shard),
+ready as (
+  select c.source, c.shard, cell_size, least(coalesce(quota, 0) * 32, cell_size * 2) as words,
+    case when cell_size > 0 then
+      cast('0x' || substr(md5('mix-1:' || coalesce(c.source, '') || ':' || c.shard::varchar), 1, 12)
+        as bigint) % ((cell_size + 31) // 32) * 32 else 0 end as start
+  from cells c left join cell_seats s
+    on c.source is not distinct from s.source and c.shard = s.shard),
+laid as (
+  select p.*, cell_size, words, start,
+    sum(size) over (partition by p.source, p.shard order by md5(seed), size, doc_id
+      rows between unbounded preceding and current row)::bigint as upto
+  from placed p join ready r
+    on p.source is not distinct from r.source and p.shard = r.shard)
+select doc_id, source, size, source_size, weight, target, shard,
+  (greatest(0, least(upto, start + words) - greatest(upto - size, start))
+  + greatest(0, least(upto + cell_size, start + words) - greatest(upto - size + cell_size, start))
+  + greatest(0, least(upto + 2 * cell_size, start + words)
+      - greatest(upto - size + 2 * cell_size, start)))::bigint as taken
+from laid
+"""
