@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickweir.llm import bpe, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
+from clickweir.llm.licenses import scan
 from clickweir.llm.mixing import mix
 from clickweir.llm.sharding import shard
 from clickweir.llm.token_counts import token_counts
@@ -47,6 +48,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return scan(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model that never saw a third of the ids."""
     documents = table(spark, sf_dir, "documents")
@@ -69,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_bpe": op4_bpe,
         "op5_mixing": op5_mixing,
+        "op7_licenses": op7_licenses,
         "op8_toxicity": op8_toxicity,
         "op9_kd_sharding": op9_kd_sharding,
     }

@@ -32,7 +32,7 @@ def separators(*ranges: tuple[int, int]) -> np.ndarray:
 
 
 SPACE = separators((0x20, 0x20), (0x09, 0x0D))
-NOT_ALPHANUMERIC = separators((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
+NOT_ALPHANUMERIC = separators((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
 # letters take the value of their lower-case form
 _LOWERED = _BYTE_VALUES.copy()
