@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, sql, toxicity
+from clickweir.llm import bpe, ngram_lm, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
+from clickweir.llm.ann import nearest
+from clickweir.llm.embed_dedup import near_vectors
 from clickweir.llm.licenses import scan
 from clickweir.llm.mixing import mix
 from clickweir.llm.sharding import shard
@@ -27,6 +29,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label at cosine 0.98 or more."""
+    return near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and truncated totals at every encoded length that occurs."""
     return token_counts(spark, table(spark, sf_dir, "documents"), TOKENIZER)
@@ -48,6 +55,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth id among all rows."""
+    return nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in every document."""
     return scan(spark, table(spark, sf_dir, "documents"))
@@ -56,7 +68,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model that never saw a third of the ids."""
     documents = table(spark, sf_dir, "documents")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    held_out = ngram_lm.left_out(F.col("doc_id"), 3, 1)
     labels = table(spark, sf_dir, "labels").where(~held_out)
     model = toxicity.train(documents, labels)
     return toxicity.score(documents, model).select(
@@ -69,15 +81,26 @@ def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of all documents by a model that never saw a seventh of the ids."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = ngram_lm.left_out(F.col("doc_id"), 7, 2)
+    model = ngram_lm.train(spark, documents.where(~held_out))
+    return ngram_lm.score(documents, model).withColumn("held_out", held_out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_token_counts": op3_token_counts,
         "op4_bpe": op4_bpe,
         "op5_mixing": op5_mixing,
+        "op6_nearest_neighbours": op6_nearest_neighbours,
         "op7_licenses": op7_licenses,
         "op8_toxicity": op8_toxicity,
         "op9_kd_sharding": op9_kd_sharding,
+        "op10_ngram_lm": op10_ngram_lm,
     }
 
 
