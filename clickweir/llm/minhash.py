@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.llm.components import components, stored
-from clickweir.llm.words import SPACE, mix, shingle_sets
+from clickweir.llm.words import SPACE, mix, portions, shingle_sets
 
 # ids up to this many (8 bytes each) may be sent to every executor
 BROADCAST_IDS = 500_000
@@ -80,7 +80,7 @@ def _sign(
     batches: Iterator[pa.RecordBatch], settings: MinHashSettings
 ) -> Iterator[pa.RecordBatch]:
     nothing = np.zeros(0, dtype=np.int64)
-    for batch in batches:
+    for batch in portions(batches):
         counts, same, bands = [], [], []
         for shingles in shingle_sets(batch.column(1), settings.shingle_words, SPACE):
             counts.append(len(shingles))
@@ -107,7 +107,7 @@ def _sets(
     batches: Iterator[pa.RecordBatch], settings: MinHashSettings
 ) -> Iterator[pa.RecordBatch]:
     nothing = np.zeros(0, dtype=np.int64)
-    for batch in batches:
+    for batch in portions(batches):
         found = [
             x.view(np.int64)
             for x in shingle_sets(batch.column(1), settings.shingle_words, SPACE)
