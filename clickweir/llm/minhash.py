@@ -24,6 +24,9 @@ from clickweir.llm.words import SPACE, mix, portions, shingle_sets
 
 # ids up to this many (8 bytes each) may be sent to every executor
 BROADCAST_IDS = 500_000
+# buckets with more open classes than PAIRED are compared in blocks inside tasks
+PAIRED = 16
+BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -120,14 +123,19 @@ def _sets(
         )
 
 
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of some documents; a short list of ids spares the texts a shuffle."""
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return texts.join(ids, "doc_id", "left_semi")
+
+
 def _confirmed(
     texts: DataFrame, pairs: DataFrame, settings: MinHashSettings
 ) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough, as links (u, v)."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(
+    sets = _texts_of(texts, ids).mapInArrow(
         partial(_sets, settings=settings), "id long, shingles array<long>"
     )
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
@@ -145,6 +153,76 @@ def _confirmed(
     )
 
 
+def _block_links(table: pa.Table, settings: MinHashSettings) -> pa.Table:
+    """Links between the members of one bucket's two blocks (or within one block).
+
+    Every intersection is counted exactly: one member's shingles are flagged, and the
+    flags summed over the others. A link is returned only if it joins two components that
+    the links before it have not joined, so there are fewer links than members.
+    """
+    ids = table["rep"].to_numpy()
+    roots = table["root"].to_numpy()
+    first = table["block"].to_numpy() == table["lo"].to_numpy()
+    alone = table["lo"][0] == table["hi"][0]
+    column = table["text"].combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks)
+    sets = list(shingle_sets(column, settings.shingle_words, SPACE))
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    _, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    flags = np.zeros(len(numbers) + 1, dtype=np.int32)
+    parent = {int(x): int(x) for x in roots}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found_u, found_v = [], []
+    # each bucket row is a non-empty set, as reduceat needs
+    for i in np.flatnonzero(first):
+        own = numbers[starts[i] : starts[i + 1]]
+        flags[own] = 1
+        common = np.add.reduceat(flags[numbers], starts[:-1])
+        flags[own] = 0
+        near = 100 * common >= settings.percent * (sizes[i] + sizes - common)
+        near &= (roots != roots[i]) & (~first if not alone else ids > ids[i])
+        for j in np.flatnonzero(near):
+            a, b = find(int(roots[i])), find(int(roots[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                found_u.append(int(ids[i]))
+                found_v.append(int(ids[j]))
+    return pa.table({"u": pa.array(found_u, pa.int64()), "v": pa.array(found_v, pa.int64())})
+
+
+def _links_in_blocks(
+    texts: DataFrame, open_rows: DataFrame, settings: MinHashSettings
+) -> DataFrame:
+    """Links across components in the buckets of open_rows (key, rep, root, open)."""
+    blocks = F.ceil(F.col("open") / F.lit(BLOCK)).cast("int")
+    spread = (
+        open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(
+            "key", "rep", "root", "block",
+            F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        )
+    )
+
+    def links(table: pa.Table) -> pa.Table:
+        return _block_links(table, settings)
+
+    members = _texts_of(texts, open_rows.select(F.col("rep").alias("doc_id")).distinct())
+    return (
+        spread.join(members.withColumnRenamed("doc_id", "rep"), "rep")
+        .groupBy("key", "lo", "hi")
+        .applyInArrow(links, "u long, v long")
+    )
+
+
 def near_duplicates(
     spark: SparkSession,
     documents: DataFrame,
@@ -157,8 +235,9 @@ def near_duplicates(
     Texts with one set are one class, stood for by its smallest id. In every band's
     bucket each class meets the bucket's smallest class; a bucket whose classes are then
     not in one component has its remaining classes of different components compared as
-    well, so that no candidate pair that could join two components is left out, while
-    large groups of near copies cost one comparison a member and bucket.
+    well, pair by pair if they are few, else in blocks inside tasks that return fewer
+    links than members. So no candidate pair that could join two components is left out,
+    while groups of near copies cost one comparison a member and bucket.
 
     Null or empty text: an empty set, linked with nothing, component_id is the own id.
     Null id: counted, but no part of any link; component_id null, kept false. Rows that
@@ -202,15 +281,17 @@ def near_duplicates(
     )
     split = (
         placed.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .agg(
+            F.min("root").alias("low"), F.max("root").alias("high"),
+            (F.count(F.lit(1)) - 1).alias("open"),
+        )
         .where("low <> high")
-        .select("key")
-    )
-    left_open = stored(
-        spark, placed.where("rep <> first").join(split, "key", "left_semi"), "minhash-open"
+        .select("key", "open")
     )
-    one = left_open.select("key", F.col("rep").alias("a"), F.col("root").alias("root_a"))
-    two = left_open.select("key", F.col("rep").alias("b"), F.col("root").alias("root_b"))
+    left_open = stored(spark, placed.where("rep <> first").join(split, "key"), "minhash-open")
+    few = left_open.where(F.col("open") <= PAIRED)
+    one = few.select("key", F.col("rep").alias("a"), F.col("root").alias("root_a"))
+    two = few.select("key", F.col("rep").alias("b"), F.col("root").alias("root_b"))
     rest = (
         one.join(two, "key")
         .where("a < b and root_a <> root_b")
@@ -221,6 +302,9 @@ def near_duplicates(
     rest = stored(spark, rest, "minhash-pairs")
     if not rest.isEmpty():
         links = links.union(_confirmed(texts, rest, settings))
+    many = left_open.where(F.col("open") > PAIRED)
+    if not many.isEmpty():
+        links = links.union(_links_in_blocks(texts, many, settings))
     roots = stored(spark, components(spark, links.union(copies)), "minhash-roots")
     return (
         signed.select("doc_id", "n_shingles")
