@@ -16,7 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweir.llm.components import components, stored
@@ -318,3 +318,40 @@ def near_duplicates(
             ),
         )
     )
+
+
+def one_of_each(
+    spark: SparkSession,
+    documents: DataFrame,
+    settings: MinHashSettings = MinHashSettings(),
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of documents, with all their columns, of the smallest id in each component.
+
+    An id that repeats keeps one of its rows (the first by the text's hash). Rows without
+    id cannot be told apart and all stay.
+    """
+    found = near_duplicates(spark, documents, settings, id_column, text_column)
+    removed = stored(
+        spark,
+        found.where("doc_id is not null and not kept").select(F.col("doc_id").alias("_removed")).distinct(),
+        "minhash-removed",
+    )
+    if removed.count() <= BROADCAST_IDS:
+        removed = F.broadcast(removed)
+    key = F.col(id_column).cast("long")
+    left = documents.join(removed, key == F.col("_removed"), "left_anti")
+    repeated = left.groupBy(key.alias("_repeated")).count().where("_repeated is not null and count > 1")
+    repeated = stored(spark, repeated.select("_repeated"), "minhash-repeated")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, key == F.col("_repeated"), "left_anti")
+    first = Window.partitionBy(key).orderBy(F.xxhash64(text_column))
+    several = (
+        left.join(repeated, key == F.col("_repeated"), "left_semi")
+        .withColumn("_row", F.row_number().over(first))
+        .where("_row = 1")
+        .drop("_row")
+    )
+    return once.union(several)

@@ -223,3 +223,34 @@ def mix(
         "doc_id", "source", "size", "source_size", "weight", "target", "shard",
         taken.cast("long").alias("taken"),
     )
+
+
+def mixed(
+    spark: SparkSession,
+    documents: DataFrame,
+    settings: MixSettings = MixSettings(),
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """The mixed corpus: the rows of documents, with all their columns, as often as taken.
+
+    A document stands in the result round(taken / size) times, so the few that a quota
+    cuts are taken whole or not. Rows that share id, source and size share their number
+    evenly, rounded. Texts without words are never taken.
+    """
+    plan = mix(spark, documents, settings, id_column, text_column, source_column)
+    copies = (
+        plan.where("size > 0")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
+        .agg(F.floor(F.sum(F.col("taken")) / F.sum(F.col("size")) + 0.5).cast("int").alias("_copies"))
+        .where("_copies > 0")
+    )
+    size = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
+    same = (
+        F.col(id_column).cast("long").eqNullSafe(F.col("_id"))
+        & F.col(source_column).cast("string").eqNullSafe(F.col("_source"))
+        & (size == F.col("_size"))
+    )
+    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return documents.join(copies, same).withColumn("_time", times).select(*documents.columns)

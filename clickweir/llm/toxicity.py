@@ -55,12 +55,13 @@ class ToxicityModel:
 
 
 def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A row of feature hashes for every word: the word and its beginnings."""
-    table = np.empty((len(starts), 1 + len(BEGINNINGS)), dtype=np.uint64)
+    """A row of feature hashes for every word: the word and its beginnings, 0 where too short."""
+    table = np.zeros((len(starts), 1 + len(BEGINNINGS)), dtype=np.uint64)
     table[:, 0] = span_hashes(data, starts, ends)
     for place, length in enumerate(BEGINNINGS, 1):
-        cut = span_hashes(data, starts, np.minimum(ends, starts + length))
-        table[:, place] = mix(cut + np.uint64(length))
+        longer = np.flatnonzero(ends - starts > length)
+        cut = span_hashes(data, starts[longer], starts[longer] + length)
+        table[longer, place] = mix(cut + np.uint64(length))
     return table
 
 
@@ -83,8 +84,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed = []
             for column in _features(data, starts, ends).T:
                 pairs[:, 0], pairs[:, 1] = column, number
-                packed.append(np.unique(pairs, axis=0))
-            whole = np.concatenate(packed)
+                packed.append(pairs[column != 0])
+            whole = np.unique(np.concatenate(packed), axis=0)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(i, 1),
@@ -214,33 +215,46 @@ _SCORED = (
 )
 
 
+def _word_scores(data, starts, ends, number, row, model: ToxicityModel) -> np.ndarray:
+    """What each word adds to its sentence; a feature counts once in a sentence."""
+    added = np.zeros(len(starts))
+    if len(model.features):
+        for column in _features(data, starts, ends).T:
+            at = np.minimum(np.searchsorted(model.features, column), len(model.features) - 1)
+            hit = np.flatnonzero(model.features[at] == column)
+            if len(hit):
+                triple = np.stack([row[hit], number[hit], at[hit]])
+                _, once = np.unique(triple, axis=1, return_index=True)
+                added[hit[once]] += model.weights[at[hit[once]]]
+    return added
+
+
+def _documents(column: pa.Array, model: ToxicityModel):
+    """Document scores, and the sentences: first word, chance and row of each."""
+    data, offsets = text_bytes(column)
+    starts, ends = word_spans(data, offsets, NOT_ALPHANUMERIC)
+    number, row = _sentences(data, starts, offsets)
+    added = _word_scores(data, starts, ends, number, row, model)
+    fresh = np.ones(len(starts), dtype=bool)
+    fresh[1:] = (number[1:] != number[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(fresh)
+    sums = np.add.reduceat(added, first) if len(first) else np.zeros(0)
+    chance = 1 / (1 + np.exp(-np.clip(sums + model.base, -30, 30)))
+    owner = row[first]
+    clean = np.log1p(-np.minimum(chance, 1 - 1e-12))
+    keep = np.bincount(owner, weights=clean, minlength=len(column))
+    score = np.clip(-np.expm1(keep), 0.0, 1.0) + 0.0  # no negative zero
+    return score, (data, offsets, starts, ends, first, chance, owner)
+
+
 def _score(
     batches: Iterator[pa.RecordBatch], model: ToxicityModel, settings: ToxicitySettings
 ) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
     for batch in portions(batches):
-        data, offsets = text_bytes(batch.column(1))
-        starts, ends = word_spans(data, offsets, NOT_ALPHANUMERIC)
-        number, row = _sentences(data, starts, offsets)
-        added = np.zeros(len(starts))
-        if len(model.features):
-            for column in _features(data, starts, ends).T:
-                at = np.minimum(np.searchsorted(model.features, column), len(model.features) - 1)
-                # a feature counts once in a sentence
-                hit = np.flatnonzero(model.features[at] == column)
-                if len(hit):
-                    triple = np.stack([row[hit], number[hit], at[hit]])
-                    _, once = np.unique(triple, axis=1, return_index=True)
-                    added[hit[once]] += model.weights[at[hit[once]]]
-        fresh = np.ones(len(starts), dtype=bool)
-        fresh[1:] = (number[1:] != number[:-1]) | (row[1:] != row[:-1])
-        first = np.flatnonzero(fresh)
-        sums = np.add.reduceat(added, first) if len(first) else np.zeros(0)
-        chance = 1 / (1 + np.exp(-np.clip(sums + model.base, -30, 30)))
-        owner = row[first]
-        keep = np.bincount(owner, weights=np.log1p(-np.minimum(chance, 1 - 1e-12)), minlength=batch.num_rows)
+        score, found = _documents(batch.column(1), model)
+        data, offsets, starts, ends, first, chance, owner = found
         sentences = np.bincount(owner, minlength=batch.num_rows)
-        score = np.clip(-np.expm1(keep), 0.0, 1.0) + 0.0  # no negative zero
         begin = np.searchsorted(owner, np.arange(batch.num_rows + 1))
         after = np.append(first[1:], len(starts)) - 1  # the last word of each sentence
         worst: list[int | None] = []
@@ -296,3 +310,24 @@ def score(
     return documents.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     ).mapInArrow(partial(_score, model=model, settings=settings), _SCORED)
+
+
+def _clean(
+    batches: Iterator[pa.RecordBatch], text: int, model: ToxicityModel, settings: ToxicitySettings
+) -> Iterator[pa.RecordBatch]:
+    for batch in portions(batches, text):
+        score, _ = _documents(batch.column(text), model)
+        yield batch.filter(pa.array(score < settings.threshold))
+
+
+def clean(
+    documents: DataFrame,
+    model: ToxicityModel,
+    settings: ToxicitySettings = ToxicitySettings(),
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of documents, with all their columns, that score below the threshold."""
+    text = documents.columns.index(text_column)
+    return documents.mapInArrow(
+        partial(_clean, text=text, model=model, settings=settings), documents.schema
+    )
