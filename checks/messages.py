@@ -149,6 +149,31 @@ def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(events_table(spark, sf_dir), messy_document(), row_key())
 
 
+def odd_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with what producers leave behind the last brace, by event number."""
+    case = F.col("event_id") % 6
+    ends = (
+        F.when(case == 0, "\n")
+        .when(case == 1, "\r\n")
+        .when(case == 2, "\t")
+        .when(case == 3, '{"second":1}')
+        .when(case == 4, " \n\r\n ")
+        .otherwise("")
+    )
+    return envelope(events_table(spark, sf_dir), F.concat(document(), ends), row_key())
+
+
+def untimely(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some documents with times that no timestamp, or no BIGINT, can hold."""
+    case = F.col("event_id") % 50
+    value = (
+        F.when(case == 0, '{"eid":301,"uid":1,"dtm":9.0e15,"ua":"x"}')
+        .when(case == 1, '{"eid":301,"uid":1,"dtm":1e300,"ua":"x"}')
+        .otherwise(document())
+    )
+    return envelope(events_table(spark, sf_dir), value, row_key())
+
+
 def odd_number_text() -> Column:
     """Number-like text in the shapes the coercion rules tell apart."""
     number = F.col("event_id")

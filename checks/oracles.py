@@ -296,6 +296,16 @@ def oracle_sql() -> dict[str, str]:
         CORE, f'select event_id as "offset", rowkey, {extended} as value from core'
     )
     sql["core_rekey"] = sql["core_extend_json"]
+    sql["core_extend_json_ends"] = _with(
+        CORE,
+        f"""select event_id as "offset", rowkey,
+  case when event_id % 6 <> 3 then {extended} end as value from core""",
+    )
+    sql["rejects_ends"] = _with(
+        FX,
+        """select part as partition, event_id as "offset", 'trailing_text' as reason
+from fx where event_id % 6 = 3""",
+    )
     sql["core_extend_json_messy"] = _with(
         MESSY,
         """select event_id as "offset", k not in (0, 1, 2, 8) as extended from messy""",
@@ -400,6 +410,14 @@ where try_cast(id_text as int) is not null""",
     )
     sql["cookies_hopping"] = _with(CORE, hopping("counted"))
     sql["cookies_hopping_panes"] = sql["cookies_hopping"]
+    sql["cookies_hopping_untimely"] = _with(
+        CORE
+        + """,
+timely as (
+  select rowkey, eid, uid, server_time from counted where event_id % 50 > 1
+  union all select rowkey, 301, 1, 0 from core where event_id % 50 = 1 and rowkey > '')""",
+        hopping("timely"),
+    )
     sql["cookies_hopping_fast"] = _with(FAST, hopping("fast"))
     sql["cookies_hopping_fast_panes"] = sql["cookies_hopping_fast"]
     sql["cookies_tumbling"] = _with(CORE, tumbling("counted"))
@@ -532,6 +550,17 @@ from fx left join hashes k on k.text = fx.rowkey left join hashes a on a.text =
     sql["task_spec_range"] = limited(
         "order by part, event_id", "part between 1 and 3 and event_id >= 500|place <= 3000"
     )
+    sql["task_spec_two_topics"] = _with(
+        FX,
+        """, placed as (
+  select case when event_id % 3 = 0 then 'second' else 'user-keyed-clickstream' end as topic,
+    part, event_id from fx where (part < 3 and event_id >= 5) or part = 3),
+numbered as (
+  select *, row_number() over (partition by topic, part = 3 order by part, event_id) as place
+  from placed)
+select topic, part as partition, event_id as "offset" from numbered
+where place <= case when part = 3 then 7 else 60 end""",
+    )
     sql["task_spec_total"] = limited("order by part, event_id", "true|place <= 4321")
     sql["task_spec_stored"] = limited(
         "order by part, event_id",

@@ -65,6 +65,15 @@ def core_extend_json_messy(spark, sf_dir):
     return reread.select("offset", F.col("_ua_is_test").isNotNull().alias("extended"))
 
 
+def core_extend_json_ends(spark, sf_dir):
+    documents = enrich.extended_documents(m.odd_ends(spark, sf_dir), no_clock())
+    return documents.select("offset", "rowkey", "value")
+
+
+def rejects_ends(spark, sf_dir):
+    return parse.rejects(m.odd_ends(spark, sf_dir), whole=True)
+
+
 # --- extraction and typing ----------------------------------------------------
 
 
@@ -191,6 +200,10 @@ def cookies_hopping(spark, sf_dir):
     return batch.cookie_windows(m.clickstream(spark, sf_dir), no_clock())
 
 
+def cookies_hopping_untimely(spark, sf_dir):
+    return batch.cookie_windows(m.untimely(spark, sf_dir), no_clock())
+
+
 def cookies_hopping_panes(spark, sf_dir):
     return batch.cookie_windows(m.clickstream(spark, sf_dir), no_clock(), panes=True)
 
@@ -386,6 +399,15 @@ def task(spec: str, stored: dict[int, int] | None = None) -> Query:
     return query
 
 
+def task_two_topics(spark, sf_dir):
+    """Every topic has the task's limit for itself."""
+    topic = F.when(F.col("offset") % 3 == 0, "second").otherwise(F.col("topic"))
+    folder = fresh_folder(spark, "replay")
+    write_replay(m.clickstream(spark, sf_dir).withColumn("topic", topic), folder)
+    rows = TaskSpec.parse("0-2:5:60,3:-2:7").select(read_replay(spark, folder))
+    return rows.select("topic", "partition", "offset")
+
+
 # --- streams ------------------------------------------------------------------
 
 
@@ -546,6 +568,8 @@ def queries() -> dict[str, Query]:
         "core_enriched": core_enriched,
         "core_extend_json": core_extend_json,
         "core_extend_json_messy": core_extend_json_messy,
+        "core_extend_json_ends": core_extend_json_ends,
+        "rejects_ends": rejects_ends,
         "core_rekey": core_rekey,
         "parse_top_level": parse_top_level,
         "parse_typed": parse_typed,
@@ -586,6 +610,7 @@ def queries() -> dict[str, Query]:
         "filter_cookie_events": filter_cookie_events,
         "cookies_hopping": cookies_hopping,
         "cookies_hopping_panes": cookies_hopping_panes,
+        "cookies_hopping_untimely": cookies_hopping_untimely,
         "cookies_hopping_fast": cookies_hopping_fast,
         "cookies_hopping_fast_panes": cookies_hopping_fast_panes,
         "cookies_tumbling": cookies_tumbling,
@@ -617,6 +642,7 @@ def queries() -> dict[str, Query]:
         ),
         "task_spec_limit": task("0:100:700,1:-2:55,3:0:100000"),
         "task_spec_range": task("1-3:500:3000"),
+        "task_spec_two_topics": task_two_topics,
         "task_spec_total": task("*:-2:4321"),
         "task_spec_stored": task("0-3:-1000:6000", {0: 900, 1: 10, 2: 0, 3: 0}),
         "stream_append_final": stream_append_final,

@@ -42,9 +42,25 @@ PLATFORMS = (
     (16547000007, (12, 209), (), (12,), (), None),  # professional accounts
     (8, (163,), (), (), (), None),                # messenger
 )
+
+# Epoch milliseconds of the first instant of year 1 and the last of year 9999.
+FIRST_MS, LAST_MS = -62135596800000, 253402300799999
 # ----------------------------------------------------------------------------
 
 
+def event_timestamp(millis: Column, latest_ms: int | Column | None = None) -> Column:
+    """Epoch milliseconds as a timestamp; NULL outside the years 1 to 9999.
+
+    Any later time moves a stream's watermark up to it, and all earlier rows are then
+    late. ``latest_ms`` makes times beyond it NULL as well, which keeps one wrong
+    clock from doing so.
+    """
+    inside = millis.between(FIRST_MS, LAST_MS)
+    if latest_ms is not None:
+        inside = inside & (millis <= latest_ms)
+    return F.when(inside, F.timestamp_millis(millis))
+
+
 def legacy_source_code(src: Column) -> Column:
     """Source number packed into an old ``src``: last two digits above 100, last
     one below; exactly 100 carries none."""
@@ -62,12 +78,12 @@ def _recommender(src_id: Column, app: Column) -> Column:
 
 def server_time(dtm: Column, dt: Column, fallback: Column) -> Column:
     """Event time in epoch ms: fractional seconds, else whole seconds, else the
-    fallback (the message time, a literal, or the clock)."""
-    return (
-        F.when(dtm > 0, (dtm * 1000).try_cast("bigint"))
-        .when(dt > 0, dt.cast("bigint") * 1000)
-        .otherwise(fallback.cast("bigint"))
+    fallback (the message time, a literal, or the clock). The fallback also stands in
+    for a time that does not fit a BIGINT."""
+    stated = F.when(dtm > 0, (dtm * 1000).try_cast("bigint")).when(
+        dt > 0, dt.cast("bigint") * 1000
     )
+    return F.coalesce(stated, fallback.cast("bigint"))
 
 
 def clock_ms() -> Column:

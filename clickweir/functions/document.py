@@ -17,6 +17,14 @@ from clickweir.functions.text import null_text
 
 _NEGATIVE_ONE = -1
 
+# Fixed value: what JSON allows around a document. Producers often end messages with it.
+JSON_BLANKS = " \t\r\n"
+
+
+def document_text(value: Column) -> Column:
+    """The text without the blanks behind its last character."""
+    return F.rtrim(value, F.lit(JSON_BLANKS))
+
 
 def is_document(value: Column) -> Column:
     """True when the text is a JSON object (an empty one included)."""
@@ -78,7 +86,7 @@ def extendable(value: Column) -> Column:
     looked at as well: a key put before the last brace must come back as the last
     key. One pass over the text settles both.
     """
-    body = F.rtrim(value)
+    body = document_text(value)
     probe = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(',"":0}'))
     last_key = F.try_element_at(F.json_object_keys(probe), F.lit(_NEGATIVE_ONE))
     checked = F.when(value.rlike(r"^\s*\{\s*\}\s*$"), True).otherwise(
@@ -102,7 +110,7 @@ def extend_document(
         comma = "," if parts else ""
         parts.append(F.lit(f"{comma}{json.dumps(name)}:"))
         parts.append(F.coalesce(number.cast("string"), F.lit("null")))
-    body = F.rtrim(value)
+    body = document_text(value)
     head = F.substring(body, F.lit(1), F.length(body) - 1)
     separator = F.when(head.rlike(r"^\s*\{\s*$"), "").otherwise(",")
     joined = F.concat(head, separator, *parts, F.lit("}")) if parts else value

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKET_OFFSETS = 1 << 20
+BUCKET_BITS = 20
+RANGE = ["_range", "_topic", "partition"]
 
 
 @dataclass(frozen=True)
@@ -49,19 +50,26 @@ class OffsetRange:
 def select_ranges(
     messages: DataFrame,
     ranges: Sequence[OffsetRange],
-    bucket_offsets: int = BUCKET_OFFSETS,
+    bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Messages inside the given, non-overlapping ranges, limits applied exactly."""
-    tag = F
+    """Messages inside the given, non-overlapping ranges, limits applied exactly.
+
+    The ranges come first as one plain condition, which reaches the scan. Every topic
+    has its own ranges and limits, where the envelope names one.
+    """
+    tag, inside = F, F.lit(False)
     for number, part in enumerate(ranges):
         tag = tag.when(part.condition(), F.lit(number))
+        inside = inside | part.condition()
     open_ended = [n for n, part in enumerate(ranges) if part.limit is None]
-    tagged = messages.withColumn("_range", tag).where(F.col("_range").isNotNull())
+    topic = F.col("topic") if "topic" in messages.columns else F.lit(None).cast("string")
+    tagged = messages.where(inside).withColumn("_range", tag)
     if len(open_ended) == len(ranges):
         return tagged.drop("_range")
-    cutoffs = _cutoffs(tagged, ranges, bucket_offsets)
+    tagged = tagged.withColumn("_topic", F.coalesce(topic, F.lit("")))
+    cutoffs = _cutoffs(tagged, ranges, bucket_bits)
     # at most one row per topic partition
-    joined = tagged.join(F.broadcast(cutoffs), ["_range", "partition"], "left")
+    joined = tagged.join(F.broadcast(cutoffs), RANGE, "left")
     within = F.col("offset") <= F.col("_cutoff")
     if open_ended:
         within = within | F.col("_range").isin(*open_ended)
@@ -69,57 +77,58 @@ def select_ranges(
 
 
 def _cutoffs(
-    tagged: DataFrame, ranges: Sequence[OffsetRange], bucket_offsets: int
+    tagged: DataFrame, ranges: Sequence[OffsetRange], bucket_bits: int
 ) -> DataFrame:
-    """(range, partition) -> highest offset still inside the limit."""
+    """(range, topic, partition) -> highest offset still inside the limit."""
     limits = F
     for number, part in enumerate(ranges):
         if part.limit is not None:
             limits = limits.when(F.col("_range") == number, F.lit(part.limit))
-    slot = F.floor(F.col("offset") / bucket_offsets)
-    positions = tagged.where(limits.isNotNull()).select("_range", "partition", "offset")
-    counts = positions.groupBy("_range", "partition", slot.alias("_slot")).agg(
+    slot = F.shiftright("offset", bucket_bits)
+    limited = [n for n, part in enumerate(ranges) if part.limit is not None]
+    positions = tagged.where(F.col("_range").isin(*limited)).select(*RANGE, "offset")
+    counts = positions.groupBy(*RANGE, slot.alias("_slot")).agg(
         F.count("*").alias("_rows"), F.max("offset").alias("_top")
     )
 
     # rows of a range in lower partitions; one row per topic partition here
-    totals = counts.groupBy("_range", "partition").agg(F.sum("_rows").alias("_total"))
+    totals = counts.groupBy(*RANGE).agg(F.sum("_rows").alias("_total"))
     earlier = (
-        W.partitionBy("_range")
+        W.partitionBy("_range", "_topic")
         .orderBy("partition")
         .rowsBetween(W.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
     quotas = totals.select(
-        "_range", "partition", (limits - before).cast("bigint").alias("_quota")
+        *RANGE, (limits - before).cast("bigint").alias("_quota")
     )
 
-    along = W.partitionBy("_range", "partition").orderBy("_slot")
+    along = W.partitionBy(*RANGE).orderBy("_slot")
     reached = F.sum("_rows").over(along)
     filled = (
         counts.withColumn("_reached", reached)
-        .join(F.broadcast(quotas), ["_range", "partition"])
+        .join(F.broadcast(quotas), RANGE)
         .withColumn("_needed", F.col("_quota") - F.col("_reached") + F.col("_rows"))
         .where(F.col("_needed") > 0)
     )
     # buckets taken whole need no look at their rows
     whole = filled.where(F.col("_needed") >= F.col("_rows")).select(
-        "_range", "partition", F.col("_top").alias("_cutoff")
+        *RANGE, F.col("_top").alias("_cutoff")
     )
     split = filled.where(F.col("_needed") < F.col("_rows")).select(
-        "_range", "partition", "_slot", "_needed"
+        *RANGE, "_slot", "_needed"
     )
     inside = positions.withColumn("_slot", slot).join(
-        F.broadcast(split), ["_range", "partition", "_slot"]
+        F.broadcast(split), [*RANGE, "_slot"]
     )
-    order = W.partitionBy("_range", "partition").orderBy("offset")
+    order = W.partitionBy(*RANGE).orderBy("offset")
     partial = (
         inside.withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") == F.col("_needed"))
-        .select("_range", "partition", F.col("offset").alias("_cutoff"))
+        .select(*RANGE, F.col("offset").alias("_cutoff"))
     )
     return (
         whole.unionByName(partial)
-        .groupBy("_range", "partition")
+        .groupBy(*RANGE)
         .agg(F.max("_cutoff").alias("_cutoff"))
     )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickweir.functions.decisions import event_timestamp
+
 # --- Fixed values: event ids counted per cookie, and the window ---------------
 COUNTERS = {
     "cnt_pixel": 3506,
@@ -35,14 +37,27 @@ def cookie_events(
     )
 
 
-def with_event_time(events: DataFrame, grace: str | None = GRACE) -> DataFrame:
-    """Add ``_event_time`` from ``_server_time``; on a stream also the watermark."""
-    timed = events.withColumn("_event_time", F.timestamp_millis("_server_time"))
+def with_event_time(
+    events: DataFrame, grace: str | None = GRACE, latest_ms: int | None = None
+) -> DataFrame:
+    """Add ``_event_time`` from ``_server_time``; on a stream also the watermark.
+
+    Times that no timestamp can hold, or beyond ``latest_ms``, are NULL: their rows fall
+    into no window. ``untimely_events`` lists them.
+    """
+    time = event_timestamp(F.col("_server_time"), latest_ms)
+    timed = events.withColumn("_event_time", time)
     if timed.isStreaming and grace:
         return timed.withWatermark("_event_time", grace)
     return timed
 
 
+def untimely_events(events: DataFrame, latest_ms: int | None = None) -> DataFrame:
+    """The events that have a time, but none that a window can be found for."""
+    time = event_timestamp(F.col("_server_time"), latest_ms)
+    return events.where(F.col("_server_time").isNotNull() & time.isNull())
+
+
 def _count_aggregates(counters: Mapping[str, int]) -> list[Column]:
     return [
         F.max(F.when(F.col("uid") > 0, 1).otherwise(0)).alias(FLAG),
@@ -161,7 +176,7 @@ def session_counters(
         )
     time = F.col("_server_time")
     panes = (
-        events.where(time.isNotNull())
+        timed.where(F.col("_event_time").isNotNull())
         .withColumn("_pane", F.floor(time / gap_ms))
         .groupBy("rowkey", "_pane")
         .agg(

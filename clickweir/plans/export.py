@@ -11,6 +11,7 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from clickweir.session import build_session
@@ -25,14 +26,24 @@ from clickweir.sources.task_spec import TaskSpec
 from clickweir.streaming.append import start_table_append
 from clickweir.streaming.run import run_bounded
 
-FORMATS = ("csv", "orc", "table", "jdbc")
+# which of the target's options each format honours
+HONOURED = {
+    "csv": {"columns", "filename", "delimiter", "newline", "compression", "hash_method"},
+    "orc": {"columns", "filename", "compression"},
+    "table": {"table", "nulls"},
+    "jdbc": {
+        "table", "columns_table", "host", "port", "user", "password", "database",
+        "jdbc_url", "jdbc_driver", "nulls", "batch_size", "thread_count",
+    },
+}
+FORMATS = tuple(HONOURED)
 
 
 @dataclass
 class ExportJob:
     """One export; every field is a command-line option of the same name."""
 
-    task: str = "*:-2:0"
+    task: str = ""
     format: str = "csv"
     columns: str = "json"
     filename: str = ""
@@ -82,7 +93,24 @@ class ExportJob:
             ca_location=self.ssl_ca_location,
         )
 
-    def source_options(self) -> dict[str, str]:
+    def check(self) -> None:
+        """Refuse what the format does not honour, rather than ignore it."""
+        if not self.task:
+            raise ValueError("a task is needed: partitions:offset:limit")
+        if self.format not in FORMATS:
+            raise ValueError(f"unknown format {self.format!r}; expected one of {FORMATS}")
+        known = set().union(*HONOURED.values())
+        ignored = sorted(
+            item.name
+            for item in fields(self)
+            if item.name in known - HONOURED[self.format]
+            and getattr(self, item.name) != item.default
+        )
+        if ignored:
+            raise ValueError(f"format {self.format!r} has no use for {ignored}")
+
+    def source_options(self, has_positions: bool = False) -> dict[str, str]:
+        """``has_positions``: an earlier run has stored some in the checkpoint."""
         spec = TaskSpec.parse(self.task)
         return {
             **self.connection().options(),
@@ -91,7 +119,7 @@ class ExportJob:
                 start_earliest=self.start_earliest,
                 partition_count=self.partition_count or None,
                 streaming=bool(self.checkpoint),
-                has_checkpoint=bool(self.checkpoint),
+                has_checkpoint=has_positions,
             ),
         }
 
@@ -123,7 +151,7 @@ def export(messages: DataFrame, job: ExportJob) -> None:
             compression=job.compression or None,
         )
     elif job.format == "orc":
-        write_orc(messages, job.filename, job.columns)
+        write_orc(messages, job.filename, job.columns, compression=job.compression or "zlib")
     elif job.format == "table":
         append_to_table(messages, job.table, job.nulls)
     elif job.format == "jdbc":
@@ -136,6 +164,7 @@ def export(messages: DataFrame, job: ExportJob) -> None:
 
 def run_export(spark: SparkSession, job: ExportJob) -> str:
     """Read, select and write; with a checkpoint as a bounded continuous run."""
+    job.check()
     if job.replay:
         messages = read_replay(spark, job.replay)
         export(TaskSpec.parse(job.task).select(messages), job)
@@ -144,7 +173,8 @@ def run_export(spark: SparkSession, job: ExportJob) -> str:
         messages = read_topic(spark, job.source_options())
         export(TaskSpec.parse(job.task).select(messages), job)
         return "finished"
-    messages = stream_topic(spark, job.source_options())
+    resumed = checkpoint_exists(spark, job.checkpoint)
+    messages = stream_topic(spark, job.source_options(has_positions=resumed))
     return run_bounded(
         _start(messages, job),
         max_duration=job.max_duration / 1000,
@@ -154,6 +184,14 @@ def run_export(spark: SparkSession, job: ExportJob) -> str:
     )
 
 
+def checkpoint_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a query has stored positions below this path."""
+    try:
+        return not spark.read.format("binaryFile").load(f"{path}/offsets").limit(1).isEmpty()
+    except AnalysisException:
+        return False  # there is no such folder
+
+
 def _start(messages: DataFrame, job: ExportJob):
     trigger = {"processingTime": "0 seconds"}
     if job.format == "table":
@@ -167,6 +205,8 @@ def _start(messages: DataFrame, job: ExportJob):
             writer = writer.option("compression", job.compression)
     elif job.format == "orc":
         writer = typed_rows(messages, job.columns).writeStream.format("orc")
+        if job.compression:
+            writer = writer.option("compression", job.compression)
     else:
         raise ValueError(f"format {job.format!r} has no continuous form")
     return (

@@ -6,19 +6,22 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickweir.functions.document import JSON_BLANKS
 from clickweir.sources.stream_spec import StreamSpec
 
 # Native SQL functions: the analyzer replaces a call by its body, so they cost what
 # the body costs and run on streams as well.
+_BODY = f"trim(TRAILING {JSON_BLANKS!r} FROM document)"
+
 SQL_FUNCTIONS = {
-    "extend_json": r"""
+    "extend_json": rf"""
         (added MAP<STRING, BIGINT>, document STRING) RETURNS STRING
         RETURN CASE
           WHEN size(added) = 0 THEN document
-          WHEN document RLIKE '^\\s*[{]\\s*[}]\\s*$' THEN to_json(added)
-          WHEN endswith(rtrim(document), '}') AND try_element_at(json_object_keys(
-              concat(left(rtrim(document), length(rtrim(document)) - 1), ',"":0}')), -1) <=> ''
-            THEN concat(left(rtrim(document), length(rtrim(document)) - 1), ',',
+          WHEN document RLIKE '^\\s*[{{]\\s*[}}]\\s*$' THEN to_json(added)
+          WHEN endswith({_BODY}, '}}') AND try_element_at(json_object_keys(
+              concat(left({_BODY}, length({_BODY}) - 1), ',"":0}}')), -1) <=> ''
+            THEN concat(left({_BODY}, length({_BODY}) - 1), ',',
                         substring(to_json(added), 2))
         END""",
     "clock_ms": "() RETURNS BIGINT RETURN unix_millis(current_timestamp())",

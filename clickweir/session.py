@@ -54,11 +54,14 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none is a private one made, which is right for
-    a single-machine test and nothing else.
+    A session on one machine that names none gets a private one. On a cluster that is
+    an error: every executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir: {master} needs a shared folder")
         folder = tempfile.mkdtemp(prefix="clickweir-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -54,7 +54,8 @@ def append_to_jdbc(
 ) -> None:
     """Append messages; ``types`` from ``sources.catalog.columns_from_table``.
 
-    ``numPartitions`` bounds the connections: the writer coalesces to it.
+    ``writers`` bounds the connections. Rows are dealt out to them after parsing, which
+    keeps its own parallelism.
     """
-    rows = table_rows(messages, schema_of(types), nulls, types)
+    rows = table_rows(messages, schema_of(types), nulls, types).repartition(target.writers)
     rows.write.format("jdbc").options(**target.options()).mode("append").save()

@@ -26,6 +26,17 @@ def header_columns(headers) -> list[Column]:
     return [F.coalesce(made[name], F.lit("")) for name in headers]
 
 
+# Characters that would break a line, and how JSON writes them.
+LINE_BREAKING = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
+def one_line(text: Column) -> Column:
+    """Control characters as the message wrote them, so that a record is one line."""
+    for character, written in LINE_BREAKING.items():
+        text = F.replace(text, F.lit(character), F.lit(written))
+    return text
+
+
 def _joined(cells: list[Column], delimiter: str) -> Column:
     return F.concat_ws(delimiter, *[F.coalesce(cell, F.lit("")) for cell in cells])
 
@@ -38,7 +49,8 @@ def render_lines(
 ) -> DataFrame:
     """One text column ``line`` for the modes json, eav and columns.
 
-    Nothing is quoted or escaped; NULL is the empty cell. A message whose payload is
+    Nothing is quoted; control characters of a value keep their JSON spelling, so every
+    record is one line (json writes the text as it is). NULL is the empty cell. A message whose payload is
     no document gives the text itself (json), no line (eav) or empty cells (columns).
     """
     own = ExportSpec.parse(spec) if isinstance(spec, str) else spec
@@ -48,7 +60,9 @@ def render_lines(
         return messages.select(line.alias("line"))
     if own.mode == "eav":
         rows = entity_rows(messages, own.headers)
-        cells = [*[F.col(name) for name in own.headers], F.col("field"), F.col("text")]
+        cells = [
+            *[F.col(name) for name in own.headers], one_line(F.col("field")), one_line(F.col("text"))
+        ]
         return rows.select(_joined(cells, delimiter).alias("line"))
     if own.mode != "columns":
         raise ValueError(f"mode {own.mode!r} has no text form; use sparse_groups")
@@ -56,7 +70,7 @@ def render_lines(
     cells: list[Column] = [F.col(f"_head_{n}") for n in range(len(headers))]
     position = 0
     for members in own.groups.values():
-        columns = [F.col(f"_cell_{position + n}") for n in range(len(members))]
+        columns = [one_line(F.col(f"_cell_{position + n}")) for n in range(len(members))]
         position += len(members)
         if len(columns) == 1:
             cells += columns

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickweir.functions.decisions import event_timestamp
 from clickweir.operators.parse import parse_events
 from clickweir.operators.windows import GRACE
 
@@ -43,7 +44,8 @@ class StreamSpec:
         )
         if not self.time_column:
             return events
-        timed = events.withColumn("event_time", F.timestamp_millis(self.time_column))
+        time = event_timestamp(F.col(self.time_column))
+        timed = events.withColumn("event_time", time)
         if timed.isStreaming:
             return timed.withWatermark("event_time", self.grace)
         return timed

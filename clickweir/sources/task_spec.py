@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickweir.operators.limits import OffsetRange, select_ranges
 
@@ -25,7 +26,6 @@ EARLIEST = -2
 STORED = -1000
 
 _SYMBOLIC_OFFSETS = (LATEST, EARLIEST, STORED)
-_NO_ROW = 2**63 - 1
 
 
 @dataclass(frozen=True)
@@ -82,19 +82,27 @@ class TaskSpec:
         """The rows this task names out of a stored envelope, limits exact.
 
         ``stored`` gives the next offset per partition for ``-1000``; partitions
-        without one fail, or start at the beginning with ``start_earliest``.
+        without one fail, or start at the beginning with ``start_earliest``. For ``*`` and
+        ``%`` that is found when the rows are read: a partition without a position stops
+        the job instead of being left out. ``-1`` has no meaning here: a stored envelope
+        ends where it ends.
         """
+        if any(clause.offset == LATEST for clause in self.clauses):
+            raise ValueError("offset -1 (latest) needs a stream; a bounded run has nothing behind it")
         ranges = [
             _stored_range(messages, clause, stored or {}, start_earliest)
             if clause.offset == STORED
             else OffsetRange(
                 clause.first,
                 clause.last,
-                {LATEST: _NO_ROW, EARLIEST: 0}.get(clause.offset, clause.offset),
+                max(clause.offset, 0),
                 clause.limit,
             )
             for clause in self.clauses
         ]
+        for clause in self.clauses:
+            if clause.offset == STORED and clause.first is None and not start_earliest:
+                messages = _only_known(messages, stored)
         return select_ranges(messages, ranges)
 
     def options(
@@ -143,8 +151,11 @@ class TaskSpec:
                 self.clauses[0].offset, start_earliest, has_checkpoint
             )
         if streaming:
-            if self.total_limit:
-                options["maxOffsetsPerTrigger"] = str(self.total_limit)
+            if len(self.clauses) > 1:
+                raise ValueError("a stream has one limit in all: give a task of one clause")
+            if not self.total_limit:
+                raise ValueError("a limit of 0 reads nothing: a stream needs a larger one")
+            options["maxOffsetsPerTrigger"] = str(self.total_limit)
         elif not symbolic and all(c.own_limit and c.offset >= 0 for c in self.clauses):
             options["endingOffsets"] = json.dumps(
                 {topic: {str(c.first): c.offset + c.limit for c in self.clauses}}
@@ -193,10 +204,15 @@ def _stored_range(
                 raise ValueError(f"no stored offset for partitions {missing}")
         elif not known:
             raise ValueError("no stored offsets; pass start_earliest to begin anew")
-    rest = 0 if start_earliest else _NO_ROW
-    return OffsetRange(
-        clause.first, clause.last, rest, clause.limit, tuple(sorted(known.items()))
-    )
+    return OffsetRange(clause.first, clause.last, 0, clause.limit, tuple(sorted(known.items())))
+
+
+def _only_known(messages: DataFrame, stored: Mapping[int, int]) -> DataFrame:
+    """Fail on the first row of a partition without a stored position."""
+    unknown = F.concat(F.lit("no stored offset for partition "), F.col("partition"))
+    known = F.col("partition").isin(*stored)
+    checked = F.when(known, F.col("partition")).otherwise(F.raise_error(unknown).cast("int"))
+    return messages.withColumn("partition", checked)
 
 
 def _start_of(clause, number, stored, start_earliest, has_checkpoint) -> int:

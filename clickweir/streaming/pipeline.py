@@ -24,6 +24,7 @@ from clickweir.operators.windows import (
     hopping_counters_by_pane,
 )
 from clickweir.sources.envelope import ENVELOPE
+from clickweir.sources.kafka import DURABLE_WRITER
 from clickweir.streaming.keyed import read_keyed, start_keyed
 
 # Payload fields the window job reads, topic names of the stages.
@@ -199,11 +200,12 @@ def start_topic_writer(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Publish documents to a topic, keyed by row key so that each key stays in one
-    partition. ``options`` from ``sources.kafka``; needs the connector package."""
+    partition. ``options`` from ``sources.kafka`` add to the durable defaults there;
+    needs the connector package."""
     return (
         documents.select(F.col("rowkey").alias("key"), "value")
         .writeStream.format("kafka")
-        .options(**options)
+        .options(**{**DURABLE_WRITER, **options})
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -12,6 +12,37 @@ POLL_TIMEOUT = 30.0
 MAX_DURATION = 300.0
 
 
+class Observed:
+    """Sums over a query's progress, collected while it runs.
+
+    Spark keeps the last 100 progress reports; ``update`` has to be called before more
+    have passed. ``complete`` tells whether it was.
+    """
+
+    def __init__(self) -> None:
+        self.rows = self.late = 0
+        self.complete = True
+        self._seen: int | None = None
+
+    def update(self, query: StreamingQuery) -> int:
+        """Add the reports that are new; returns their input rows."""
+        fresh = 0
+        for progress in query.recentProgress:
+            batch = progress["batchId"]
+            if self._seen is not None and batch <= self._seen:
+                continue
+            if self._seen is not None and batch > self._seen + 1:
+                self.complete = False
+            self._seen = batch
+            fresh += progress["numInputRows"]
+            self.late += sum(
+                operator.get("numRowsDroppedByWatermark", 0)
+                for operator in progress["stateOperators"]
+            )
+        self.rows += fresh
+        return fresh
+
+
 def run_bounded(
     query: StreamingQuery,
     max_duration: float = MAX_DURATION,
@@ -19,30 +50,29 @@ def run_bounded(
     max_rows: int | None = None,
     keep_going: Callable[[], bool] | None = None,
     check_every: float = 0.5,
+    observed: Observed | None = None,
 ) -> str:
     """Let ``query`` run until the first bound is met, then stop it.
 
     Bounds: the time ``max_duration``, no input for ``idle_timeout``, ``max_rows``
     consumed, or ``keep_going()`` false (a lock file that vanished, for example).
     Returns which one it was; ``"finished"`` when the query ended by itself. Stopping
-    is safe at any moment: the checkpoint has every batch that was completed.
+    is safe at any moment: the checkpoint has every batch that was completed. With
+    ``max_rows`` 0 nothing is waited for. ``observed`` receives the run's sums.
     """
-    began = time.monotonic()
-    last_input, rows, seen = began, 0, -1
+    began = last_input = time.monotonic()
+    observed = Observed() if observed is None else observed
     try:
         while True:
             if query.awaitTermination(check_every):
+                observed.update(query)
                 return "finished"
             now = time.monotonic()
-            for progress in query.recentProgress:
-                if progress["batchId"] > seen:
-                    seen = progress["batchId"]
-                    if progress["numInputRows"] > 0:
-                        rows += progress["numInputRows"]
-                        last_input = now
+            if observed.update(query):
+                last_input = now
             if keep_going is not None and not keep_going():
                 return "released"
-            if max_rows is not None and rows >= max_rows:
+            if max_rows is not None and observed.rows >= max_rows:
                 return "limit"
             if now - began >= max_duration:
                 return "duration"
@@ -53,9 +83,9 @@ def run_bounded(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late so far, as kept in the recent progress.
+    """Rows dropped as too late in the last 100 progress reports that Spark keeps.
 
-    Rows are counted after expansion into windows: a late event in five hopping
+    ``Observed`` counts over longer runs. Rows are counted after expansion into windows: a late event in five hopping
     windows counts five times.
     """
     return sum(

@@ -65,7 +65,7 @@ CASES = [
 
 
 @pytest.mark.parametrize("ranges", CASES)
-@pytest.mark.parametrize("bucket", [1, 64, 1 << 20])
+@pytest.mark.parametrize("bucket", [0, 6, 20])
 def test_limits_match_brute_force(topic, ranges, bucket):
     found = select_ranges(topic, ranges, bucket)
     assert found.columns == topic.columns
@@ -100,7 +100,10 @@ def test_task_select(topic):
         return sorted((r["partition"], r["offset"]) for r in rows)
 
     every = expected(topic, [OffsetRange(None, None)])
-    assert taken("*:-1:100") == []
+    with pytest.raises(ValueError):
+        taken("*:-1:100")
+    with pytest.raises(Exception, match="no stored offset for partition 2"):
+        taken("*:-1000:5000", stored={0: 10, 1: 0})
     assert taken("*:-2:999") == every
     assert taken("1:-2:2") == [p for p in every if p[0] == 1][:2]
     stored = {0: 10_000, 1: 100, 2: 0}
