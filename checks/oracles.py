@@ -572,6 +572,17 @@ where place <= case when part = 3 then 7 else 60 end""",
     sql["stream_append_final"] = _with(CORE, hopping("counted", f"true {closed}"))
     sql["stream_append_panes"] = _with(FAST, hopping("fast", fast_closed))
     sql["stream_update_upsert"] = sql["cookies_hopping"]
+    counts = "u, agg_time, cnt_pixel, cnt_item_view, cnt_phone_view, cnt_app_item, cnt_app_call"
+    sql["sql_stream_changes"] = _with(CORE, f"select {counts} from ({hopping('counted')}) w")
+    sql["sql_stream_final"] = _with(
+        CORE, f"select {counts} from ({hopping('counted', f'true {closed}')}) w"
+    )
+    sql["sql_job_core"] = _with(
+        CORE,
+        """select event_id as "offset", case when event_id % 6 <> 3 then
+  substr(doc, 1, length(doc) - 1) || ',"_server_time":' || server_time
+  || ',"_platform_id":' || platform || '}' end as value from core""",
+    )
     sql["stream_tumbling"] = sql["cookies_tumbling"]
     sql["stream_session"] = _with(
         CORE,

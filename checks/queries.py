@@ -15,7 +15,7 @@ from clickweir.operators import enrich, features, imports, latest, parse, window
 from clickweir.plans import batch, sql_job
 from clickweir.session import fresh_folder
 from clickweir.sinks import files, render, tables
-from clickweir.sources.envelope import read_replay, write_replay
+from clickweir.sources.envelope import read_replay, stream_replay, write_replay
 from clickweir.sources.stream_spec import StreamSpec
 from clickweir.sources.task_spec import TaskSpec
 from clickweir.streaming import keyed, pipeline
@@ -243,17 +243,17 @@ def message_features(mode: str) -> Query:
     return query
 
 
+SQL_COUNTS = ", ".join(f"count_if(eid = {i}) AS {n}" for n, i in windows.COUNTERS.items())
+SQL_EVENTS = ", ".join(map(str, windows.COUNTERS.values()))
+SQL_WINDOW = f"window(event_time, '{windows.WINDOW_SIZE}', '{windows.WINDOW_HOP}')"
 SQL_JOB = (
     (
         "cookie_windows",
-        """
-        SELECT rowkey AS u, window_start_ms(window(event_time, '10 minutes', '2 minutes')) AS agg_time,
-               count_if(eid = 3506) AS cnt_pixel, count_if(eid = 301) AS cnt_item_view,
-               count_if(eid = 303) AS cnt_phone_view, count_if(eid = 2649) AS cnt_app_item,
-               count_if(eid = 2650) AS cnt_app_call
+        f"""
+        SELECT rowkey AS u, window_start_ms({SQL_WINDOW}) AS agg_time, {SQL_COUNTS}
         FROM clickstream_eid_time
-        WHERE rowkey > '' AND _ua_is_test = 0 AND eid IN (301, 303, 2649, 2650, 3506)
-        GROUP BY rowkey, window(event_time, '10 minutes', '2 minutes')
+        WHERE rowkey > '' AND _ua_is_test = 0 AND eid IN ({SQL_EVENTS})
+        GROUP BY rowkey, {SQL_WINDOW}
         """,
     ),
     (
@@ -278,6 +278,41 @@ def sql_job_query(spark, sf_dir):
     )
 
 
+def sql_job_core(spark, sf_dir):
+    """The first job in SQL: the added fields go into the whole document."""
+    sql_job.register_functions(spark)
+    events = enriched(spark, sf_dir).select("offset", "_server_time", "_platform_id")
+    documents = m.odd_ends(spark, sf_dir).select("offset", "value")
+    events.join(documents, "offset").createOrReplaceTempView("core_events")
+    return spark.sql(
+        """SELECT offset, extend_json(map('_server_time', _server_time,
+                  '_platform_id', _platform_id), value) AS value FROM core_events"""
+    )
+
+
+def sql_stream(changes: bool) -> Query:
+    """The windows of the SQL job over a stream, as finals or as the latest changes."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = fresh_folder(spark, "sql-stream")
+        source = fresh_folder(spark, "documents")
+        documents = enrich.extended_documents(
+            m.clickstream(spark, sf_dir), no_clock(), skip_rejects=True
+        )
+        pipeline.document_envelope(documents).coalesce(1).write.parquet(source)
+        job = sql_job.start_sql(
+            spark, {_core_stream_spec(): stream_replay(spark, source)}, SQL_JOB[:1],
+            f"{folder}/out", f"{folder}/checkpoint", changes=changes,
+        )
+        _drain(job)
+        schema = "u string, agg_time long, " + ", ".join(f"{n} long" for n in windows.COUNTERS)
+        if changes:
+            return keyed.read_keyed(spark, f"{folder}/out", schema, ["u", "agg_time"])
+        return spark.read.schema(schema).parquet(f"{folder}/out")
+
+    return query
+
+
 # --- exports ------------------------------------------------------------------
 
 
@@ -621,6 +656,9 @@ def queries() -> dict[str, Query]:
         "features_integer_messages": message_features("integer"),
         "features_fraction_messages": message_features("fraction"),
         "sql_job": sql_job_query,
+        "sql_job_core": sql_job_core,
+        "sql_stream_final": sql_stream(False),
+        "sql_stream_changes": sql_stream(True),
         "export_json_lines": export("partition;offset;key;timestamp;json"),
         "export_columns": export(COLUMN_SPEC),
         "export_columns_messy": export("offset;columns:uid,eid,o", m.messy, ";"),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from clickweir.functions.document import JSON_BLANKS
 from clickweir.sources.stream_spec import StreamSpec
+from clickweir.streaming.keyed import start_keyed
 
 # Native SQL functions: the analyzer replaces a call by its body, so they cost what
 # the body costs and run on streams as well.
@@ -39,6 +41,32 @@ def register_functions(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name} {body}")
 
 
+def start_sql(
+    spark: SparkSession,
+    declared: Mapping[StreamSpec, DataFrame],
+    statements: Sequence[tuple[str, str]],
+    path: str,
+    checkpoint: str,
+    changes: bool = False,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Run a job over declared streams and store what its last SELECT gives.
+
+    Results are appended once they are final, as Parquet, or with ``changes`` logged
+    whenever they change (read them with ``streaming.keyed.read_keyed``).
+    """
+    result = run_sql(spark, declared, statements)
+    if changes:
+        return start_keyed(result, path, checkpoint, trigger)
+    return (
+        result.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def run_sql(
     spark: SparkSession,
     declared: Mapping[StreamSpec, DataFrame],

@@ -1,11 +1,12 @@
 import gzip
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from clickweir.plans.export import ExportJob, parse_arguments, run_export
-from clickweir.session import fresh_folder
+from clickweir.session import fresh_folder, shared_folder
 from clickweir.sinks import files, render
 from clickweir.sinks.export_spec import ExportSpec, parse_typed_columns
 from clickweir.sinks.jdbc import JdbcTarget
@@ -235,6 +236,52 @@ def test_exporter_command_line(spark, messages):
         run_export(spark, ExportJob(replay=source, format="xml"))
 
 
+@pytest.mark.parametrize(
+    "job",
+    [
+        ExportJob(replay="x"),
+        ExportJob(replay="x", task="*:-2:1", format="table", table="t", batch_size=10),
+        ExportJob(replay="x", task="*:-2:1", format="table", table="t", thread_count=2),
+        ExportJob(replay="x", task="*:-2:1", format="orc", delimiter=";"),
+        ExportJob(replay="x", task="*:-2:1", format="csv", columns_table="t"),
+    ],
+)
+def test_exporter_refuses_what_it_would_ignore(spark, job):
+    with pytest.raises(ValueError):
+        run_export(spark, job)
+
+
+def test_orc_compression_is_honoured(spark, messages):
+    source, out = fresh_folder(spark, "replay"), fresh_folder(spark, "exported")
+    write_replay(messages(DOCUMENTS), source)
+    job = ExportJob(
+        replay=source, task="*:-2:9", format="orc", columns="b:double", filename=out,
+        compression="snappy",
+    )
+    assert run_export(spark, job) == "finished"
+    assert any(name.endswith(".snappy.orc") for name in os.listdir(out))
+
+
+def test_every_record_is_one_line(spark, messages):
+    texts = ['{"a":"x\\ny\\r\\tz","k\\nl":1}'] * 3
+    folder = fresh_folder(spark, "lines")
+    files.write_lines(messages(texts), folder, "offset;columns:a")
+    assert sorted(lines(spark.read.text(folder))) == [f"{n}|x\\ny\\r\\tz" for n in range(3)]
+    assert render.render_lines(messages(texts), "eav").where("line rlike '[\\n\\r\\t]'").isEmpty()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda *_: folder, set=lambda *_: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    assert shared_folder(session("local[4]"))
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
+
+
 def test_exporter_source_options():
     job = ExportJob(
         brokers="b:9092", topic="clicks", group="g", task="%:-1000:10", start_earliest=True,
@@ -242,6 +289,10 @@ def test_exporter_source_options():
         security_protocol="SASL_SSL", ssl_ca_location="/ca.pem",
     )
     options = job.source_options()
+    fresh = ExportJob(brokers="b:9092", topic="clicks", task="%:-1000:10", checkpoint="/c")
+    with pytest.raises(ValueError):
+        fresh.source_options(has_positions=False)
+    assert fresh.source_options(has_positions=True)["startingOffsets"] == "earliest"
     assert options["subscribe"] == "clicks"
     assert options["startingOffsets"] == "earliest"
     assert options["maxOffsetsPerTrigger"] == "10"

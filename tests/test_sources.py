@@ -130,6 +130,9 @@ def test_task_options():
     assert explicit["maxOffsetsPerTrigger"] == "5"
     mixed = TaskSpec.parse("0-1:-1000:5").options("t", stored={0: 3}, start_earliest=True)
     assert json.loads(mixed["startingOffsets"]) == {"t": {"0": 3, "1": -2}}
+    for text in ("0:0:5,1:0:5", "*:-2:0"):
+        with pytest.raises(ValueError):
+            TaskSpec.parse(text).options("t", streaming=True)
     for text in ("%:-1000:5", "0:-1000:5"):
         with pytest.raises(ValueError):
             TaskSpec.parse(text).options("t")

@@ -15,7 +15,7 @@ from clickweir.sinks.tables import append_to_table
 from clickweir.sources.envelope import stream_replay, write_replay
 from clickweir.streaming import keyed, pipeline
 from clickweir.streaming.append import start_table_append
-from clickweir.streaming.run import late_rows, run_bounded
+from clickweir.streaming.run import Observed, late_rows, run_bounded
 
 EVENT = "rowkey string, eid int, uid int, _server_time bigint, _ua_is_test bigint"
 MINUTE = 60_000
@@ -67,6 +67,16 @@ def test_final_results_and_late_rows(spark):
     assert not any(key == "c" for key, _ in found)
 
 
+def test_an_untimely_event_stops_nothing(spark):
+    runs = Deliveries(spark)
+    runs.deliver(("a", 1), ("bad", 1.5e14), ("bad", -1.5e14), ("a", 20))
+    runs.deliver(("a", 21), ("bad", 1.5e14))
+    runs.deliver(("c", 60))
+    found = runs.result()
+    assert found[("a", 0)] == 1 and runs.late == 0
+    assert not any(key == "bad" for key, _ in found)
+
+
 def test_restart_repeats_nothing(spark):
     runs = Deliveries(spark)
     for minute in (1, 30, 60, 90):
@@ -257,4 +267,6 @@ def test_a_finished_query_ends_the_run(spark, sf_dir):
         .trigger(availableNow=True)
         .start()
     )
-    assert run_bounded(query, max_duration=60) == "finished"
+    observed = Observed()
+    assert run_bounded(query, max_duration=60, observed=observed) == "finished"
+    assert observed.rows == m.events_table(spark, sf_dir).count() and observed.complete
