@@ -197,6 +197,65 @@ U8 = "((i64 % 256 + 256) % 256)"
 WORD = "text in ('t', 'true', 'on')"
 
 
+def xxhash_sql(texts: str) -> str:
+    """Public 64-bit hashes (seed 42) of texts under 32 bytes, in wrapping 64 bits.
+
+    A recursive step takes the next eight bytes, else four, else one; each kind has its
+    own multipliers and rotation.
+    """
+    # fixed values: the five primes of the public definition
+    p1, p2, p3, p4, p5 = (
+        f"{prime}::uhugeint"
+        for prime in (
+            11400714785074694791, 14029467366897019727, 1609587929392839161,
+            9650029242287828579, 2870177450012600261,
+        )
+    )
+    modulus = f"{1 << 64}::uhugeint"
+
+    def power(exponent: int) -> str:
+        return f"{1 << exponent}::uhugeint"
+
+    def number(size: int) -> str:
+        return " + ".join(
+            f"('0x' || substr(hx, 1 + 2 * (t.pos + {i}), 2))::uhugeint * {power(8 * i)}"
+            for i in range(size)
+        )
+
+    def turned(value: str, by: int) -> str:
+        return f"(({value}) * {power(by)} % {modulus} + ({value}) // {power(64 - by)})"
+
+    eight = f"{turned('lane', 31)} * {p1} % {modulus}"
+    kinds = ((8, "k = 8", 27, p1, p4), (4, "k = 4", 23, p2, p3), (1, "k = 1", 11, p1, "0::uhugeint"))
+    mixed = " ".join(
+        f"when {test} then ({turned('x', by)} * {factor} + {extra}) % {modulus}"
+        for _, test, by, factor, extra in kinds
+    )
+    return f"""
+  texts as materialized (
+    select row_number() over () as id, text, octet_length(encode(text)) as len,
+      rpad(hex(encode(text)), 2 * octet_length(encode(text))::int + 16, '0') as hx
+    from (select distinct text from ({texts}) t where text is not null) d),
+  steps as (
+    select id, 0::bigint as pos, (42::uhugeint + {p5} + len::uhugeint) % {modulus} as h from texts
+    union all
+    select id, pos + k, case {mixed} end as h
+    from (
+      select *, xor(h, case when k = 8 then {eight} else lane end) as x
+      from (
+        select t.id, t.pos, t.h, case when len - t.pos >= 8 then 8 when len - t.pos >= 4 then 4 else 1 end as k,
+          case when len - t.pos >= 8 then ({number(8)}) * {p2} % {modulus}
+            when len - t.pos >= 4 then ({number(4)}) * {p1} % {modulus}
+            else ({number(1)}) * {p5} % {modulus} end as lane
+        from steps t join texts using (id) where t.pos < len) taken) joined),
+  spread as (
+    select text, xor(h, h // {power(33)}) * {p2} % {modulus} as h
+    from steps join texts using (id) where pos = len),
+  spread2 as (select text, xor(h, h // {power(29)}) * {p3} % {modulus} as h from spread),
+  hashes as (
+    select text, (xor(h, h // {power(32)}) // 2)::bigint as hash from spread2)"""
+
+
 def hash_sql(texts: str) -> str:
     """Hashes of the column ``text`` of a query, block by block, in wrapping 64 bits.
 
@@ -505,14 +564,16 @@ where pair.text is not null""",
 from fx join hashes u on u.text = fx.uuid left join hashes a on a.text = fx.ua""",
         recursive=True,
     )
-    sql["hash_compat"] = _with(
-        FX + "," + hash_sql(EVENT_HASH_TEXTS),
-        """select fx.event_id as "offset", u.hash as uuid_hash, a.hash as ua_hash, k.hash as key_hash,
+    event_hashes = """select fx.event_id as "offset", u.hash as uuid_hash, a.hash as ua_hash, k.hash as key_hash,
   p.hash as props_hash, c.hash as cid_hash
 from fx left join hashes u on u.text = fx.uuid left join hashes a on a.text = fx.ua
   left join hashes k on k.text = fx.rowkey left join hashes p on p.text = fx.props
-  left join hashes c on c.text = cast(fx.cid as varchar)""",
-        recursive=True,
+  left join hashes c on c.text = cast(fx.cid as varchar)"""
+    sql["hash_compat"] = _with(
+        FX + "," + hash_sql(EVENT_HASH_TEXTS), event_hashes, recursive=True
+    )
+    sql["hash_xxhash"] = _with(
+        FX + "," + xxhash_sql(EVENT_HASH_TEXTS), event_hashes, recursive=True
     )
     sql["hash_documents"] = _with(
         hash_sql("select text from documents").lstrip(),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clickweir.functions.document import JSON_BLANKS
+from clickweir.session import prepare_streaming
 from clickweir.sources.stream_spec import StreamSpec
 from clickweir.streaming.keyed import start_keyed
 
@@ -55,6 +56,7 @@ def start_sql(
     Results are appended once they are final, as Parquet, or with ``changes`` logged
     whenever they change (read them with ``streaming.keyed.read_keyed``).
     """
+    prepare_streaming(spark)
     result = run_sql(spark, declared, statements)
     if changes:
         return start_keyed(result, path, checkpoint, trigger)

@@ -28,6 +28,26 @@ SESSION_DEFAULTS = {
 }
 
 
+DEFAULT_PROVIDER = (
+    "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+)
+
+
+def prepare_streaming(spark: SparkSession) -> None:
+    """Settings that a stateful query's memory depends on, where the session has Spark's own.
+
+    State moves to RocksDB, out of the heap, and sessions are merged before the shuffle.
+    A running checkpoint keeps the settings that it was started with.
+    """
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider, DEFAULT_PROVIDER) in ("", DEFAULT_PROVIDER):
+        for name, value in SESSION_DEFAULTS.items():
+            if ".stateStore." in name:
+                spark.conf.set(name, value)
+    merge = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    spark.conf.set(merge, SESSION_DEFAULTS[merge])
+
+
 def build_session(
     app_name: str = "clickweir",
     master: str | None = None,

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from clickweir.session import prepare_streaming
+
 BATCH = "change_batch"
 
 
@@ -26,6 +28,7 @@ def start_keyed(
     name: str | None = None,
 ) -> StreamingQuery:
     """Write every change of ``changes`` to the log at ``path``."""
+    prepare_streaming(changes.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
@@ -66,10 +69,15 @@ def compact_keyed(
     target: str,
     schema: StructType | str,
     keys: Sequence[str],
+    keep: Column | None = None,
 ) -> None:
     """Fold the log at ``path`` into a fresh one-batch log at ``target``.
 
     For a stopped query: restart it with ``target`` as its path and the same
-    checkpoint. Batch -1 sorts before every batch still to come.
+    checkpoint. Batch -1 sorts before every batch still to come. ``keep`` says which rows
+    are still wanted (``agg_time >= ...`` for windows): retention.
     """
-    read_keyed(spark, path, schema, keys).write.parquet(f"{target}/{BATCH}=-1")
+    rows = read_keyed(spark, path, schema, keys)
+    if keep is not None:
+        rows = rows.where(keep)
+    rows.write.parquet(f"{target}/{BATCH}=-1")

@@ -23,6 +23,7 @@ from clickweir.operators.windows import (
     hopping_counters,
     hopping_counters_by_pane,
 )
+from clickweir.session import prepare_streaming
 from clickweir.sources.envelope import ENVELOPE
 from clickweir.sources.kafka import DURABLE_WRITER
 from clickweir.streaming.keyed import read_keyed, start_keyed
@@ -140,6 +141,7 @@ def start_final_windows(
     documents: DataFrame, stages: Stages, panes: bool = False, trigger: dict | None = None
 ) -> StreamingQuery:
     """Stage 2, final form: a window appears once, when no event can reach it."""
+    prepare_streaming(documents.sparkSession)
     return (
         windows_of(documents, panes)
         .writeStream.format("parquet")

@@ -154,6 +154,9 @@ def test_changes_are_idempotent_and_fold(spark):
     keyed.compact_keyed(spark, f"{folder}/out", f"{folder}/compact", schema, ["k"])
     assert os.listdir(f"{folder}/compact") == [f"{keyed.BATCH}=-1"]
     assert table(f"{folder}/compact") == {"a": 2, "b": 1, "c": 1}
+    keep = F.col("k") != "b"
+    keyed.compact_keyed(spark, f"{folder}/out", f"{folder}/kept", schema, ["k"], keep)
+    assert table(f"{folder}/kept") == {"a": 2, "c": 1}
 
 
 def test_features_do_not_change_when_windows_repeat(spark, sf_dir):
