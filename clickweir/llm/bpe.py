@@ -31,8 +31,8 @@ from clickweir.llm.words import portions
 PIECE = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_PIECES = 250_000
+KEPT_PAIRS = 400_000
 
 
 def _letters() -> list[str]:
