@@ -30,7 +30,7 @@ class ForestSettings:
     trees: int = 16
     sample: int = 16_384
     leaf: int = 32
-    leaves: int = 320  # that a query looks into, in all trees together
+    leaves: int = 512  # that a query looks into, in all trees together
     block: int = 4096  # rows of a leaf that one task takes at a time
     leaves_a_task: int = 16
     seed: int = 5
