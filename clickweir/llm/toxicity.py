@@ -37,10 +37,10 @@ class ToxicitySettings:
 
     sample_each: int = 2000
     least_documents: int = 3
-    least_z: float = 4.0
+    least_z: float = 5.0
     most_features: int = 4096
-    rounds: int = 300
-    ridge: float = 0.02
+    rounds: int = 800
+    ridge: float = 0.001
     threshold: float = 0.7
     span_threshold: float = 0.5
 
@@ -73,64 +73,71 @@ def _sentences(data: np.ndarray, starts: np.ndarray, offsets: np.ndarray):
     return number, row - 1
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per sampled document: its label, feature hashes and sentence numbers, as bytes."""
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, context, toxic) for every feature of every document, once a document.
+
+    The context is the word before and the word behind the first occurrence.
+    """
     for batch in portions(batches):
+        data, offsets = text_bytes(batch.column(1))
+        starts, ends = word_spans(data, offsets, NOT_ALPHANUMERIC)
+        row = np.searchsorted(offsets, starts, side="right") - 1
+        found = _features(data, starts, ends)
+        around = np.zeros(len(starts) + 2, dtype=np.uint64)
+        around[1:-1] = found[:, 0]
+        context = mix(around[:-2] * np.uint64(3) + around[2:])
+        width = found.shape[1]
+        pairs = np.stack([found.ravel(), np.repeat(row, width).astype(np.uint64)])
+        _, first = np.unique(pairs, axis=1, return_index=True)
+        first = first[pairs[0, first] != 0]
+        word = first // width
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(pairs[0, first].view(np.int64)),
+                pa.array(context[word].view(np.int64)),
+                pa.array(batch.column(0).to_numpy()[row[word]]),
+            ],
+            ["feature", "context", "toxic"],
+        )
+
+
+def _hits(batches: Iterator[pa.RecordBatch], names: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per document: its label, sentences, and where it has the chosen features."""
+    for batch in batches:
         for i in range(batch.num_rows):
             data, offsets = text_bytes(batch.column(1).slice(i, 1))
             starts, ends = word_spans(data, offsets, NOT_ALPHANUMERIC)
             number, _ = _sentences(data, starts, offsets)
-            pairs = np.empty((len(starts), 2), dtype=np.uint64)
-            packed = []
-            for column in _features(data, starts, ends).T:
-                pairs[:, 0], pairs[:, 1] = column, number
-                packed.append(pairs[column != 0])
-            whole = np.unique(np.concatenate(packed), axis=0)
+            found = _features(data, starts, ends)
+            at = np.minimum(np.searchsorted(names, found), max(len(names) - 1, 0))
+            hit = names[at] == found if len(names) else np.zeros(found.shape, dtype=bool)
+            word, _ = np.nonzero(hit)
+            pairs = np.unique(np.stack([at[hit], number[word]]), axis=1).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(i, 1),
-                    pa.array([whole[:, 0].tobytes()], pa.binary()),
-                    pa.array([whole[:, 1].astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([len(np.unique(number))], pa.int32()),
+                    pa.array([pairs[0].tobytes()], pa.binary()),
+                    pa.array([pairs[1].tobytes()], pa.binary()),
                 ],
-                ["toxic", "features", "sentences"],
+                ["toxic", "n_sentences", "features", "sentences"],
             )
 
 
-def _screened(documents: list[np.ndarray], toxic: np.ndarray, settings) -> np.ndarray:
-    """Features whose share of documents differs clearly between the labels."""
-    every = np.concatenate([np.unique(x) for x in documents] or [np.zeros(0, np.uint64)])
-    label = np.repeat(toxic, [len(np.unique(x)) for x in documents])
-    names, place = np.unique(every, return_inverse=True)
-    having = np.bincount(place, minlength=len(names))
-    marked = np.bincount(place, weights=label, minlength=len(names))
-    positive, negative = max(toxic.sum(), 1), max((1 - toxic).sum(), 1)
-    share = having / (positive + negative)
-    spread = np.sqrt(share * (1 - share) * (1 / positive + 1 / negative)) + 1e-12
-    z = (marked / positive - (having - marked) / negative) / spread
-    strength = np.where(having >= settings.least_documents, np.abs(z), 0)
-    best = np.argsort(-strength, kind="stable")[: settings.most_features]
-    return np.sort(names[best[strength[best] >= settings.least_z]])
-
-
-def learn(sample, weight_toxic: float, settings: ToxicitySettings) -> ToxicityModel:
-    """Fit the sentence model to (toxic, features, sentences) rows by noisy-or likelihood."""
+def learn(
+    names: np.ndarray, sample, weight_toxic: float, settings: ToxicitySettings
+) -> ToxicityModel:
+    """Fit the sentence model by noisy-or likelihood to (toxic, n_sentences, features,
+    sentences) rows, whose features are places in ``names``."""
     toxic = np.array([row[0] for row in sample], dtype=np.float64)
-    hashes = [np.frombuffer(row[1], dtype=np.uint64) for row in sample]
-    numbers = [np.frombuffer(row[2], dtype=np.int32) for row in sample]
+    counts = np.array([row[1] for row in sample], dtype=np.float64)
     if not 0 < toxic.sum() < len(toxic):
         rate = 1e-4 if not toxic.sum() else 0.5
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(rate / (1 - rate))))
-    names = _screened(hashes, toxic, settings)
-    document, sentence, feature = [], [], []
-    counts = np.zeros(len(sample))
-    for i, (found, number) in enumerate(zip(hashes, numbers)):
-        counts[i] = len(np.unique(number))
-        at = np.minimum(np.searchsorted(names, found), max(len(names) - 1, 0))
-        hit = names[at] == found if len(names) else np.zeros(len(found), dtype=bool)
-        document.append(np.full(hit.sum(), i))
-        sentence.append(number[hit])
-        feature.append(at[hit])
-    document, sentence, feature = map(np.concatenate, (document, sentence, feature))
+    found = [np.frombuffer(row[2], dtype=np.int32) for row in sample]
+    feature = np.concatenate(found).astype(np.int64)
+    sentence = np.concatenate([np.frombuffer(row[3], dtype=np.int32) for row in sample])
+    document = np.repeat(np.arange(len(sample)), [len(x) for x in found])
     # sentences that have a feature; the others of a document all score sigmoid(base)
     keys, of = np.unique(np.stack([document, sentence]), axis=1, return_inverse=True)
     of, owner = of.ravel(), keys[0].astype(np.int64)
@@ -195,18 +202,52 @@ def train(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     ).where("text is not null")
     shares = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
-    sample = (
-        texts.join(F.broadcast(picked), "doc_id")
-        .select("toxic", "text")
-        .mapInArrow(_sampled, "toxic int, features binary, sentences binary")
+    sampled = texts.join(F.broadcast(picked), "doc_id").select("toxic", "text")
+    taken = {row["toxic"]: row["count"] for row in sampled.groupBy("toxic").count().collect()}
+    positive, negative = taken.get(1, 0), taken.get(0, 0)
+    names = np.zeros(0, dtype=np.uint64)
+    weight = 1.0
+    if positive and negative:
+        weight = (shares[1] / positive) / (shares[0] / negative)
+        names = _screened(sampled, positive, negative, settings)
+    sample = sampled.mapInArrow(
+        partial(_hits, names=names),
+        "toxic int, n_sentences int, features binary, sentences binary",
+    ).collect()
+    sample.sort(key=tuple)
+    return learn(names, sample, weight, settings)
+
+
+def _screened(
+    sampled: DataFrame, positive: int, negative: int, settings: ToxicitySettings
+) -> np.ndarray:
+    """Features that go with a label by more than ``least_z`` standard errors, sorted.
+
+    Documents in which a feature stands between the same words count once, so that the
+    chance words of a document with many copies are not taken for a sign of its label.
+    """
+    rate = positive / (positive + negative)
+    own = F.col("marked") / F.col("having")
+    # likelihood ratio against the labels' own rate; holds for rare features too
+    apart = F.when(own > 0, own * F.log(own / rate)).otherwise(0.0) + F.when(
+        own < 1, (1 - own) * F.log((1 - own) / (1 - rate))
+    ).otherwise(0.0)
+    strength = F.sqrt(F.greatest(2 * F.col("having") * apart, F.lit(0.0)))
+    chosen = (
+        sampled.mapInArrow(_seen, "feature long, context long, toxic int")
+        .groupBy("feature", "context")
+        .agg(F.max("toxic").alias("toxic"))  # copies of a passage count once
+        .groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("having"), F.sum("toxic").alias("marked"))
+        .where(F.col("having") >= settings.least_documents)
+        .withColumn("z", strength)
+        .where(F.col("z") >= settings.least_z)
+        .orderBy(F.desc("z"), "feature")
+        .limit(settings.most_features)
+        .select("feature")
         .collect()
     )
-    sample.sort(key=lambda row: (row[0], row[1], row[2]))
-    taken = {label: sum(row[0] == label for row in sample) for label in (0, 1)}
-    weight = 1.0
-    if taken[0] and taken[1]:
-        weight = (shares[1] / taken[1]) / (shares[0] / taken[0])
-    return learn(sample, weight, settings)
+    return np.sort(np.array([row["feature"] for row in chosen], dtype=np.int64).view(np.uint64))
 
 
 _SCORED = (
