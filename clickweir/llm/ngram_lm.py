@@ -1,15 +1,15 @@
-"""Language-model scoring with an interpolated modified Kneser-Ney bigram model.
+"""Language-model scoring with an interpolated modified Kneser-Ney model of any order.
 
-Counting: tasks reduce their texts to (context, word, count) and deal them out by context
-hash; each shard merges its part and writes it as sorted hash arrays into the shared
-folder, then deals out how many contexts each word follows by word hash, which gives the
-second kind of shard. All the rest of the model is a dozen totals.
+Counting: tasks reduce their texts to n-grams with counts and deal them out by the hash of
+the context (all words but the last). A shard of the longest n-grams merges its part,
+writes it as sorted hash arrays into the shared folder, and deals out the n-grams without
+their first word: as often as one arrives, so many different words stand before it. That is
+the count of the next shorter order, down to single words. N-grams that begin a text have
+nothing before them; they keep their own count at every order. All the rest of the model
+is a few totals for each order.
 
 Scoring: workers map the shards' files into memory and search them for the sorted hashes
 of a portion of text at a time, so a worker's memory does not grow with the model.
-
-Order 2: with longer n-grams nearly all are distinct in such texts, and counting them
-needs several times the corpus on disk.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ from clickweir.session import fresh_folder
 
 BEGIN = np.uint64(0x2545F4914F6CDD1D)  # context of a text's first word
 END = np.uint64(0x6A09E667F3BCC909)  # the token behind a text's last word
-TOKENS_AT_ONCE = 1_500_000
-SHARD_BYTES = 12 << 20  # of text, to a shard
+ORDER = 3
+TOKENS_AT_ONCE = 3_000_000  # words of n-grams held before they are reduced
+SHARD_BYTES = 24 << 20  # of text times order, to a shard
 LEAST_SHARDS = 64
 OPEN_FILES = 4096
 
@@ -43,66 +44,121 @@ def _gram(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(contexts * np.uint64(0xD6E8FEB86659FD93) + mix(words))
 
 
-def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, tokens and each row's first token: a row has its words and an end."""
-    words, offsets = word_hashes(column, SPACE)
-    contexts = np.insert(words, offsets[:-1], BEGIN)
-    tokens = np.insert(words, offsets[1:], END)
-    return contexts, tokens, offsets + np.arange(len(offsets))
-
+def _key(words: np.ndarray) -> np.ndarray:
+    """Hash of n-grams: a row of the matrix holds the words of one place; a word is its own."""
+    out = words[0]
+    for following in words[1:]:
+        out = _gram(out, following)
+    return out
 
-def _narrow(counts: np.ndarray) -> bytes:
-    """Counts as one byte each if they all fit, else as eight."""
-    fits = not len(counts) or counts.max() < 256
-    return counts.astype(np.uint8 if fits else np.int64).tobytes()
 
-
-def _wide(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(data, dtype=np.uint8 if len(data) == size else np.int64).astype(np.int64)
+def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Begin, words and end of each row, and the place of each in its row."""
+    words, offsets = word_hashes(column, SPACE)
+    rows = np.arange(len(offsets) - 1)
+    begins, ends = offsets[:-1] + 2 * rows, offsets[1:] + 2 * rows + 1
+    line = np.empty(len(words) + 2 * len(rows), dtype=np.uint64)
+    inner = np.ones(len(line), dtype=bool)
+    inner[begins] = inner[ends] = False
+    line[begins], line[ends], line[inner] = BEGIN, END, words
+    return line, np.arange(len(line)) - np.repeat(begins, ends - begins + 1)
+
+
+def _grams_at(line: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """The n-grams whose last words are there."""
+    return np.stack([line[at - back] for back in range(length - 1, -1, -1)])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _packed(words: np.ndarray, counts: np.ndarray) -> bytes:
+    """N-grams and counts, compressed: each word once, then its number wherever it stands."""
+    names, place = np.unique(words, return_inverse=True)
+    place = place.reshape(words.shape)
+    order = np.argsort(place[0], kind="stable")
+    place = place[:, order].astype(np.min_scalar_type(len(names)), order="C")
+    counts = counts[order].astype(np.min_scalar_type(int(counts.max())))
+    body = b"".join([names.tobytes(), *map(_planes, place), _planes(counts)])
+    head = np.array([*words.shape, len(names), place.itemsize, counts.itemsize, len(body)])
+    return head.astype(np.int64).tobytes() + pa.Codec("zstd").compress(body, asbytes=True)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    length, size, distinct, wide, count_wide, whole = np.frombuffer(data[:48], dtype=np.int64).tolist()
+    body = pa.Codec("zstd").decompress(data[48:], whole, asbytes=True)
+
+    def column(at: int, width: int) -> np.ndarray:
+        planes = np.frombuffer(body, dtype=np.uint8, count=size * width, offset=at)
+        return np.ascontiguousarray(planes.reshape(width, size).T).view(f"u{width}").ravel()
+
+    names = np.frombuffer(body, dtype=np.uint64, count=distinct)
+    at = 8 * distinct
+    words = np.stack([names[column(at + place * size * wide, wide)] for place in range(length)])
+    return words, column(at + length * size * wide, count_wide).astype(np.int64)
+
+
+def _summed(words: np.ndarray, counts: np.ndarray | None = None):
+    """Equal n-grams added up (without counts: counted), and their hashes, in their order."""
+    keys = _key(words)
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    if counts is None:
+        counts = np.diff(np.append(at, len(keys)))
+    elif len(at):
+        counts = np.add.reduceat(counts[order], at)
+    return words[:, order[at]], counts, keys[at]
+
+
+# kind: length of the n-grams; 0: words with their count in the texts
+_DEALT = "shard long, kind int, grams binary, totals array<long>"
+_ROW = pa.schema(
+    [
+        ("shard", pa.int64()), ("kind", pa.int32()), ("grams", pa.binary()),
+        ("totals", pa.list_(pa.int64())),
+    ]
+)
 
 
-def _summed(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray):
-    """Equal (context, word) pairs added up, in order."""
-    order = np.lexsort((words, contexts))
-    contexts, words = contexts[order], words[order]
-    fresh = np.ones(len(order), dtype=bool)
-    fresh[1:] = (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])
-    at = np.flatnonzero(fresh)
-    return contexts[at], words[at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+def _dealt(kind: int, words: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple]:
+    """A row for each shard that they touch."""
+    by = words[0] if kind < 2 else _key(words[:-1])
+    shard = (by % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    edges = np.searchsorted(shard[order], np.arange(shards + 1))
+    rows = []
+    for number in np.flatnonzero(np.diff(edges)).tolist():
+        own = order[edges[number] : edges[number + 1]]
+        rows.append((number, kind, _packed(words[:, own], counts[own]), None))
+    return rows
 
 
-_COUNTED = "shard long, contexts binary, runs binary, words binary, counts binary"
+def _table(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [[]] * len(_ROW)
+    return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, _ROW)], schema=_ROW)
 
 
-def _count(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """Bigram counts of runs of texts, a row for each shard that they touch."""
+def _count(batches: Iterator[pa.RecordBatch], order: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """N-gram counts of runs of texts: for each token the longest n-gram that it ends."""
 
     def flush(parts):
-        contexts = np.concatenate([p[0] for p in parts])
-        words = np.concatenate([p[1] for p in parts])
-        contexts, words, counts = _summed(contexts, words, np.ones(len(words), dtype=np.int64))
-        shard = (contexts % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(shards + 1))
-        for number in np.flatnonzero(np.diff(edges)).tolist():
-            own = order[edges[number] : edges[number + 1]]
-            names, runs = np.unique(contexts[own], return_counts=True)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "shard": pa.array([number], pa.int64()),
-                    "contexts": [names.tobytes()],
-                    "runs": [_narrow(runs)],
-                    "words": [words[own].tobytes()],
-                    "counts": [_narrow(counts[own])],
-                }
-            )
+        line, place = (np.concatenate(p) for p in zip(*parts))
+        for length in range(2, order + 1):
+            whole = place >= length - 1 if length == order else place == length - 1
+            at = np.flatnonzero(whole)
+            if len(at):
+                words, counts, _ = _summed(_grams_at(line, at, length))
+                yield from _table(_dealt(length, words, counts, shards)).to_batches()
+        words, counts, _ = _summed(line[place > 0][None])
+        yield from _table(_dealt(0, words, counts, shards)).to_batches()
 
     parts, held = [], 0
     for batch in portions(batches, text=0):
-        contexts, tokens, _ = _sequences(batch.column(0))
-        parts.append((contexts, tokens))
-        held += len(tokens)
-        if held >= TOKENS_AT_ONCE:
+        parts.append(_sequences(batch.column(0)))
+        held += len(parts[-1][0])
+        if held * order >= TOKENS_AT_ONCE:
             yield from flush(parts)
             parts, held = [], 0
     if held:
@@ -161,84 +217,69 @@ def _mapped(folder: str, name: str, kinds: list[str]) -> list[np.ndarray]:
     return _open[key]
 
 
-# contexts: hash, tokens, and words seen once, twice, more often behind them;
-# bigrams: hash, count up to 255, and place and count of the larger ones
-_CONTEXT_FILE = ["u8", "i8", "u4", "u4", "u4", "u8", "u1", "i8", "i8"]
-_WORD_FILE = ["u8", "i8"]
-
-_TOTALS = ["tokens", "types", "b1", "b2", "b3", "b4", "u1", "u2", "u3", "u4", "contexts"]
-_MERGED = "shard long, words binary, counts binary, " + ", ".join(f"{x} long" for x in _TOTALS)
-
-
-def _rows(shards, words, counts, **totals) -> pa.Table:
-    size = len(shards)
-    columns = {
-        "shard": pa.array(shards, pa.int64()),
-        "words": pa.array(words, pa.binary()),
-        "counts": pa.array(counts, pa.binary()),
-    }
-    for name in _TOTALS:  # totals stand in the first row
-        columns[name] = pa.array([totals.get(name, 0), *[0] * (size - 1)], pa.int64())
-    return pa.table(columns)
-
-
-def _spectrum(letter: str, counts: np.ndarray) -> dict[str, int]:
-    return {f"{letter}{n}": int((counts == n).sum()) for n in (1, 2, 3, 4)}
-
-
-def _merge_contexts(table: pa.Table, folder: str, shards: int) -> pa.Table:
-    """Write one shard of contexts and bigrams; return words by the number of contexts."""
-    contexts, words, counts = [], [], []
-    for row in table.select(["contexts", "runs", "words", "counts"]).to_batches():
-        for names, runs, own, many in zip(*(column.to_pylist() for column in row.columns)):
-            names = np.frombuffer(names, dtype=np.uint64)
-            contexts.append(np.repeat(names, _wide(runs, len(names))))
-            words.append(np.frombuffer(own, dtype=np.uint64))
-            counts.append(_wide(many, len(words[-1])))
-    contexts, words, counts = _summed(*map(np.concatenate, (contexts, words, counts)))
-    starts = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1]))
-    several = [
-        np.add.reduceat((counts == n if n < 3 else counts >= 3).astype(np.int64), starts).astype("u4")
-        for n in (1, 2, 3)
-    ]
-    tokens = np.add.reduceat(counts, starts)
-    grams = _gram(contexts, words)
-    order = np.argsort(grams)
-    sorted_counts = counts[order]
-    large = np.flatnonzero(sorted_counts > 255)
-    number = int(table["shard"][0].as_py())
+# contexts: hash, and number of its statistics; the different statistics: total count, and
+# words seen once, twice, more often; n-grams: hash, count up to 255, and place and count of
+# the larger ones
+_GRAM_FILE = ["u8", "u4", "i8", "i8", "i8", "i8", "u8", "u1", "i8", "i8"]
+_WORD_FILE = ["u8", "i8", "i8"]  # hash, words that it follows, count
+
+_FIRST_TOTALS = 3  # tokens, types, follows; then four counts of counts for each order
+
+
+def _spectrum(counts: np.ndarray) -> list[int]:
+    return [int((counts == n).sum()) for n in (1, 2, 3, 4)]
+
+
+def _write_grams(folder: str, name: str, contexts, counts, keys) -> None:
+    names, place = np.unique(contexts, return_inverse=True)
+    of_context = [np.bincount(place, counts, len(names))]
+    for n in (1, 2, 3):
+        of_context.append(np.bincount(place, counts == n if n < 3 else counts >= 3, len(names)))
+    statistics, number = np.unique(
+        np.stack(of_context, axis=1).astype(np.int64), axis=0, return_inverse=True
+    )
+    large = np.flatnonzero(counts > 255)
     _write(
-        folder, f"contexts-{number}",
+        folder, name,
         [
-            contexts[starts], tokens, *several, grams[order],
-            np.minimum(sorted_counts, 255).astype(np.uint8), large.astype(np.int64), sorted_counts[large],
+            names, number.ravel().astype(np.uint32), *np.ascontiguousarray(statistics.T), keys,
+            np.minimum(counts, 255).astype(np.uint8), large.astype(np.int64), counts[large],
         ],
     )
-    names, follows = np.unique(words, return_counts=True)
-    shard = (names % np.uint64(shards)).astype(np.int64)
-    by_shard = np.argsort(shard, kind="stable")
-    edges = np.searchsorted(shard[by_shard], np.arange(shards + 1))
-    numbers = np.flatnonzero(np.diff(edges)).tolist()
-    parts = [by_shard[edges[n] : edges[n + 1]] for n in numbers]
-    return _rows(
-        numbers, [names[p].tobytes() for p in parts], [_narrow(follows[p]) for p in parts],
-        tokens=int(counts.sum()), **_spectrum("b", counts),
-    )
 
 
-def _merge_words(table: pa.Table, folder: str) -> pa.Table:
-    """Write one shard of words with the number of contexts each follows; return totals."""
-    names, follows = [], []
-    for own, many in zip(table["words"].to_pylist(), table["counts"].to_pylist()):
-        names.append(np.frombuffer(own, dtype=np.uint64))
-        follows.append(_wide(many, len(names[-1])))
-    words, place = np.unique(np.concatenate(names), return_inverse=True)
-    counts = np.bincount(place, weights=np.concatenate(follows)).astype(np.int64)
-    _write(folder, f"words-{int(table['shard'][0].as_py())}", [words, counts])
-    totals = {x: int(pa.compute.sum(table[x]).as_py()) for x in _TOTALS}
-    totals |= _spectrum("u", counts) | {"types": len(words)}
-    totals["contexts"] = int(counts.sum())
-    return _rows([int(table["shard"][0].as_py())], [b""], [b""], **totals)
+def _merge(table: pa.Table, kind: int, order: int, folder: str, shards: int) -> pa.Table:
+    """Write one shard of n-grams of this length; return the next shorter ones and the totals.
+
+    What belongs to shorter orders of the same shard is added up and passed on.
+    """
+    number = int(table["shard"][0].as_py())
+    totals = np.zeros(_FIRST_TOTALS + 4 * order, dtype=np.int64)
+    held: dict[int, list] = {}
+    for of, data, others in zip(table["kind"], table["grams"], table["totals"]):
+        if others.is_valid:
+            totals += np.array(others.as_py(), dtype=np.int64)
+        else:
+            held.setdefault(of.as_py(), []).append(_unpacked(data.as_py()))
+    merged = {}
+    for of in list(held):
+        words, counts = zip(*held.pop(of))
+        merged[of] = _summed(np.concatenate(words, axis=1), np.concatenate(counts))
+    rows = []
+    if kind in merged:
+        words, counts, keys = merged.pop(kind)
+        at = _FIRST_TOTALS + 4 * (kind - 1)
+        totals[at : at + 4] += _spectrum(counts)
+        if kind > 1:
+            _write_grams(folder, f"grams{kind}-{number}", _key(words[:-1]), counts, keys)
+            shorter, follows, _ = _summed(words[1:])
+            rows = _dealt(kind - 1, shorter, follows, shards)
+        else:  # every word that follows one is also counted, so both are in the same order
+            _, own, _ = merged.pop(0)
+            _write(folder, f"words-{number}", [keys, counts, own])
+            totals[:_FIRST_TOTALS] += [int(own.sum()), len(keys), int(counts.sum())]
+    rows += [(number, of, _packed(words, counts), None) for of, (words, counts, _) in merged.items()]
+    return _table([*rows, (number, 0, None, totals.tolist())])
 
 
 @dataclass(frozen=True)
@@ -250,8 +291,7 @@ class NgramModel:
     tokens: int
     types: int
     follows: int
-    discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
+    discounts: tuple[tuple[float, float, float], ...]  # of words, pairs and so on
     rest: float  # share of the uniform distribution in the words' one
 
 
@@ -265,35 +305,38 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 def train(
-    spark: SparkSession, documents: DataFrame, text_column: str = "text"
+    spark: SparkSession, documents: DataFrame, text_column: str = "text", order: int = ORDER
 ) -> NgramModel:
-    """Count all rows of documents; null and empty texts count as an end after the begin."""
+    """Count all rows of documents; null and empty texts count as an end after the begin.
+
+    ``order`` is the length of the longest n-grams, 2 or more.
+    """
+    if order < 2:
+        raise ValueError(f"order is {order}; 2 is the least")
     texts = documents.select(F.col(text_column).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    shards = max(LEAST_SHARDS, -(-size // SHARD_BYTES))
+    shards = max(LEAST_SHARDS, -(-size * order // SHARD_BYTES))
     folder = fresh_folder(spark, "ngram-model")
+    dealt = texts.mapInArrow(partial(_count, order=order, shards=shards), _DEALT)
 
-    def contexts(table: pa.Table) -> pa.Table:
-        return _merge_contexts(table, folder, shards)
-
-    def words(table: pa.Table) -> pa.Table:
-        return _merge_words(table, folder)
-
-    counted = texts.mapInArrow(partial(_count, shards=shards), _COUNTED)
-    merged = counted.groupBy("shard").applyInArrow(contexts, _MERGED)
-    totals = merged.groupBy("shard").applyInArrow(words, _MERGED)
-    t = totals.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in _TOTALS]).first()
-    lower = discounts(t["u1"], t["u2"], t["u3"], t["u4"])
-    many = t["types"] - t["u1"] - t["u2"]
-    rest = (
-        (lower[0] * t["u1"] + lower[1] * t["u2"] + lower[2] * many) / t["contexts"]
-        if t["contexts"]
-        else 1.0
-    )
-    return NgramModel(
-        folder, shards, t["tokens"], t["types"], t["contexts"],
-        discounts(t["b1"], t["b2"], t["b3"], t["b4"]), lower, rest,
-    )
+    def merged(kind: int):
+        def merge(table: pa.Table) -> pa.Table:
+            return _merge(table, kind, order, folder, shards)
+
+        return merge
+
+    for kind in range(order, 0, -1):
+        dealt = dealt.groupBy("shard").applyInArrow(merged(kind), _DEALT)
+    sums = dealt.select(F.posexplode("totals").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
+    found = {r["at"]: r["n"] for r in sums.collect()}
+    totals = [found.get(at, 0) for at in range(_FIRST_TOTALS + 4 * order)]
+    tokens, types, follows = totals[:_FIRST_TOTALS]
+    spectra = [totals[at : at + 4] for at in range(_FIRST_TOTALS, len(totals), 4)]
+    cuts = tuple(discounts(*spectrum) for spectrum in spectra)
+    once, twice = spectra[0][:2]
+    least = (once, twice, types - once - twice)
+    rest = sum(d * n for d, n in zip(cuts[0], least)) / follows if follows else 1.0
+    return NgramModel(folder, shards, tokens, types, follows, cuts, rest)
 
 
 def _discounted(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray:
@@ -326,55 +369,71 @@ def _shard(model: NgramModel, kind: str, number: int) -> list[np.ndarray] | None
     name = f"{kind}-{number}"
     if f"{model.folder}/{name}" not in _open and not _exists(model, name):
         return None
-    return _mapped(model.folder, name, _CONTEXT_FILE if kind == "contexts" else _WORD_FILE)
+    return _mapped(model.folder, name, _WORD_FILE if kind == "words" else _GRAM_FILE)
 
 
-def _probabilities(model: NgramModel, contexts: np.ndarray, tokens: np.ndarray):
-    """Log10 probabilities of the model and of the base, and which tokens are known."""
-    names, place = np.unique(np.concatenate([contexts, tokens]), return_inverse=True)
-    of_context, of_token = place[: len(contexts)], place[len(contexts) :]
-    count = np.zeros(len(names), dtype=np.int64)
-    several = np.zeros((3, len(names)))
+def _of_words(model: NgramModel, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities without context, and counts."""
+    names, place = np.unique(tokens, return_inverse=True)
     follows = np.zeros(len(names), dtype=np.int64)
+    counts = np.zeros(len(names), dtype=np.int64)
     for number, own in _shard_runs(names, names, model.shards):
-        if file := _shard(model, "contexts", number):
-            at, hit = _found(file[0], names[own])
-            count[own[hit]] = file[1][at[hit]]
-            for row in range(3):
-                several[row, own[hit]] = file[2 + row][at[hit]]
         if file := _shard(model, "words", number):
             at, hit = _found(file[0], names[own])
             follows[own[hit]] = file[1][at[hit]]
-    uniform = model.rest / (model.types + 1)
-    lower = np.full(len(names), uniform)
+            counts[own[hit]] = file[2][at[hit]]
+    chance = np.full(len(names), model.rest / (model.types + 1))
     if model.follows:
-        lower += np.maximum(_discounted(follows, model.word_discounts), 0) / model.follows
-    back = np.array(model.discounts) @ several / np.maximum(count, 1)
-    grams, place = np.unique(_gram(contexts, tokens), return_inverse=True)
-    first = np.empty(len(grams), dtype=np.int64)
-    first[place[::-1]] = np.arange(len(place))[::-1]
-    pairs = np.zeros(len(grams), dtype=np.int64)
-    for number, own in _shard_runs(grams, contexts[first], model.shards):
-        if file := _shard(model, "contexts", number):
-            at, hit = _found(file[5], grams[own])
-            value = file[6][at].astype(np.int64)
-            if len(file[7]):
-                there, large = _found(file[7], at)
-                value = np.where(large, file[8][there], value)
-            pairs[own[hit]] = value[hit]
-    base = lower[of_token]
-    seen = count[of_context]
-    higher = np.maximum(_discounted(pairs, model.discounts), 0)[place]
-    chance = np.where(
-        seen > 0, higher / np.maximum(seen, 1) + back[of_context] * base, base
-    )
-    # the end is never a context; it stands behind every text, as the begin before it
-    at_begin = np.searchsorted(names, BEGIN)
-    own = count[of_token]
-    if at_begin < len(names) and names[at_begin] == BEGIN:
-        own = np.where(tokens == END, count[at_begin], own)
-    smooth = (own + 1) / (model.tokens + model.types + 1)
-    return np.log10(chance), np.log10(smooth), own > 0
+        chance += np.maximum(_discounted(follows, model.discounts[0]), 0) / model.follows
+    return chance[place], counts[place]
+
+
+def _of_contexts(model: NgramModel, length: int, contexts: np.ndarray):
+    """Total counts behind contexts of n-grams of this length, and the shares taken off."""
+    names, place = np.unique(contexts, return_inverse=True)
+    seen = np.zeros(len(names), dtype=np.int64)
+    back = np.zeros(len(names))
+    for number, own in _shard_runs(names, names, model.shards):
+        if file := _shard(model, f"grams{length}", number):
+            at, hit = _found(file[0], names[own])
+            statistics = file[1][at[hit]]
+            seen[own[hit]] = file[2][statistics]
+            for cut, several in zip(model.discounts[length - 1], file[3:6]):
+                back[own[hit]] += cut * several[statistics]
+    return seen[place], (back / np.maximum(seen, 1))[place]
+
+
+def _of_grams(model: NgramModel, length: int, contexts: np.ndarray, tokens: np.ndarray):
+    """Counts of n-grams, less the discounts."""
+    keys, first, place = np.unique(_gram(contexts, tokens), return_index=True, return_inverse=True)
+    counts = np.zeros(len(keys), dtype=np.int64)
+    for number, own in _shard_runs(keys, contexts[first], model.shards):
+        if file := _shard(model, f"grams{length}", number):
+            at, hit = _found(file[6], keys[own])
+            value = file[7][at].astype(np.int64)
+            if len(file[8]):
+                there, large = _found(file[8], at)
+                value = np.where(large, file[9][there], value)
+            counts[own[hit]] = value[hit]
+    return np.maximum(_discounted(counts, model.discounts[length - 1]), 0)[place]
+
+
+def _probabilities(model: NgramModel, line: np.ndarray, place: np.ndarray):
+    """Log10 probabilities of the model and of the base, and which tokens are known."""
+    ends = np.flatnonzero(place)
+    chance, counts = _of_words(model, line[ends])
+    for length in range(2, len(model.discounts) + 1):
+        long = np.flatnonzero(place[ends] >= length - 1)
+        if not len(long):
+            break
+        words = _grams_at(line, ends[long], length)
+        contexts = _key(words[:-1])
+        seen, back = _of_contexts(model, length, contexts)
+        higher = _of_grams(model, length, contexts, words[-1])
+        lower = chance[long]
+        chance[long] = np.where(seen > 0, higher / np.maximum(seen, 1) + back * lower, lower)
+    smooth = (counts + 1) / (model.tokens + model.types + 1)
+    return np.log10(chance), np.log10(smooth), counts > 0
 
 
 _SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
@@ -382,11 +441,11 @@ _SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score do
 
 def _score(batches: Iterator[pa.RecordBatch], model: NgramModel) -> Iterator[pa.RecordBatch]:
     def flush(ids, parts):
-        contexts = np.concatenate([p[0] for p in parts])
-        tokens = np.concatenate([p[1] for p in parts])
-        lengths = np.concatenate([np.diff(p[2]) for p in parts])
-        starts = np.cumsum(lengths) - lengths
-        high, base, known = _probabilities(model, contexts, tokens)
+        line, place = (np.concatenate(p) for p in zip(*parts))
+        begins = np.flatnonzero(place == 0)
+        lengths = np.diff(np.append(begins, len(line))) - 1
+        starts = begins - np.arange(len(begins))
+        high, base, known = _probabilities(model, line, place)
         return pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays(ids),
@@ -402,8 +461,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: NgramModel) -> Iterator[pa.
     for batch in portions(batches):
         parts.append(_sequences(batch.column(1)))
         ids.append(batch.column(0))
-        held += len(parts[-1][1])
-        if held >= TOKENS_AT_ONCE:
+        held += len(parts[-1][0])
+        if held * len(model.discounts) >= TOKENS_AT_ONCE:
             yield flush(ids, parts)
             ids, parts, held = [], [], 0
     if held:

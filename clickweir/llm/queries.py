@@ -81,11 +81,11 @@ def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark, table(spark, sf_dir, "documents"))
 
 
-def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op10_ngram_lm(spark: SparkSession, sf_dir: str, order: int = ngram_lm.ORDER) -> DataFrame:
     """Probabilities of all documents by a model that never saw a seventh of the ids."""
     documents = table(spark, sf_dir, "documents")
     held_out = ngram_lm.left_out(F.col("doc_id"), 7, 2)
-    model = ngram_lm.train(spark, documents.where(~held_out))
+    model = ngram_lm.train(spark, documents.where(~held_out), order=order)
     return ngram_lm.score(documents, model).withColumn("held_out", held_out)
 
 
