@@ -1,14 +1,15 @@
 """The corpus pipeline: clean, deduplicate, mix, encode.
 
 Each stage gets the documents that the stage before it kept, written and read again, and
-returns the documents that it keeps, with all their columns; the last returns their ids
-as tokens. No stage can be stated in SQL as a whole, so there is no ``ORACLE_SQL``.
+returns the documents that it keeps, with all their columns; the last returns their texts
+as token ids, and the digest of what these decode to. No stage can be stated in SQL as a whole, so there is no ``ORACLE_SQL``.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweir.llm import bpe, minhash, mixing, toxicity
 from clickweir.session import fresh_folder
@@ -33,8 +34,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian, four bytes each) of every document."""
-    return bpe.encode(spark, docs, TOKENIZER)
+    """doc_id, n_tokens, ids (little-endian, four bytes each) and the SHA-256 of the text
+    decoded from them, of every document."""
+    encoded = bpe.encode(spark, docs, TOKENIZER)
+    return bpe.decode(spark, encoded, TOKENIZER).select(
+        "doc_id", "n_tokens", "ids", F.sha2("text", 256).alias("decoded_sha256")
+    )
 
 
 STAGES = [
