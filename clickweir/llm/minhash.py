@@ -329,29 +329,58 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of documents, with all their columns, of the smallest id in each component.
 
-    An id that repeats keeps one of its rows (the first by the text's hash). Rows without
-    id cannot be told apart and all stay.
+    Texts that share an id are told apart: each is compared for itself, and of those that
+    are linked with each other or with those of other ids one stays. Of rows that repeat
+    both id and text one stays. Rows without id cannot be told apart and all stay.
     """
-    found = near_duplicates(spark, documents, settings, id_column, text_column)
-    removed = stored(
-        spark,
-        found.where("doc_id is not null and not kept").select(F.col("doc_id").alias("_removed")).distinct(),
-        "minhash-removed",
-    )
-    if removed.count() <= BROADCAST_IDS:
-        removed = F.broadcast(removed)
     key = F.col(id_column).cast("long")
-    left = documents.join(removed, key == F.col("_removed"), "left_anti")
-    repeated = left.groupBy(key.alias("_repeated")).count().where("_repeated is not null and count > 1")
-    repeated = stored(spark, repeated.select("_repeated"), "minhash-repeated")
-    if repeated.isEmpty():
-        return left
-    once = left.join(repeated, key == F.col("_repeated"), "left_anti")
-    first = Window.partitionBy(key).orderBy(F.xxhash64(text_column))
+    hashed = F.xxhash64(text_column)
     several = (
-        left.join(repeated, key == F.col("_repeated"), "left_semi")
+        documents.groupBy(key.alias("_several"))
+        .agg(F.min(hashed).alias("low"), F.max(hashed).alias("high"))
+        .where("_several is not null and low <> high")
+        .select("_several")
+    )
+    several = stored(spark, several, "minhash-several")
+    if several.isEmpty():
+        nodes = documents.withColumn("_node", key)
+    else:
+        own = F.when(F.col("_several").isNotNull(), F.xxhash64(key, text_column)).otherwise(key)
+        nodes = (
+            documents.join(_small(several), key == F.col("_several"), "left")
+            .withColumn("_node", own)
+            .drop("_several")
+        )
+    found = near_duplicates(spark, nodes, settings, "_node", text_column)
+    found = found.where("doc_id is not null").withColumnRenamed("doc_id", "_removed")
+    if several.isEmpty():
+        removed = found.where("not kept").select("_removed").distinct()
+    else:  # a component's smallest id, not its smallest node
+        ids = nodes.select(F.col("_node").alias("_removed"), key.alias("_id")).distinct()
+        placed = found.select("_removed", "component_id").distinct().join(ids, "_removed")
+        placed = stored(spark, placed, "minhash-placed")
+        least = placed.groupBy("component_id").agg(F.min(F.struct("_id", "_removed")).alias("least"))
+        removed = placed.select("_removed").join(
+            least.select(F.col("least._removed").alias("_removed")), "_removed", "left_anti"
+        )
+    removed = stored(spark, removed, "minhash-removed")
+    left = nodes.join(_small(removed), F.col("_node") == F.col("_removed"), "left_anti")
+    repeated = left.groupBy(F.col("_node").alias("_repeated")).count()
+    repeated = repeated.where("_repeated is not null and count > 1").select("_repeated")
+    repeated = stored(spark, repeated, "minhash-repeated")
+    if repeated.isEmpty():
+        return left.drop("_node")
+    again = F.col("_node") == F.col("_repeated")
+    first = Window.partitionBy("_node").orderBy(hashed)
+    one = (
+        left.join(repeated, again, "left_semi")
         .withColumn("_row", F.row_number().over(first))
         .where("_row = 1")
         .drop("_row")
     )
-    return once.union(several)
+    return left.join(repeated, again, "left_anti").union(one).drop("_node")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids for a join: sent to every executor if they are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
