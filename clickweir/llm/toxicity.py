@@ -132,8 +132,7 @@ def learn(
     toxic = np.array([row[0] for row in sample], dtype=np.float64)
     counts = np.array([row[1] for row in sample], dtype=np.float64)
     if not 0 < toxic.sum() < len(toxic):
-        rate = 1e-4 if not toxic.sum() else 0.5
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(rate / (1 - rate))))
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
     found = [np.frombuffer(row[2], dtype=np.int32) for row in sample]
     feature = np.concatenate(found).astype(np.int64)
     sentence = np.concatenate([np.frombuffer(row[3], dtype=np.int32) for row in sample])
@@ -181,7 +180,7 @@ def train(
     The sample is the rows with the smallest hash of the id, so it does not depend on the
     order of the rows; the classes are weighted back to their shares of all labels. Rows
     without id, text or a label of 0 or 1 are not learned from. Without both labels the
-    model gives every sentence one small score.
+    model has nothing to tell texts by: every sentence and document scores 0.
     """
     usable = (
         labels.select(
@@ -281,6 +280,8 @@ def _documents(column: pa.Array, model: ToxicityModel):
     first = np.flatnonzero(fresh)
     sums = np.add.reduceat(added, first) if len(first) else np.zeros(0)
     chance = 1 / (1 + np.exp(-np.clip(sums + model.base, -30, 30)))
+    if np.isneginf(model.base):  # an unlearned model
+        chance[:] = 0.0
     owner = row[first]
     clean = np.log1p(-np.minimum(chance, 1 - 1e-12))
     keep = np.bincount(owner, weights=clean, minlength=len(column))
