@@ -299,7 +299,7 @@ def sql_stream(changes: bool) -> Query:
         documents = enrich.extended_documents(
             m.clickstream(spark, sf_dir), no_clock(), skip_rejects=True
         )
-        pipeline.document_envelope(documents).coalesce(1).write.parquet(source)
+        pipeline.document_envelope(documents).write.parquet(source)
         job = sql_job.start_sql(
             spark, {_core_stream_spec(): stream_replay(spark, source)}, SQL_JOB[:1],
             f"{folder}/out", f"{folder}/checkpoint", changes=changes,
