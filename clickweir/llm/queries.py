@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickweir.llm import bpe, ngram_lm, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
 from clickweir.llm.ann import nearest
+from clickweir.llm.centroids import cluster
 from clickweir.llm.embed_dedup import near_vectors
 from clickweir.llm.licenses import scan
 from clickweir.llm.mixing import mix
@@ -89,6 +90,13 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str, order: int = ngram_lm.ORDER)
     return ngram_lm.score(documents, model).withColumn("held_out", held_out)
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty clusters of integer vectors after five rounds."""
+    found = cluster(spark, table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -101,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_kd_sharding": op9_kd_sharding,
         "op10_ngram_lm": op10_ngram_lm,
+        "op13_centroid_clustering": op13_centroid_clustering,
     }
 
 
@@ -108,4 +117,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": sql.MINHASH_DEDUP,
         "op5_mixing": sql.MIXING,
+        "op13_centroid_clustering": sql.CENTROID_CLUSTERING,
     }

@@ -106,3 +106,45 @@ select doc_id, source, size, source_size, weight, target, shard,
       - greatest(upto - size + 2 * cell_size, start)))::bigint as taken
 from laid
 """
+
+
+def _clustering(clusters: int = 40, rounds: int = 5) -> str:
+    """Every round a table of centroids (k, c) and one of choices (vec_id, x, k, d)."""
+    steps = []
+    for turn in range(rounds + 1):
+        steps.append(f"""
+chosen{turn} as materialized (
+  select i, vec_id, x, min(struct_pack(d := d, k := k)) as best from (
+    select i, vec_id, x, k, list_sum(list_transform(list_zip(x, c),
+      lambda p: ((p[1] - p[2]) * (p[1] - p[2]))::hugeint))::hugeint as d
+    from kept, centroids{turn}) every_pair group by all)""")
+        if turn < rounds:
+            steps.append(f"""
+sums{turn} as (
+  select best.k as k, place, sum(x[place])::hugeint as s, count(*) as n
+  from chosen{turn}, range(1, 65) t(place) group by all),
+centroids{turn + 1} as materialized (
+  select o.k, coalesce(m.c, o.c) as c from centroids{turn} o left join (
+    select k, list((s - ((s % n) + n) % n) // n order by place) as c from sums{turn} group by k) m
+  using (k))""")
+    return f"""
+with kept as materialized (
+  select row_number() over () as i, vec_id,
+    list_transform(embedding, lambda e: floor(256 * e::double)::bigint) as x
+  from embeddings
+  where len(embedding) = 64
+    and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64),
+centroids0 as materialized (
+  select row_number() over (order by h, x) - 1 as k, x as c from (
+    select x, sha256('2:' || coalesce(vec_id::varchar, '')) as h from kept
+    order by h, x limit {clusters}) first_ones),
+{",".join(steps)}
+select vec_id, best.k::int as cluster, best.d::bigint as distance,
+  sum(best.d) over (partition by best.k)::bigint as cluster_inertia,
+  sum(best.d) over ()::bigint as inertia,
+  sha256(array_to_string(c, ',')) as centroid_sha256
+from chosen{rounds} join centroids{rounds} on k = best.k
+"""
+
+
+CENTROID_CLUSTERING = _clustering()
