@@ -12,6 +12,7 @@ from clickweir.llm import bpe, ngram_lm, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
 from clickweir.llm.ann import nearest
 from clickweir.llm.centroids import cluster
+from clickweir.llm.decontaminate import find_passages, prepare
 from clickweir.llm.embed_dedup import near_vectors
 from clickweir.llm.licenses import scan
 from clickweir.llm.mixing import mix
@@ -90,6 +91,18 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str, order: int = ngram_lm.ORDER)
     return ngram_lm.score(documents, model).withColumn("held_out", held_out)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark in every document."""
+    benchmark = prepare(spark, table(spark, sf_dir, "benchmark"))
+    found = find_passages(table(spark, sf_dir, "documents"), benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty clusters of integer vectors after five rounds."""
     found = cluster(spark, table(spark, sf_dir, "embeddings"))
@@ -109,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_kd_sharding": op9_kd_sharding,
         "op10_ngram_lm": op10_ngram_lm,
+        "op12_decontamination": op12_decontamination,
         "op13_centroid_clustering": op13_centroid_clustering,
     }
 
@@ -117,5 +131,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": sql.MINHASH_DEDUP,
         "op5_mixing": sql.MIXING,
+        "op12_decontamination": sql.DECONTAMINATION,
         "op13_centroid_clustering": sql.CENTROID_CLUSTERING,
     }

@@ -107,6 +107,36 @@ select doc_id, source, size, source_size, weight, target, shard,
 from laid
 """
 
+WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = rf"""
+with docs as materialized (
+  select row_number() over () as i, doc_id, {WORDS} as ws from documents),
+items as materialized (
+  select coalesce(item_id::varchar, '') as item, {WORDS} as ws from benchmark),
+patterns as materialized (
+  select distinct item, least(len(ws), 10) as n,
+    array_to_string(ws[s:s + least(len(ws), 10) - 1], ' ') as w
+  from (select *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as s
+        from items where len(ws) > 0) starts),
+places as (
+  select i, n, s, array_to_string(ws[s:s + n - 1], ' ') as w
+  from (select i, ws, n, unnest(range(1, len(ws) - n + 2)) as s
+        from docs, (select distinct n from patterns) lengths where len(ws) >= n) starts),
+found as materialized (
+  select i, s, p.n, item from places join patterns p on p.w = places.w and p.n = places.n),
+hits as (
+  select i, count(distinct word) as n_hit
+  from (select i, unnest(range(s, s + n)) as word from found) words group by i),
+named as (
+  select i, count(*) as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct i, item from found) pairs group by i)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(names, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (i) left join named using (i)
+"""
+
 
 def _clustering(clusters: int = 40, rounds: int = 5) -> str:
     """Every round a table of centroids (k, c) and one of choices (vec_id, x, k, d)."""
