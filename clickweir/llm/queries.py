@@ -12,6 +12,7 @@ from clickweir.llm import bpe, ngram_lm, sql, toxicity
 from clickweir.llm.minhash import near_duplicates
 from clickweir.llm.ann import nearest
 from clickweir.llm.centroids import cluster
+from clickweir.llm.conversations import damaged, repair
 from clickweir.llm.decontaminate import find_passages, prepare
 from clickweir.llm.embed_dedup import near_vectors
 from clickweir.llm.licenses import scan
@@ -91,6 +92,12 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str, order: int = ngram_lm.ORDER)
     return ngram_lm.score(documents, model).withColumn("held_out", held_out)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations, damaged by checksum before."""
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return repair(rows, present=F.col("present"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and items of the benchmark in every document."""
     benchmark = prepare(spark, table(spark, sf_dir, "benchmark"))
@@ -122,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_kd_sharding": op9_kd_sharding,
         "op10_ngram_lm": op10_ngram_lm,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_decontamination": op12_decontamination,
         "op13_centroid_clustering": op13_centroid_clustering,
     }
@@ -131,6 +139,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": sql.MINHASH_DEDUP,
         "op5_mixing": sql.MIXING,
+        "op11_conversation_repair": sql.CONVERSATION_REPAIR,
         "op12_decontamination": sql.DECONTAMINATION,
         "op13_centroid_clustering": sql.CENTROID_CLUSTERING,
     }

@@ -138,6 +138,128 @@ from docs left join hits using (i) left join named using (i)
 """
 
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text: every byte goes in, then eight steps of one bit."""
+    bits = "list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, {0})"
+    letters = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::bigint)"
+    return (
+        f"xor(list_reduce({letters}, lambda crc, b: "
+        f"{bits.format('xor(crc, b)')}, 4294967295::bigint), 4294967295)"
+    )
+
+
+def _repair_sql() -> str:
+    """Row by row, the cheapest (cost and audit, text) of each state; infinite ones are null."""
+
+    def add(of: str, cost: str, edit: str, line: str = "") -> str:
+        text = f"{of}.t || case when {of}.t = '' then '' else chr(10) end || {line}" if line else f"{of}.t"
+        return (
+            f"case when {of} is not null then struct_pack("
+            f"k := lpad((left({of}.k, 12)::bigint + {cost})::varchar, 12, '0') "
+            f"|| substr({of}.k, 13) || '{edit}', t := {text}) end"
+        )
+
+    def least(*choices: str) -> str:
+        return f"list_min(list_filter([{', '.join(choices)}], lambda x: x is not null))"
+
+    # insertions: states 2 (behind user) and 3 (behind assistant) get at most two of them
+    user, assistant = "'user:'", "'assistant:'"
+    once = {
+        "i0": "s0", "i1": "s1",
+        "i2": least("s2", add("s0", "5", "I", user), add("s1", "5", "I", user), add("s3", "5", "I", user)),
+        "i3": least("s3", add("s2", "5", "I", assistant)),
+    }
+    twice = {
+        "j0": "i0", "j1": "i1",
+        "j2": least("i2", add("i3", "5", "I", user)),
+        "j3": least("i3", add("i2", "5", "I", assistant)),
+    }
+    line = "name || ':' || body"
+    may = "not deleted"
+    late = "case when late then 5 else 0 end"
+
+    def when(test: str, value: str) -> str:
+        return f"case when {may} and {test} then {value} end"
+
+    edited = {
+        "s0": add("j0", "2", "D"),
+        "s1": least(add("j1", "2", "D"), when("role = 's'", add("j0", late, "K", line))),
+        "s2": least(
+            add("j2", "2", "D"),
+            *[when("role = 'u'", add(f"j{q}", late, "K", line)) for q in (0, 1, 3)],
+            *[when("true", add(f"j{q}", f"1 + {late}", "R", "'user:' || body")) for q in (0, 1, 3)],
+        ),
+        "s3": least(
+            add("j3", "2", "D"), when("role = 'a'", add("j2", late, "K", line)),
+            when("true", add("j2", f"1 + {late}", "R", "'assistant:' || body")),
+        ),
+    }
+
+    def columns(steps: dict) -> str:
+        return ", ".join(f"{value} as {name}" for name, value in steps.items())
+
+    blank = r"[^\x20\x09-\x0D]"
+    return rf"""
+with recursive checked as (
+  select conv_id, turn, {crc32_sql("name")} % 20 as fate,
+    coalesce(role, ' ') as role, coalesce(text, ' ') as text
+  from (select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name
+        from conversations) named),
+damaged as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as name,
+    case when fate = 1 then '' when fate = 2 then translate(text, '.!?', '') else text end as body,
+    unnest(range(case when fate = 3 then 2 else 1 end)) as copy
+  from checked where fate <> 0),
+placed as (
+  select *, left(name, 1) as role,
+    row_number() over (partition by conv_id order by turn nulls first, name, body, copy) as place,
+    row_number() over (partition by conv_id, name, body order by turn nulls first, copy) as again
+  from damaged),
+faults as materialized (
+  select *, not regexp_matches(body, '{blank}') as blank,
+    regexp_matches(body, '{blank}') and again > 1 as duplicate,
+    regexp_matches(body, '{blank}') and again = 1
+      and not regexp_matches(body, '[.!?][ 	-
+]*$') as late,
+    lag(role) over (partition by conv_id order by place) as before
+  from placed),
+marked as materialized (select *, blank or duplicate as deleted from faults),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    count(*) filter (where blank) as blank, count(*) filter (where duplicate) as duplicate,
+    count(*) filter (where late) as truncated,
+    count(*) filter (where before is not null and before || role not in ('su', 'ua', 'au')) as illegal,
+    count(*) as n
+  from marked group by conv_id),
+steps as (
+  select conv_id, 0::bigint as place,
+    struct_pack(k := '000000000000', t := '') as s0,
+    null::struct(k varchar, t varchar) as s1, null::struct(k varchar, t varchar) as s2,
+    null::struct(k varchar, t varchar) as s3
+  from counts
+  union all
+  select conv_id, place, {columns(edited)}
+  from (select conv_id, place, name, body, role, deleted, late, {columns(twice)}
+        from (select m.conv_id, m.place, name, body, role, deleted, late, {columns(once)}
+              from steps s join marked m
+              on m.conv_id is not distinct from s.conv_id and m.place = s.place + 1) a) b),
+ends as (
+  select conv_id, {least("s0", "s3", add("u", "5", "I", assistant))} as best
+  from (select s.*, {least("s2", add("s1", "5", "I", user))} as u
+        from steps s join counts c on s.conv_id is not distinct from c.conv_id and s.place = c.n) l)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+  coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(left(best.k, 12)::bigint, 0) as cost,
+  coalesce(substr(best.k, 13), '') as audit, sha256(coalesce(best.t, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on c.conv_id is not distinct from o.conv_id
+left join ends e on e.conv_id is not distinct from o.conv_id
+"""
+
+
+CONVERSATION_REPAIR = _repair_sql()
+
+
 def _clustering(clusters: int = 40, rounds: int = 5) -> str:
     """Every round a table of centroids (k, c) and one of choices (vec_id, x, k, d)."""
     steps = []
