@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -14,3 +16,12 @@ def prose(seed: int, words: int) -> str:
 
 def plain_words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+
+
+def table_of(spark, folder, name, rows, schema, clashing=()):
+    """A folder that holds one table of these rows, with extra columns of these names."""
+    frame = spark.createDataFrame(rows, schema)
+    for extra in clashing:
+        frame = frame.withColumn(extra, F.lit("x"))
+    frame.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
