@@ -209,7 +209,7 @@ def test_server_time(spark):
         "dtm double, dt int",
     )
     column = decisions.server_time(F.col("dtm"), F.col("dt"), F.lit(9))
-    assert [r[0] for r in rows.select(column).collect()] == [1234, 5000, 5000, 9, 9, None]
+    assert [r[0] for r in rows.select(column).collect()] == [1234, 5000, 5000, 9, 9, 9]
 
 
 def test_load_test_flag(spark):
