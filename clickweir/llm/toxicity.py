@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,16 @@ BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that are features of their
 
 @dataclass(frozen=True)
 class ToxicitySettings:
-    """``sample_each``: the most labelled documents of each label that are learned from."""
+    """``sample_each``: the most labelled documents of each label that are learned from.
+
+    ``by_chance``: how many features may be expected to pass the screen by chance; the
+    strength asked of a feature follows from it and from the number of features, so that a
+    small table, which has fewer of both, is learned from as well.
+    """
 
     sample_each: int = 2000
     least_documents: int = 3
-    least_z: float = 5.0
+    by_chance: float = 0.5
     most_features: int = 4096
     rounds: int = 800
     ridge: float = 0.001
@@ -220,7 +226,7 @@ def train(
 def _screened(
     sampled: DataFrame, positive: int, negative: int, settings: ToxicitySettings
 ) -> np.ndarray:
-    """Features that go with a label by more than ``least_z`` standard errors, sorted.
+    """The features that go with a label more than chance would have it, sorted.
 
     Documents in which a feature stands between the same words count once, so that the
     chance words of a document with many copies are not taken for a sign of its label.
@@ -232,21 +238,28 @@ def _screened(
         own < 1, (1 - own) * F.log((1 - own) / (1 - rate))
     ).otherwise(0.0)
     strength = F.sqrt(F.greatest(2 * F.col("having") * apart, F.lit(0.0)))
-    chosen = (
+    measured = (
         sampled.mapInArrow(_seen, "feature long, context long, toxic int")
         .groupBy("feature", "context")
         .agg(F.max("toxic").alias("toxic"))  # copies of a passage count once
         .groupBy("feature")
         .agg(F.count(F.lit(1)).alias("having"), F.sum("toxic").alias("marked"))
         .where(F.col("having") >= settings.least_documents)
-        .withColumn("z", strength)
-        .where(F.col("z") >= settings.least_z)
-        .orderBy(F.desc("z"), "feature")
+        .select("feature", strength.alias("z"))
+    )
+    chosen = (
+        measured.orderBy(F.desc("z"), "feature")
         .limit(settings.most_features)
-        .select("feature")
+        .select("feature", "z")
         .collect()
     )
-    return np.sort(np.array([row["feature"] for row in chosen], dtype=np.int64).view(np.uint64))
+    tested = len(chosen) if len(chosen) < settings.most_features else measured.count()
+    if not tested:
+        return np.zeros(0, dtype=np.uint64)
+    share = min(settings.by_chance / tested, 0.5)
+    least = NormalDist().inv_cdf(1 - share)
+    passed = [row["feature"] for row in chosen if row["z"] >= least]
+    return np.sort(np.array(passed, dtype=np.int64).view(np.uint64))
 
 
 _SCORED = (

@@ -261,7 +261,7 @@ def test_language_model_matches_brute_force(spark, sf_dir):
         return max(c - high[min(c, 3)], 0) / total[a] + back * lower
 
     assert sum(chance("<begin>", b) for b in single) + chance("<begin>", "?") == pytest.approx(1)
-    rows = registered.op10_ngram_lm(spark, sf_dir).collect()
+    rows = registered.op10_ngram_lm(spark, sf_dir, order=2).collect()
     assert len(rows) == len(texts)
     tokens = sum(single.values())
     for r in rows:
