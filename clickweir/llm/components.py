@@ -15,6 +15,15 @@ def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name like this one that the frame does not have in any spelling."""
+    taken = {column.lower() for column in frame.columns}
+    name = f"_{name}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _to_smallest(edges: DataFrame) -> DataFrame:
     """Connect every node's neighbours (u, v) to the smallest of them and the node."""
     smallest = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

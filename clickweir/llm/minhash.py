@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickweir.llm.components import components, stored
+from clickweir.llm.components import components, stored, unused
 from clickweir.llm.words import SPACE, mix, portions, shingle_sets
 
 # ids up to this many (8 bytes each) may be sent to every executor
@@ -27,6 +27,7 @@ BROADCAST_IDS = 500_000
 # buckets with more open classes than PAIRED are compared in blocks inside tasks
 PAIRED = 16
 BLOCK = 1024
+PORTION_BYTES = 512 << 10  # of text at once
 
 
 @dataclass(frozen=True)
@@ -83,7 +84,7 @@ def _sign(
     batches: Iterator[pa.RecordBatch], settings: MinHashSettings
 ) -> Iterator[pa.RecordBatch]:
     nothing = np.zeros(0, dtype=np.int64)
-    for batch in portions(batches):
+    for batch in portions(batches, most=PORTION_BYTES):
         counts, same, bands = [], [], []
         for shingles in shingle_sets(batch.column(1), settings.shingle_words, SPACE):
             counts.append(len(shingles))
@@ -110,7 +111,7 @@ def _sets(
     batches: Iterator[pa.RecordBatch], settings: MinHashSettings
 ) -> Iterator[pa.RecordBatch]:
     nothing = np.zeros(0, dtype=np.int64)
-    for batch in portions(batches):
+    for batch in portions(batches, most=PORTION_BYTES):
         found = [
             x.view(np.int64)
             for x in shingle_sets(batch.column(1), settings.shingle_words, SPACE)
@@ -333,52 +334,52 @@ def one_of_each(
     are linked with each other or with those of other ids one stays. Of rows that repeat
     both id and text one stays. Rows without id cannot be told apart and all stay.
     """
+    node, row = unused(documents, "node"), unused(documents, "row")
     key = F.col(id_column).cast("long")
     hashed = F.xxhash64(text_column)
+    ids = documents.select(key.alias("id"), hashed.alias("hash"))
     several = (
-        documents.groupBy(key.alias("_several"))
-        .agg(F.min(hashed).alias("low"), F.max(hashed).alias("high"))
-        .where("_several is not null and low <> high")
-        .select("_several")
+        ids.groupBy("id")
+        .agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+        .where("id is not null and low <> high")
+        .select("id")
     )
     several = stored(spark, several, "minhash-several")
-    if several.isEmpty():
-        nodes = documents.withColumn("_node", key)
+    distinct = several.isEmpty()
+    if distinct:
+        nodes = documents.withColumn(node, key)
     else:
-        own = F.when(F.col("_several").isNotNull(), F.xxhash64(key, text_column)).otherwise(key)
+        other = several.select(F.col("id").alias(row))
+        own = F.when(F.col(row).isNotNull(), F.xxhash64(key, text_column)).otherwise(key)
         nodes = (
-            documents.join(_small(several), key == F.col("_several"), "left")
-            .withColumn("_node", own)
-            .drop("_several")
+            documents.join(_small(other), key == F.col(row), "left").withColumn(node, own).drop(row)
         )
-    found = near_duplicates(spark, nodes, settings, "_node", text_column)
-    found = found.where("doc_id is not null").withColumnRenamed("doc_id", "_removed")
-    if several.isEmpty():
-        removed = found.where("not kept").select("_removed").distinct()
+    found = near_duplicates(spark, nodes, settings, node, text_column)
+    found = found.where("doc_id is not null").select(F.col("doc_id").alias("n"), "component_id", "kept")
+    if distinct:
+        removed = found.where("not kept").select("n").distinct()
     else:  # a component's smallest id, not its smallest node
-        ids = nodes.select(F.col("_node").alias("_removed"), key.alias("_id")).distinct()
-        placed = found.select("_removed", "component_id").distinct().join(ids, "_removed")
+        ids = nodes.select(F.col(node).alias("n"), key.alias("id")).distinct()
+        placed = found.select("n", "component_id").distinct().join(ids, "n")
         placed = stored(spark, placed, "minhash-placed")
-        least = placed.groupBy("component_id").agg(F.min(F.struct("_id", "_removed")).alias("least"))
-        removed = placed.select("_removed").join(
-            least.select(F.col("least._removed").alias("_removed")), "_removed", "left_anti"
-        )
-    removed = stored(spark, removed, "minhash-removed")
-    left = nodes.join(_small(removed), F.col("_node") == F.col("_removed"), "left_anti")
-    repeated = left.groupBy(F.col("_node").alias("_repeated")).count()
-    repeated = repeated.where("_repeated is not null and count > 1").select("_repeated")
+        least = placed.groupBy("component_id").agg(F.min(F.struct("id", "n")).alias("least"))
+        removed = placed.select("n").join(least.select("least.n"), "n", "left_anti")
+    removed = stored(spark, removed.select(F.col("n").alias(row)), "minhash-removed")
+    left = nodes.join(_small(removed), F.col(node) == F.col(row), "left_anti")
+    repeated = left.groupBy(F.col(node).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = repeated.where("n is not null and rows > 1").select(F.col("n").alias(row))
     repeated = stored(spark, repeated, "minhash-repeated")
     if repeated.isEmpty():
-        return left.drop("_node")
-    again = F.col("_node") == F.col("_repeated")
-    first = Window.partitionBy("_node").orderBy(hashed)
+        return left.drop(node)
+    again = F.col(node) == F.col(row)
+    first = Window.partitionBy(node).orderBy(hashed)
     one = (
         left.join(repeated, again, "left_semi")
-        .withColumn("_row", F.row_number().over(first))
-        .where("_row = 1")
-        .drop("_row")
+        .withColumn(row, F.row_number().over(first))
+        .where(F.col(row) == 1)
+        .drop(row)
     )
-    return left.join(repeated, again, "left_anti").union(one).drop("_node")
+    return left.join(repeated, again, "left_anti").union(one).drop(node)
 
 
 def _small(ids: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickweir.llm.components import stored
+from clickweir.llm.components import stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -240,17 +240,24 @@ def mixed(
     evenly, rounded. Texts without words are never taken.
     """
     plan = mix(spark, documents, settings, id_column, text_column, source_column)
+    id_name, source_name, size_name, copies_name, time_name = (
+        unused(documents, name) for name in ("id", "source", "size", "copies", "time")
+    )
+    share = F.floor(F.sum(F.col("taken")) / F.sum(F.col("size")) + 0.5).cast("int")
     copies = (
         plan.where("size > 0")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-        .agg(F.floor(F.sum(F.col("taken")) / F.sum(F.col("size")) + 0.5).cast("int").alias("_copies"))
-        .where("_copies > 0")
+        .groupBy(
+            F.col("doc_id").alias(id_name), F.col("source").alias(source_name),
+            F.col("size").alias(size_name),
+        )
+        .agg(share.alias(copies_name))
+        .where(F.col(copies_name) > 0)
     )
     size = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
     same = (
-        F.col(id_column).cast("long").eqNullSafe(F.col("_id"))
-        & F.col(source_column).cast("string").eqNullSafe(F.col("_source"))
-        & (size == F.col("_size"))
+        F.col(id_column).cast("long").eqNullSafe(F.col(id_name))
+        & F.col(source_column).cast("string").eqNullSafe(F.col(source_name))
+        & (size == F.col(size_name))
     )
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return documents.join(copies, same).withColumn("_time", times).select(*documents.columns)
+    times = F.explode(F.sequence(F.lit(1), F.col(copies_name)))
+    return documents.join(copies, same).withColumn(time_name, times).select(*documents.columns)

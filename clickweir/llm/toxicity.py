@@ -29,6 +29,7 @@ from clickweir.llm.words import (
 )
 
 SENTENCE_END = separators((0x0A, 0x0A), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
+PORTION_BYTES = 512 << 10  # of text at once; its tables take some hundred times as much
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that are features of their own
 
 
@@ -84,7 +85,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     The context is the word before and the word behind the first occurrence.
     """
-    for batch in portions(batches):
+    for batch in portions(batches, most=PORTION_BYTES):
         data, offsets = text_bytes(batch.column(1))
         starts, ends = word_spans(data, offsets, NOT_ALPHANUMERIC)
         row = np.searchsorted(offsets, starts, side="right") - 1
@@ -93,13 +94,15 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         around[1:-1] = found[:, 0]
         context = mix(around[:-2] * np.uint64(3) + around[2:])
         width = found.shape[1]
-        pairs = np.stack([found.ravel(), np.repeat(row, width).astype(np.uint64)])
-        _, first = np.unique(pairs, axis=1, return_index=True)
-        first = first[pairs[0, first] != 0]
+        found = found.ravel()
+        # a feature's first place in each document
+        pairs = mix(found + np.repeat(row, width).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        _, first = np.unique(pairs, return_index=True)
+        first = first[found[first] != 0]
         word = first // width
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(pairs[0, first].view(np.int64)),
+                pa.array(found[first].view(np.int64)),
                 pa.array(context[word].view(np.int64)),
                 pa.array(batch.column(0).to_numpy()[row[word]]),
             ],
@@ -306,7 +309,7 @@ def _score(
     batches: Iterator[pa.RecordBatch], model: ToxicityModel, settings: ToxicitySettings
 ) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
-    for batch in portions(batches):
+    for batch in portions(batches, most=PORTION_BYTES):
         score, found = _documents(batch.column(1), model)
         data, offsets, starts, ends, first, chance, owner = found
         sentences = np.bincount(owner, minlength=batch.num_rows)
@@ -370,7 +373,7 @@ def score(
 def _clean(
     batches: Iterator[pa.RecordBatch], text: int, model: ToxicityModel, settings: ToxicitySettings
 ) -> Iterator[pa.RecordBatch]:
-    for batch in portions(batches, text):
+    for batch in portions(batches, text, PORTION_BYTES):
         score, _ = _documents(batch.column(text), model)
         yield batch.filter(pa.array(score < settings.threshold))
 

@@ -87,6 +87,8 @@ def portions(
             last = max(int(np.searchsorted(ends, before + most, side="right")), first + 1)
             yield batch.slice(first, last - first)
             first = last
+        del batch, column
+        pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

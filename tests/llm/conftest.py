@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 CLASHING = (
     "same bands key rep root shard size row run node u v ids n_tokens score value taken "
-    "component_id kept n_shingles words block label_ spans"
+    "component_id kept n_shingles words block label_ spans "
+    "_node _row _id _source _size _copies _time n id least"
 ).split()
 
 
