@@ -31,6 +31,7 @@ from clickweir.llm.words import portions
 PIECE = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+PORTION_BYTES = 512 << 10  # of text at once
 KEPT_PIECES = 250_000
 KEPT_PAIRS = 400_000
 
@@ -228,7 +229,7 @@ def vocabulary(content: bytes) -> Vocabulary:
 
 def _encode(batches: Iterator[pa.RecordBatch], content) -> Iterator[pa.RecordBatch]:
     known = vocabulary(content.value)
-    for batch in portions(batches):
+    for batch in portions(batches, most=PORTION_BYTES):
         ids = [known.encode(text or "") for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -240,6 +241,16 @@ def _encode(batches: Iterator[pa.RecordBatch], content) -> Iterator[pa.RecordBat
         )
 
 
+def _round_trip(batches: Iterator[pa.RecordBatch], content) -> Iterator[pa.RecordBatch]:
+    """The same, and the text decoded from the ids: one worker with one set of tables."""
+    known = vocabulary(content.value)
+    for batch in _encode(batches, content):
+        texts = [known.decode(x) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids", "text"]
+        )
+
+
 def _count(batches: Iterator[pa.RecordBatch], content) -> Iterator[pa.RecordBatch]:
     known = vocabulary(content.value)
     for batch in portions(batches, text=0):
@@ -282,6 +293,22 @@ def encode(
     )
 
 
+def round_trip(
+    spark: SparkSession,
+    documents: DataFrame,
+    path: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``decode`` of ``encode`` in one pass over the rows: doc_id, n_tokens, ids, text."""
+    return documents.select(
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+    ).mapInArrow(
+        partial(_round_trip, content=_content(spark, path)),
+        "doc_id long, n_tokens long, ids binary, text string",
+    )
+
+
 def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encode`` with their text; null ids give a null text."""
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(

@@ -44,8 +44,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
-    encoded = bpe.encode(spark, table(spark, sf_dir, "documents"), TOKENIZER)
-    return bpe.decode(spark, encoded, TOKENIZER).select(
+    return bpe.round_trip(spark, table(spark, sf_dir, "documents"), TOKENIZER).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

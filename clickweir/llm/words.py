@@ -8,6 +8,8 @@ probability about 2^-64.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +73,16 @@ def mix(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def release() -> None:
+    """Give free memory back, so that a worker that waits for its next task holds none."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # a C library without it
+
+
 def portions(
     batches: Iterator[pa.RecordBatch], text: int = 1, most: int = PORTION_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -88,7 +100,7 @@ def portions(
             yield batch.slice(first, last - first)
             first = last
         del batch, column
-        pa.default_memory_pool().release_unused()
+    release()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
