@@ -36,8 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian, four bytes each) and the SHA-256 of the text
     decoded from them, of every document."""
-    encoded = bpe.encode(spark, docs, TOKENIZER)
-    return bpe.decode(spark, encoded, TOKENIZER).select(
+    return bpe.round_trip(spark, docs, TOKENIZER).select(
         "doc_id", "n_tokens", "ids", F.sha2("text", 256).alias("decoded_sha256")
     )
 
