@@ -623,6 +623,15 @@ select topic, part as partition, event_id as "offset" from numbered
 where place <= case when part = 3 then 7 else 60 end""",
     )
     sql["task_spec_total"] = limited("order by part, event_id", "true|place <= 4321")
+    sql["task_spec_resume"] = limited("order by part, event_id", "true|place <= 1500 + 2200")
+    sql["stream_limits"] = _with(
+        FX,
+        """select part as partition, event_id as "offset", rowkey as key, doc as value from (
+  select *, row_number() over (partition by least(part, 2)
+    order by event_id * 3 // (select max(event_id) + 1 from events), part, event_id) as place
+  from fx where part <> 0 or event_id >= 40) t
+where place <= case part when 0 then 700 when 1 then 300 else 1100 end""",
+    )
     sql["task_spec_stored"] = limited(
         "order by part, event_id",
         "(part = 0 and event_id >= 900) or (part = 1 and event_id >= 10) or part in (2, 3)|place <= 6000",

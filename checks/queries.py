@@ -12,9 +12,10 @@ from clickweir.functions.coerce import coerce
 from clickweir.functions.hashing import text_hash
 from clickweir.functions.text import null_text
 from clickweir.operators import enrich, features, imports, latest, parse, windows
-from clickweir.plans import batch, sql_job
+from clickweir.plans import batch, positions, sql_job
 from clickweir.session import fresh_folder
 from clickweir.sinks import files, render, tables
+from clickweir.sinks.manifests import ManifestLog
 from clickweir.sources.envelope import read_replay, stream_replay, write_replay
 from clickweir.sources.stream_spec import StreamSpec
 from clickweir.sources.task_spec import TaskSpec
@@ -434,6 +435,59 @@ def task(spec: str, stored: dict[int, int] | None = None) -> Query:
     return query
 
 
+class _Lost(RuntimeError):
+    """An executor or driver that is lost before its run is published."""
+
+
+def task_resume(spark, sf_dir):
+    """Two bounded runs from stored positions, and a third that dies between them."""
+    folder = fresh_folder(spark, "resume")
+    write_replay(m.clickstream(spark, sf_dir), f"{folder}/in")
+    messages = read_replay(spark, f"{folder}/in")
+    log = ManifestLog(spark, f"{folder}/log")
+
+    def write(rows: DataFrame, name: str) -> None:
+        rows.write.parquet(f"{folder}/out/{name}")
+
+    def dies(rows: DataFrame, name: str) -> None:
+        write(rows, name)
+        raise _Lost
+
+    for limit, step in ((1500, write), (700, dies), (2200, write)):
+        spec = TaskSpec.parse(f"%:-1000:{limit}")
+        try:
+            positions.run_from_positions(messages, spec, log, step, start_earliest=True)
+        except _Lost:
+            pass
+    rows = positions.read_published(spark, log, f"{folder}/out", messages.schema)
+    return rows.select("partition", "offset", "key", "value")
+
+
+LIMITED = "0:40:700,1:-2:300,2-3:-2:1100"
+
+
+def stream_limits(spark, sf_dir):
+    """Several clauses over three deliveries, a run for each: the counters go on."""
+    folder = fresh_folder(spark, "limits")
+    log = ManifestLog(spark, f"{folder}/log")
+    messages = m.clickstream(spark, sf_dir)
+    most = m.events_table(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    third = F.floor(F.col("offset") * 3 / (most + 1))
+
+    def write(rows: DataFrame, name: str) -> None:
+        rows.write.parquet(f"{folder}/out/{name}")
+
+    for delivery in range(3):
+        messages.where(third == delivery).write.mode("append").parquet(f"{folder}/in")
+        query = positions.start_from_positions(
+            stream_replay(spark, f"{folder}/in"), TaskSpec.parse(LIMITED), log,
+            f"{folder}/checkpoint", write,
+        )
+        _drain(query)
+    rows = positions.read_published(spark, log, f"{folder}/out", messages.schema)
+    return rows.select("partition", "offset", "key", "value")
+
+
 def task_two_topics(spark, sf_dir):
     """Every topic has the task's limit for itself."""
     topic = F.when(F.col("offset") % 3 == 0, "second").otherwise(F.col("topic"))
@@ -682,6 +736,8 @@ def queries() -> dict[str, Query]:
         "task_spec_range": task("1-3:500:3000"),
         "task_spec_two_topics": task_two_topics,
         "task_spec_total": task("*:-2:4321"),
+        "task_spec_resume": task_resume,
+        "stream_limits": stream_limits,
         "task_spec_stored": task("0-3:-1000:6000", {0: 900, 1: 10, 2: 0, 3: 0}),
         "stream_append_final": stream_append_final,
         "stream_append_panes": stream_append_panes,

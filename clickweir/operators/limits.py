@@ -8,14 +8,17 @@ partition, whatever the size of the partition or of the limit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickweir.session import fresh_folder
+
 BUCKET_BITS = 20
+PLAIN_CONDITIONS = 64  # topic partitions that are named one by one in a filter
 RANGE = ["_range", "_topic", "partition"]
 
 
@@ -47,6 +50,18 @@ class OffsetRange:
         return inside & from_start
 
 
+@dataclass(frozen=True)
+class Taken:
+    """What a step takes of one topic partition: the offsets from ``first`` to ``last``."""
+
+    range: int
+    topic: str
+    partition: int
+    first: int
+    last: int
+    rows: int
+
+
 def select_ranges(
     messages: DataFrame,
     ranges: Sequence[OffsetRange],
@@ -57,17 +72,12 @@ def select_ranges(
     The ranges come first as one plain condition, which reaches the scan. Every topic
     has its own ranges and limits, where the envelope names one.
     """
-    tag, inside = F, F.lit(False)
-    for number, part in enumerate(ranges):
-        tag = tag.when(part.condition(), F.lit(number))
-        inside = inside | part.condition()
     open_ended = [n for n, part in enumerate(ranges) if part.limit is None]
-    topic = F.col("topic") if "topic" in messages.columns else F.lit(None).cast("string")
-    tagged = messages.where(inside).withColumn("_range", tag)
+    tagged = _tagged(messages, ranges)
     if len(open_ended) == len(ranges):
-        return tagged.drop("_range")
-    tagged = tagged.withColumn("_topic", F.coalesce(topic, F.lit("")))
-    cutoffs = _cutoffs(tagged, ranges, bucket_bits)
+        return tagged.select(*messages.columns)
+    positions = _limited(tagged, ranges)
+    cutoffs = _cutoffs(_counts(positions, bucket_bits), positions, ranges, bucket_bits, {})
     # at most one row per topic partition
     joined = tagged.join(F.broadcast(cutoffs), RANGE, "left")
     within = F.col("offset") <= F.col("_cutoff")
@@ -76,20 +86,113 @@ def select_ranges(
     return joined.where(within).select(*messages.columns)
 
 
+def take_ranges(
+    messages: DataFrame,
+    ranges: Sequence[OffsetRange],
+    used: Mapping[int, int] | None = None,
+    bucket_bits: int = BUCKET_BITS,
+) -> tuple[DataFrame, list[Taken]]:
+    """The same rows, and what they are, found out before they are read.
+
+    ``used``: rows that earlier steps have taken of a range's limit. The counts per offset
+    bucket are stored once in the shared folder and everything else is worked out from them;
+    the driver sees one row a topic partition. The rows are then named by their first and
+    last offsets, so reading them again gives the same ones, also from a source that grows.
+    """
+    spark = messages.sparkSession
+    tagged = _tagged(messages, ranges)
+    positions = tagged.select(*RANGE, "offset")
+    folder = fresh_folder(spark, "offset-counts")
+    _counts(positions, bucket_bits).write.parquet(folder)
+    counts = spark.read.parquet(folder)
+    totals = counts.groupBy(*RANGE).agg(
+        F.min("_first").alias("_first"), F.max("_top").alias("_top"), F.sum("_rows").alias("_total")
+    )
+    limited = counts.where(F.col("_range").isin(*_limited_numbers(ranges)))
+    cutoffs = _cutoffs(limited, positions, ranges, bucket_bits, used or {}, with_rows=True)
+    found = totals.join(cutoffs, RANGE, "left").collect()  # one row a topic partition
+    taken = []
+    for row in found:
+        last, rows = row["_cutoff"], row["_taken"]
+        if ranges[row["_range"]].limit is None:
+            last, rows = row["_top"], row["_total"]
+        if last is not None:
+            taken.append(
+                Taken(row["_range"], row["_topic"], row["partition"], row["_first"], last, rows)
+            )
+    return _rows_of(messages, taken), taken
+
+
+def _rows_of(messages: DataFrame, taken: Sequence[Taken]) -> DataFrame:
+    """The messages at these offsets: a condition where it is short, else a small join."""
+    if not taken:
+        return messages.limit(0)
+    topic = F.coalesce(F.col("topic"), F.lit("")) if "topic" in messages.columns else F.lit("")
+    if len(taken) <= PLAIN_CONDITIONS:
+        inside = F.lit(False)
+        for part in taken:
+            own = (F.col("partition") == part.partition) & F.col("offset").between(part.first, part.last)
+            inside = inside | (own & (topic == part.topic))
+        return messages.where(inside)
+    spark = messages.sparkSession
+    table = spark.createDataFrame(
+        [(part.topic, part.partition, part.first, part.last) for part in taken],
+        "_topic string, _partition int, _first long, _last long",
+    )
+    # one row a topic partition, as collected
+    same = (
+        (topic == F.col("_topic"))
+        & (F.col("partition") == F.col("_partition"))
+        & F.col("offset").between(F.col("_first"), F.col("_last"))
+    )
+    return messages.join(F.broadcast(table), same, "left_semi")
+
+
+def _tagged(messages: DataFrame, ranges: Sequence[OffsetRange]) -> DataFrame:
+    """The messages inside the ranges, with the range and topic of each."""
+    tag, inside = F, F.lit(False)
+    for number, part in enumerate(ranges):
+        tag = tag.when(part.condition(), F.lit(number))
+        inside = inside | part.condition()
+    topic = F.col("topic") if "topic" in messages.columns else F.lit(None).cast("string")
+    return (
+        messages.where(inside)
+        .withColumn("_range", tag)
+        .withColumn("_topic", F.coalesce(topic, F.lit("")))
+    )
+
+
+def _limited_numbers(ranges: Sequence[OffsetRange]) -> list[int]:
+    return [n for n, part in enumerate(ranges) if part.limit is not None]
+
+
+def _limited(tagged: DataFrame, ranges: Sequence[OffsetRange]) -> DataFrame:
+    return tagged.where(F.col("_range").isin(*_limited_numbers(ranges))).select(*RANGE, "offset")
+
+
+def _counts(positions: DataFrame, bucket_bits: int) -> DataFrame:
+    """Rows of every offset bucket, and its first and last offset."""
+    return positions.groupBy(*RANGE, F.shiftright("offset", bucket_bits).alias("_slot")).agg(
+        F.count("*").alias("_rows"), F.min("offset").alias("_first"), F.max("offset").alias("_top")
+    )
+
+
 def _cutoffs(
-    tagged: DataFrame, ranges: Sequence[OffsetRange], bucket_bits: int
+    counts: DataFrame,
+    positions: DataFrame,
+    ranges: Sequence[OffsetRange],
+    bucket_bits: int,
+    used: Mapping[int, int],
+    with_rows: bool = False,
 ) -> DataFrame:
-    """(range, topic, partition) -> highest offset still inside the limit."""
+    """(range, topic, partition) -> highest offset still inside the limit (and the rows)."""
     limits = F
-    for number, part in enumerate(ranges):
-        if part.limit is not None:
-            limits = limits.when(F.col("_range") == number, F.lit(part.limit))
+    for number in _limited_numbers(ranges):
+        left = max(ranges[number].limit - used.get(number, 0), 0)
+        limits = limits.when(F.col("_range") == number, F.lit(left))
+    if limits is F:
+        limits = F.lit(None).cast("bigint")
     slot = F.shiftright("offset", bucket_bits)
-    limited = [n for n, part in enumerate(ranges) if part.limit is not None]
-    positions = tagged.where(F.col("_range").isin(*limited)).select(*RANGE, "offset")
-    counts = positions.groupBy(*RANGE, slot.alias("_slot")).agg(
-        F.count("*").alias("_rows"), F.max("offset").alias("_top")
-    )
 
     # rows of a range in lower partitions; one row per topic partition here
     totals = counts.groupBy(*RANGE).agg(F.sum("_rows").alias("_total"))
@@ -100,7 +203,7 @@ def _cutoffs(
     )
     before = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
     quotas = totals.select(
-        *RANGE, (limits - before).cast("bigint").alias("_quota")
+        *RANGE, "_total", (limits - before).cast("bigint").alias("_quota")
     )
 
     along = W.partitionBy(*RANGE).orderBy("_slot")
@@ -110,13 +213,14 @@ def _cutoffs(
         .join(F.broadcast(quotas), RANGE)
         .withColumn("_needed", F.col("_quota") - F.col("_reached") + F.col("_rows"))
         .where(F.col("_needed") > 0)
+        .withColumn("_taken", F.least("_quota", "_total"))
     )
     # buckets taken whole need no look at their rows
     whole = filled.where(F.col("_needed") >= F.col("_rows")).select(
-        *RANGE, F.col("_top").alias("_cutoff")
+        *RANGE, "_taken", F.col("_top").alias("_cutoff")
     )
     split = filled.where(F.col("_needed") < F.col("_rows")).select(
-        *RANGE, "_slot", "_needed"
+        *RANGE, "_slot", "_needed", "_taken"
     )
     inside = positions.withColumn("_slot", slot).join(
         F.broadcast(split), [*RANGE, "_slot"]
@@ -125,10 +229,9 @@ def _cutoffs(
     partial = (
         inside.withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") == F.col("_needed"))
-        .select(*RANGE, F.col("offset").alias("_cutoff"))
+        .select(*RANGE, "_taken", F.col("offset").alias("_cutoff"))
     )
-    return (
-        whole.unionByName(partial)
-        .groupBy(*RANGE)
-        .agg(F.max("_cutoff").alias("_cutoff"))
+    found = whole.unionByName(partial).groupBy(*RANGE).agg(
+        F.max("_cutoff").alias("_cutoff"), F.max("_taken").alias("_taken")
     )
+    return found if with_rows else found.drop("_taken")

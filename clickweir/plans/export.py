@@ -2,6 +2,9 @@
 
     spark-submit -m clickweir.plans.export --replay PATH --task "*:-2:1000000" \
         --format csv --columns "timestamp;columns:hash(uuid),uid,eid" --filename OUT
+
+With ``--positions FOLDER`` a run begins where the group's last one stopped and its output
+counts once it is published there (``plans.positions``): ``--task "%:-1000:1000000"``.
 """
 
 from __future__ import annotations
@@ -9,18 +12,25 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from clickweir.plans.positions import (
+    positions,
+    run_from_positions,
+    run_stream_from_positions,
+    start_from_positions,
+)
 from clickweir.session import build_session
 from clickweir.sinks.files import typed_rows, write_lines, write_orc
 from clickweir.sinks.jdbc import JdbcTarget, append_to_jdbc
+from clickweir.sinks.manifests import ManifestLog
 from clickweir.sinks.render import render_lines
 from clickweir.sinks.tables import append_to_table
 from clickweir.sources.catalog import columns_from_table
-from clickweir.sources.envelope import read_replay, read_topic, stream_topic
+from clickweir.sources.envelope import read_replay, read_topic, stream_replay, stream_topic
 from clickweir.sources.kafka import Connection
 from clickweir.sources.task_spec import TaskSpec
 from clickweir.streaming.append import start_table_append
@@ -30,7 +40,7 @@ from clickweir.streaming.run import run_bounded
 HONOURED = {
     "csv": {"columns", "filename", "delimiter", "newline", "compression", "hash_method"},
     "orc": {"columns", "filename", "compression"},
-    "table": {"table", "nulls"},
+    "table": {"table", "nulls", "batch_column"},
     "jdbc": {
         "table", "columns_table", "host", "port", "user", "password", "database",
         "jdbc_url", "jdbc_driver", "nulls", "batch_size", "thread_count",
@@ -63,7 +73,9 @@ class ExportJob:
     ssl_ca_location: str = ""
     start_earliest: bool = False
     partition_count: int = 0
-    # continuous run with positions kept in a checkpoint
+    # the group's positions and what its runs have published
+    positions: str = ""
+    # continuous run; without a group, its positions are those of the checkpoint
     checkpoint: str = ""
     max_duration: int = 300_000
     poll_timeout: int = 30_000
@@ -78,6 +90,7 @@ class ExportJob:
     database: str = ""
     jdbc_url: str = ""
     jdbc_driver: str = ""
+    batch_column: str = ""
     nulls: str = "default"
     batch_size: int = 500_000
     thread_count: int = 1
@@ -108,18 +121,27 @@ class ExportJob:
         )
         if ignored:
             raise ValueError(f"format {self.format!r} has no use for {ignored}")
+        if self.positions and self.format == "jdbc":
+            raise ValueError("format 'jdbc' cannot take rows back: it has no use for positions")
+        if self.positions and self.format == "table" and not self.batch_column:
+            raise ValueError("a table written from positions needs a batch_column of its own")
 
-    def source_options(self, has_positions: bool = False) -> dict[str, str]:
-        """``has_positions``: an earlier run has stored some in the checkpoint."""
+    def source_options(
+        self, has_positions: bool = False, stored: dict[int, int] | None = None
+    ) -> dict[str, str]:
+        """``has_positions``: an earlier run has stored some in the checkpoint; ``stored``:
+        those of the group."""
         spec = TaskSpec.parse(self.task)
         return {
             **self.connection().options(),
             **spec.options(
                 self.topic,
+                stored,
                 start_earliest=self.start_earliest,
                 partition_count=self.partition_count or None,
                 streaming=bool(self.checkpoint),
                 has_checkpoint=has_positions,
+                counted=bool(self.positions),
             ),
         }
 
@@ -165,13 +187,16 @@ def export(messages: DataFrame, job: ExportJob) -> None:
 def run_export(spark: SparkSession, job: ExportJob) -> str:
     """Read, select and write; with a checkpoint as a bounded continuous run."""
     job.check()
+    if job.positions:
+        return _export_from_positions(spark, job)
+    task = TaskSpec.parse(job.task)
     if job.replay:
         messages = read_replay(spark, job.replay)
-        export(TaskSpec.parse(job.task).select(messages), job)
+        export(task.select(messages, start_earliest=job.start_earliest), job)
         return "finished"
     if not job.checkpoint:
         messages = read_topic(spark, job.source_options())
-        export(TaskSpec.parse(job.task).select(messages), job)
+        export(task.select(messages, start_earliest=job.start_earliest), job)
         return "finished"
     resumed = checkpoint_exists(spark, job.checkpoint)
     messages = stream_topic(spark, job.source_options(has_positions=resumed))
@@ -184,6 +209,46 @@ def run_export(spark: SparkSession, job: ExportJob) -> str:
     )
 
 
+def _export_from_positions(spark: SparkSession, job: ExportJob) -> str:
+    """One step, or with a checkpoint a continuous run, from the group's positions on."""
+    task, log = TaskSpec.parse(job.task), ManifestLog(spark, job.positions)
+    stored = positions(log.latest(), job.topic)
+
+    def write(rows: DataFrame, folder: str) -> None:
+        if job.format == "table":
+            step = (job.batch_column, int(folder.split("-")[1]))
+            append_to_table(rows, job.table, job.nulls, replace=step)
+        else:
+            export(rows, replace(job, filename=f"{job.filename}/{folder}"))
+
+    if not job.checkpoint:
+        messages = (
+            read_replay(spark, job.replay)
+            if job.replay
+            else read_topic(spark, job.source_options(stored=stored))
+        )
+        run_from_positions(messages, task, log, write, job.topic, job.start_earliest)
+        return "finished"
+    resumed = checkpoint_exists(spark, job.checkpoint)
+    messages = (
+        stream_replay(spark, job.replay)
+        if job.replay
+        else stream_topic(spark, job.source_options(resumed, stored))
+    )
+    query = start_from_positions(
+        messages, task, log, job.checkpoint, write, job.topic, job.start_earliest,
+        {"processingTime": "0 seconds"},
+    )
+    return run_stream_from_positions(
+        query,
+        log,
+        job.checkpoint,
+        max_duration=job.max_duration / 1000,
+        idle_timeout=job.poll_timeout / 1000,
+        keep_going=(lambda: os.path.exists(job.lockfile)) if job.lockfile else None,
+    )
+
+
 def checkpoint_exists(spark: SparkSession, path: str) -> bool:
     """Whether a query has stored positions below this path."""
     try:
@@ -196,7 +261,8 @@ def _start(messages: DataFrame, job: ExportJob):
     trigger = {"processingTime": "0 seconds"}
     if job.format == "table":
         return start_table_append(
-            messages, job.table, job.checkpoint, job.nulls, trigger=trigger
+            messages, job.table, job.checkpoint, job.nulls,
+            batch_column=job.batch_column or None, trigger=trigger,
         )
     if job.format == "csv":
         rows = render_lines(messages, job.columns, job.delimiter, job.hash_method)

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickweir.operators.limits import Taken, take_ranges
+from clickweir.operators.limits import take_ranges
 from clickweir.sinks.manifests import Manifest, ManifestLog
 from clickweir.sources.task_spec import TaskSpec
 from clickweir.streaming.run import MAX_DURATION, POLL_TIMEOUT, run_bounded
@@ -64,10 +64,10 @@ def run_from_positions(
     """
     before = log.latest()
     selected, ranges = task.ranged(messages, positions(before, topic), start_earliest)
-    return _step(selected, task, ranges, {}, before, log, write, topic, {})
+    return _step(selected, task, ranges, {}, before, log, write, topic)
 
 
-def _step(messages, task, ranges, used, before, log, write, topic, extra) -> Run:
+def _step(messages, task, ranges, used, before, log, write, topic, run=None, own_state=None) -> Run:
     rows, taken = take_ranges(messages, ranges, used)
     folder = f"run-{before.version + 1:012d}-{uuid.uuid4().hex[:12]}"
     if taken:
@@ -82,12 +82,14 @@ def _step(messages, task, ranges, used, before, log, write, topic, extra) -> Run
         part.limit is not None and used.get(number, 0) >= part.limit
         for number, part in enumerate(ranges)
     )
+    # runs that still go on keep their counters beside those of others
+    runs = {k: v for k, v in before.state.get("runs", {}).items() if not v["exhausted"]}
+    if run is not None:
+        runs[run] = {**own_state, "used": used, "exhausted": exhausted}
     state = {
         "positions": {**before.state.get("positions", {}), topic: own},
-        **{k: v for k, v in extra.items()},
+        "runs": runs,
     }
-    if extra:
-        state |= {"used": used, "exhausted": exhausted}
     if not log.publish(before.version + 1, state, [folder] if taken else []):
         raise ConcurrentRun(f"version {before.version + 1} of {log.path} is taken")
     return Run(before.version + 1, sum(part.rows for part in taken), folder, exhausted)
@@ -116,7 +118,7 @@ def start_from_positions(
 
     def take(batch: DataFrame, batch_id: int) -> None:
         before = log.latest()
-        state = before.state if before.state.get("run") == run else {}
+        state = before.state.get("runs", {}).get(run, {})
         if state and (state["batch"] >= batch_id or state["exhausted"]):
             return
         used = {int(k): v for k, v in state.get("used", {}).items()}
@@ -125,8 +127,8 @@ def start_from_positions(
             started = {str(k): v for k, v in positions(before, topic).items()}
         stored = {int(k): v for k, v in started.items()}
         selected, ranges = task.ranged(batch, stored, start_earliest)
-        extra = {"run": run, "batch": batch_id, "started": started}
-        _step(selected, task, ranges, used, before, log, write, topic, extra)
+        own_state = {"batch": batch_id, "started": started}
+        _step(selected, task, ranges, used, before, log, write, topic, run, own_state)
 
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)
@@ -138,8 +140,8 @@ def start_from_positions(
 
 def exhausted(log: ManifestLog, checkpoint: str) -> bool:
     """Whether the run of this checkpoint has taken all that its limits allow."""
-    state = log.latest().state
-    return state.get("run") == checkpoint.rstrip("/") and bool(state.get("exhausted"))
+    state = log.latest().state.get("runs", {}).get(checkpoint.rstrip("/"), {})
+    return bool(state.get("exhausted"))
 
 
 def run_stream_from_positions(
@@ -173,7 +175,3 @@ def read_published(
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).format(fmt).load(paths)
 
-
-def taken_partitions(taken: list[Taken]) -> dict[int, int]:
-    """Rows of every partition in a step."""
-    return {part.partition: part.rows for part in taken}

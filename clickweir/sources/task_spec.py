@@ -87,10 +87,19 @@ class TaskSpec:
         the job instead of being left out. ``-1`` has no meaning here: a stored envelope
         ends where it ends.
         """
+        return select_ranges(*self.ranged(messages, stored, start_earliest))
+
+    def ranged(
+        self,
+        messages: DataFrame,
+        stored: Mapping[int, int] | None = None,
+        start_earliest: bool = False,
+    ) -> tuple[DataFrame, list[OffsetRange]]:
+        """The messages, checked, and the ranges of them that ``select`` takes."""
         if any(clause.offset == LATEST for clause in self.clauses):
             raise ValueError("offset -1 (latest) needs a stream; a bounded run has nothing behind it")
         ranges = [
-            _stored_range(messages, clause, stored or {}, start_earliest)
+            _stored_range(clause, stored or {}, start_earliest)
             if clause.offset == STORED
             else OffsetRange(
                 clause.first,
@@ -103,7 +112,7 @@ class TaskSpec:
         for clause in self.clauses:
             if clause.offset == STORED and clause.first is None and not start_earliest:
                 messages = _only_known(messages, stored)
-        return select_ranges(messages, ranges)
+        return messages, ranges
 
     def options(
         self,
@@ -113,12 +122,14 @@ class TaskSpec:
         partition_count: int | None = None,
         streaming: bool = False,
         has_checkpoint: bool = False,
+        counted: bool = False,
     ) -> dict[str, str]:
         """Connector options for this task.
 
         ``*`` with an explicit offset needs ``partition_count``. A checkpoint takes
         over from ``stored`` once it exists. A stream gets the total limit as the
-        size of one micro-batch; the batch selection above is the exact form.
+        size of one micro-batch, unless its limits are ``counted`` by the reader
+        (``plans.positions``), which is exact and takes any number of clauses.
         """
         options = {"failOnDataLoss": "true"}
         symbolic = self.clauses[0].first is None
@@ -150,13 +161,13 @@ class TaskSpec:
             options["startingOffsets"] = _named_start(
                 self.clauses[0].offset, start_earliest, has_checkpoint
             )
-        if streaming:
+        if streaming and not counted:
             if len(self.clauses) > 1:
                 raise ValueError("a stream has one limit in all: give a task of one clause")
             if not self.total_limit:
                 raise ValueError("a limit of 0 reads nothing: a stream needs a larger one")
             options["maxOffsetsPerTrigger"] = str(self.total_limit)
-        elif not symbolic and all(c.own_limit and c.offset >= 0 for c in self.clauses):
+        elif not streaming and not symbolic and all(c.own_limit and c.offset >= 0 for c in self.clauses):
             options["endingOffsets"] = json.dumps(
                 {topic: {str(c.first): c.offset + c.limit for c in self.clauses}}
             )
@@ -191,7 +202,7 @@ def _clause(text: str) -> Clause:
 
 
 def _stored_range(
-    messages: DataFrame, clause: Clause, stored: Mapping[int, int], start_earliest: bool
+    clause: Clause, stored: Mapping[int, int], start_earliest: bool
 ) -> OffsetRange:
     wanted = (
         None if clause.first is None else range(clause.first, clause.last + 1)

@@ -304,3 +304,45 @@ def test_exporter_source_options():
 def test_grouped_cells_keep_rows_whole(messages):
     rows = messages([DOCUMENTS[0]] * 100)
     assert render.render_lines(rows, "columns:a=g,b=g").agg(F.count("*")).first()[0] == 100
+
+
+def test_exporter_continues_from_positions(spark, messages):
+    from clickweir.sinks.manifests import ManifestLog
+
+    root = fresh_folder(spark, "continued")
+    write_replay(messages([f'{{"uid":{i}}}' for i in range(10)]), f"{root}/in")
+    common = [
+        "--replay", f"{root}/in", "--columns", "offset", "--filename", f"{root}/out",
+        "--positions", f"{root}/group", "--start-earliest",
+    ]
+    for task, reason in (("%:-1000:3", []), ("%:-1000:4", []), ("%:-1000:9", ["--checkpoint", f"{root}/c"])):
+        job = parse_arguments([*common, "--task", task, "--poll-timeout", "4000", *reason])
+        assert run_export(spark, job) == ("idle" if reason else "finished")
+    folders = ManifestLog(spark, f"{root}/group").parts()
+    lines = [r[0] for f in folders for r in spark.read.text(f"{root}/out/{f}").collect()]
+    assert sorted(int(line.split("|")[0]) for line in lines) == list(range(10))
+    assert len(folders) == 3
+
+
+def test_exporter_positions_need_an_output_that_can_be_replaced(spark):
+    for options in (["--format", "jdbc", "--table", "t"], ["--format", "table", "--table", "t"]):
+        job = parse_arguments(["--task", "%:-1000:3", "--positions", "p", *options])
+        with pytest.raises(ValueError, match="no use for positions|batch_column"):
+            run_export(spark, job)
+
+
+def test_exporter_appends_each_step_to_a_table_once(spark, messages):
+    root = fresh_folder(spark, "steps")
+    write_replay(messages([f'{{"uid":{i}}}' for i in range(10)]), f"{root}/in")
+    spark.sql("DROP TABLE IF EXISTS stepwise")
+    spark.sql("CREATE TABLE stepwise (uid INT, step BIGINT) USING parquet PARTITIONED BY (step)")
+    for _ in range(3):
+        job = parse_arguments(
+            ["--replay", f"{root}/in", "--task", "%:-1000:4", "--positions", f"{root}/group",
+             "--format", "table", "--table", "stepwise", "--batch-column", "step",
+             "--start-earliest", "--nulls", "keep"]
+        )
+        run_export(spark, job)
+    rows = [tuple(r) for r in spark.table("stepwise").orderBy("uid").collect()]
+    assert rows == [(i, i // 4) for i in range(10)]
+    spark.sql("DROP TABLE stepwise")
