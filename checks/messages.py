@@ -151,6 +151,10 @@ def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def odd_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with what producers leave behind the last brace, by event number."""
+    return odd_ends_rows(events_table(spark, sf_dir))
+
+
+def odd_ends_rows(events: DataFrame) -> DataFrame:
     case = F.col("event_id") % 6
     ends = (
         F.when(case == 0, "\n")
@@ -160,7 +164,7 @@ def odd_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 4, " \n\r\n ")
         .otherwise("")
     )
-    return envelope(events_table(spark, sf_dir), F.concat(document(), ends), row_key())
+    return envelope(events, F.concat(document(), ends), row_key())
 
 
 def untimely(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -666,6 +666,22 @@ where session_end <= (select max(server_time) from counted) - 60000""",
     case when dtm > 0 or dt > 0 then server_time else ms end as server_time) from core) c""",
     )
     sql["stream_rejects"] = sql["parse_rejects"]
+    sql["stream_compacted"] = _with(FAST, hopping("fast"))
+    sql["stream_retention"] = _with(
+        FAST,
+        hopping(
+            "fast",
+            f"""{fast_closed} and ws // 240000 >=
+    ((select max(server_time) from fast) - 60000 - 360000) // 240000""",
+        ),
+    )
+    sql["stream_split"] = _with(
+        CORE,
+        f"""select part as partition, event_id as "offset",
+  case when event_id % 6 <> 3 then rowkey end as key,
+  case when event_id % 6 <> 3 then {extended} end as value,
+  case when event_id % 6 = 3 then 'trailing_text' end as reason from core""",
+    )
     late = "event_id % 10 = 9"
     sql["stream_late_drop"] = _with(
         FAST,

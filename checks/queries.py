@@ -593,6 +593,61 @@ def stream_late_drop(spark, sf_dir):
     return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
 
 
+def _in_thirds(spark, sf_dir, folder: str):
+    """The events on the compressed clock as three deliveries in time order, one at a time."""
+    events = m.compressed_clock(spark, sf_dir)
+    low, high = events.agg(F.min("_server_time"), F.max("_server_time")).first()
+    third = F.floor((F.col("_server_time") - low) * 3 / (high - low + 1))
+    for delivery in range(3):
+        events.where(third == delivery).write.mode("append").parquet(f"{folder}/in")
+        yield spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+
+
+def stream_compacted(spark, sf_dir):
+    """Changes of windows, with segments merged and old ones deleted after every delivery."""
+    folder = fresh_folder(spark, "compacted")
+    rows = None
+    for stream in _in_thirds(spark, sf_dir, folder):
+        rows = windows.hopping_counters(stream)
+        _drain(keyed.start_keyed(rows, f"{folder}/out", f"{folder}/checkpoint"))
+        keyed.compact_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS, fanout=2)
+        keyed.vacuum_keyed(spark, f"{folder}/out", versions=1)
+    return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
+
+
+RETENTION_MS = 360_000
+SLICE_MS = 240_000
+
+
+def stream_retention(spark, sf_dir):
+    """Final windows of which whole slices expire by the stream's watermark."""
+    folder = fresh_folder(spark, "retention")
+    rows = None
+    for stream in _in_thirds(spark, sf_dir, folder):
+        rows = windows.hopping_counters(stream)
+        query = keyed.start_keyed(
+            rows, f"{folder}/out", f"{folder}/checkpoint", output_mode="append",
+            slices=("agg_time", SLICE_MS),
+        )
+        _drain(query)
+        keyed.expire_keyed(spark, f"{folder}/out", RETENTION_MS)
+    return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
+
+
+def stream_split(spark, sf_dir):
+    """Documents and rejects of one pass over texts with odd ends."""
+    stages = _stages(spark, "split")
+    messages = m.odd_ends_rows(events_stream(spark, sf_dir))
+    _drain(pipeline.start_split(messages, stages, no_clock()))
+    documents = pipeline.read_split(spark, stages, "document").select(
+        "partition", "offset", "key", "value", F.lit(None).cast("string").alias("reason")
+    )
+    rejected = pipeline.read_split(spark, stages, "reject").select(
+        "partition", "offset", F.lit(None).cast("string").alias("key"), "value", "reason"
+    )
+    return documents.unionByName(rejected)
+
+
 def stream_documents(spark, sf_dir):
     stages = _stages(spark, "documents")
     _drain(pipeline.start_documents(clickstream_stream(spark, sf_dir), stages))
@@ -745,6 +800,9 @@ def queries() -> dict[str, Query]:
         "stream_tumbling": stream_tumbling,
         "stream_session": stream_session,
         "stream_late_drop": stream_late_drop,
+        "stream_compacted": stream_compacted,
+        "stream_retention": stream_retention,
+        "stream_split": stream_split,
         "stream_documents": stream_documents,
         "stream_rejects": stream_rejects,
         "stream_features": stream_features,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweir.functions import decisions
-from clickweir.functions.document import extend_document, extendable
+from clickweir.functions.document import extend_document, extendable, reject_reason
 from clickweir.operators.parse import parse_events
 
 # Payload fields of a click event.
@@ -27,6 +27,9 @@ ADDED_FIELDS = (
 # Part of the user agent of synthetic load; pass your generator's own.
 LOAD_TEST_MARKER = "LoadTest"
 
+# What becomes of a message.
+KIND, DOCUMENT, REJECT = "kind", "document", "reject"
+
 ExtraFields = Mapping[str, Callable[[], Column]]
 
 
@@ -86,6 +89,39 @@ def extended_documents(
     )
 
 
+def split_documents(
+    messages: DataFrame,
+    fallback_time: Column | None = None,
+    load_test_marker: str = LOAD_TEST_MARKER,
+    include_value: bool = False,
+    topic: str = "CLICKSTREAM_CORE",
+) -> DataFrame:
+    """Every message once: its extended document, or why there is none.
+
+    The envelope with ``reason`` and ``kind``. Documents are keyed by row key under
+    ``topic``; rejects have a reason and, only if asked for, their text. What makes a
+    payload a reject is worked out once and carried through the pass that reads its fields.
+    """
+    reason = F.col("_reason")
+    judged = messages.withColumn("_reason", reject_reason(F.col("value"), whole=True))
+    events = parse_events(
+        judged, EVENT_COLUMNS, keep=("partition", "offset", "timestamp", "_reason"),
+        document="_document",
+    )
+    full = enrich(events, fallback_time, load_test_marker)
+    added = {name: F.col(name) for name in ADDED_FIELDS}
+    extended = extend_document(F.col("_document"), added, reason.isNull())
+    left = F.col("_document") if include_value else F.lit(None).cast("string")
+    return full.select(
+        F.when(reason.isNull(), F.col("rowkey")).alias("key"),
+        F.when(reason.isNull(), extended).otherwise(left).alias("value"),
+        F.when(reason.isNull(), F.lit(topic)).alias("topic"),
+        "partition", "offset", "timestamp",
+        reason.alias("reason"),
+        F.when(reason.isNull(), DOCUMENT).otherwise(REJECT).alias(KIND),
+    )
+
+
 def rekey(documents: DataFrame, buckets: int) -> DataFrame:
     """Lay documents out by row key: each key in one of ``buckets`` groups.
 

@@ -59,11 +59,10 @@ class ManifestLog:
         return sorted(int(m[1]) for m in map(_NAME.fullmatch, names) if m)
 
     def read(self, version: int) -> Manifest:
-        stream = self._files.open(self._path(self._name(version)))
-        try:
-            content = json.loads(self._text.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        text = self.text(self._name(version))
+        if text is None:
+            raise ValueError(f"{self.path} has no version {version}")
+        content = json.loads(text)
         whole = content.get("whole")
         return Manifest(
             version, content["state"], tuple(content["added"]), None if whole is None else tuple(whole)
@@ -127,5 +126,30 @@ class ManifestLog:
             return []
         return [status.getPath().getName() for status in self._files.listStatus(folder)]
 
+    def children_with_times(self, path: str) -> list[tuple[str, int]]:
+        """The same with the times, in ms, at which they were last changed."""
+        folder = self._path(path)
+        if not self._files.exists(folder):
+            return []
+        return [
+            (status.getPath().getName(), status.getModificationTime())
+            for status in self._files.listStatus(folder)
+        ]
+
+    def time_of(self, version: int) -> int:
+        """When a version was published, in ms."""
+        return self._files.getFileStatus(self._path(self._name(version))).getModificationTime()
+
+    def text(self, path: str) -> str | None:
+        """A small text file of this file system; None where there is none."""
+        file = self._path(path)
+        if not self._files.exists(file):
+            return None
+        stream = self._files.open(file)
+        try:
+            return self._text.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def _name(self, version: int) -> str:
         return f"{self.path}/{version:012d}.json"

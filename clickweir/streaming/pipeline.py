@@ -14,8 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-
-from clickweir.operators.enrich import LOAD_TEST_MARKER, extended_documents
+from pyspark.sql.types import StringType, StructField, StructType
+
+from clickweir.operators.enrich import (
+    DOCUMENT,
+    KIND,
+    LOAD_TEST_MARKER,
+    REJECT,
+    extended_documents,
+    split_documents,
+)
 from clickweir.operators.features import cookie_features
 from clickweir.operators.parse import parse_events, rejects
 from clickweir.operators.windows import (
@@ -26,7 +34,7 @@ from clickweir.operators.windows import (
 from clickweir.session import prepare_streaming
 from clickweir.sources.envelope import ENVELOPE
 from clickweir.sources.kafka import DURABLE_WRITER
-from clickweir.streaming.keyed import read_keyed, start_keyed
+from clickweir.streaming.keyed import compact_keyed, expire_keyed, read_keyed, start_keyed
 
 # Payload fields the window job reads, topic names of the stages.
 WINDOW_COLUMNS = "eid int, uid int, _server_time bigint, _ua_is_test int"
@@ -60,6 +68,10 @@ class Stages:
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def split(self) -> str:
+        return f"{self.root}/split"
+
     @property
     def windows(self) -> str:
         return f"{self.root}/windows"
@@ -133,6 +145,54 @@ def start_rejects(
     )
 
 
+def start_split(
+    messages: DataFrame,
+    stages: Stages,
+    fallback_time: Column | None = None,
+    load_test_marker: str = LOAD_TEST_MARKER,
+    include_value: bool = False,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Stage 1 and the log of rejects in one pass: each payload is read and judged once.
+
+    One sink with a folder for either kind, so that a micro-batch's documents and rejects
+    are there together or not at all. ``read_split`` and ``stream_split`` read a kind.
+    """
+    if fallback_time is None:
+        fallback_time = F.unix_millis("timestamp")
+    return (
+        split_documents(messages, fallback_time, load_test_marker, include_value)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy(KIND)
+        .option("path", stages.split)
+        .option("checkpointLocation", stages.checkpoint("split"))
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_split(spark: SparkSession, stages: Stages, kind: str) -> DataFrame:
+    """The documents or the rejects that ``start_split`` has stored."""
+    return _kind_of(spark.read, stages, kind)
+
+
+def stream_split(spark: SparkSession, stages: Stages, kind: str = DOCUMENT) -> DataFrame:
+    """The same as a stream; documents are messages for the next stage."""
+    return _kind_of(spark.readStream, stages, kind)
+
+
+def _kind_of(reader, stages: Stages, kind: str) -> DataFrame:
+    if kind not in (DOCUMENT, REJECT):
+        raise ValueError(f"unknown kind {kind!r}")
+    schema = StructType(
+        [*ENVELOPE, StructField("reason", StringType()), StructField(KIND, StringType())]
+    )
+    rows = reader.schema(schema).parquet(stages.split).where(F.col(KIND) == kind)
+    columns = ENVELOPE.fieldNames() if kind == DOCUMENT else ["partition", "offset", "reason", "value"]
+    return rows.select(*columns)
+
+
 def stream_documents(spark: SparkSession, stages: Stages) -> DataFrame:
     return spark.readStream.schema(ENVELOPE).parquet(stages.documents)
 
@@ -154,14 +214,37 @@ def start_final_windows(
 
 
 def start_window_changes(
-    documents: DataFrame, stages: Stages, trigger: dict | None = None
+    documents: DataFrame,
+    stages: Stages,
+    trigger: dict | None = None,
+    slice_ms: int | None = None,
+    final: bool = False,
 ) -> StreamingQuery:
-    """Stage 2, change form: a window is written again whenever it changes."""
+    """Stage 2, change form: a window is written again whenever it changes.
+
+    ``final``: only once, when it is closed. With ``slice_ms`` windows are laid out by the
+    slice that their start is in, and ``expire_windows`` drops old slices.
+    """
     return start_keyed(
-        windows_of(documents), stages.windows, stages.checkpoint("windows"), trigger
+        windows_of(documents),
+        stages.windows,
+        stages.checkpoint("windows"),
+        trigger,
+        "append" if final else "update",
+        slices=("agg_time", slice_ms) if slice_ms else None,
     )
 
 
+def expire_windows(spark: SparkSession, stages: Stages, retention_ms: int) -> int | None:
+    """Drop the slices of windows that ended so long before the stream's watermark."""
+    return expire_keyed(spark, stages.windows, retention_ms)
+
+
+def compact_windows(spark: SparkSession, stages: Stages) -> int:
+    """Merge segments of changed windows, beside the running stage."""
+    return compact_keyed(spark, stages.windows, WINDOW_SCHEMA, WINDOW_KEYS)
+
+
 def read_final_windows(spark: SparkSession, stages: Stages) -> DataFrame:
     return spark.read.schema(WINDOW_SCHEMA).parquet(stages.windows)
 

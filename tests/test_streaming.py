@@ -1,13 +1,11 @@
 """Streams over files that arrive one delivery at a time."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
 from checks import messages as m
 from checks import queries as q
-from clickweir.operators import windows
+from clickweir.operators import enrich, windows
 from clickweir.operators.features import cookie_features
 from clickweir.plans import batch
 from clickweir.session import fresh_folder
@@ -125,40 +123,6 @@ def test_update_equals_batch(spark, sf_dir):
     assert streamed.exceptAll(stored).count() == 0 == stored.exceptAll(streamed).count()
 
 
-def test_changes_are_idempotent_and_fold(spark):
-    folder = fresh_folder(spark, "keyed")
-    schema = "k string, n bigint"
-
-    def deliver(rows):
-        spark.createDataFrame(rows, "k string").coalesce(1).write.mode("append").parquet(
-            f"{folder}/in"
-        )
-        counts = spark.readStream.schema("k string").parquet(f"{folder}/in")
-        query = keyed.start_keyed(
-            counts.groupBy("k").agg(F.count("*").alias("n")),
-            f"{folder}/out", f"{folder}/checkpoint",
-        )
-        query.awaitTermination()
-
-    def table(path):
-        rows = keyed.read_keyed(spark, path, schema, ["k"]).collect()
-        return {r["k"]: r["n"] for r in rows}
-
-    deliver([("a",), ("b",)])
-    deliver([("a",), ("c",)])
-    assert table(f"{folder}/out") == {"a": 2, "b": 1, "c": 1}
-    # a batch that failed after writing is written again under its own number
-    again = spark.createDataFrame([("a", 2), ("c", 1)], schema)
-    again.write.mode("overwrite").parquet(f"{folder}/out/{keyed.BATCH}=1")
-    assert table(f"{folder}/out") == {"a": 2, "b": 1, "c": 1}
-    keyed.compact_keyed(spark, f"{folder}/out", f"{folder}/compact", schema, ["k"])
-    assert os.listdir(f"{folder}/compact") == [f"{keyed.BATCH}=-1"]
-    assert table(f"{folder}/compact") == {"a": 2, "b": 1, "c": 1}
-    keep = F.col("k") != "b"
-    keyed.compact_keyed(spark, f"{folder}/out", f"{folder}/kept", schema, ["k"], keep)
-    assert table(f"{folder}/kept") == {"a": 2, "c": 1}
-
-
 def test_features_do_not_change_when_windows_repeat(spark, sf_dir):
     rows = q.cookies_hopping_fast(spark, sf_dir)
     once, twice = cookie_features(rows), cookie_features(rows.unionByName(rows))
@@ -273,3 +237,47 @@ def test_a_finished_query_ends_the_run(spark, sf_dir):
     observed = Observed()
     assert run_bounded(query, max_duration=60, observed=observed) == "finished"
     assert observed.rows == m.events_table(spark, sf_dir).count() and observed.complete
+
+
+def test_split_reads_each_payload_once(spark, messages):
+    """Documents and rejects of one query, with one pass over the text for the fields."""
+    stages = pipeline.Stages(fresh_folder(spark, "split"))
+    texts = ['{"uid":1,"dt":5}', "[1]", None, '{"uid":2}{"uid":3}', "{}", '{"a":tru}', '{"uid":4} \n']
+    write_replay(messages(texts), f"{stages.root}/in")
+    for value in (True, True):  # the second run finds nothing new
+        pipeline.start_split(
+            stream_replay(spark, f"{stages.root}/in"), stages, F.lit(9), include_value=value
+        ).awaitTermination()
+    documents = pipeline.read_split(spark, stages, "document").orderBy("offset").collect()
+    assert [r["offset"] for r in documents] == [0, 4, 6]
+    assert documents[0]["value"].startswith('{"uid":1,"dt":5,"_server_time":5000,')
+    assert documents[1]["value"].startswith('{"_server_time":9,')
+    rejected = pipeline.read_split(spark, stages, "reject").orderBy("offset").collect()
+    assert [(r["offset"], r["reason"]) for r in rejected] == [
+        (1, "not_object"), (2, "missing"), (3, "trailing_text"), (5, "malformed")
+    ]
+    assert [r["value"] for r in rejected] == [texts[i] for i in (1, 2, 3, 5)]
+    plan = enrich.split_documents(messages(texts), F.lit(9))._jdf.queryExecution().toString()
+    executed = plan[plan.index("Physical Plan") :]
+    assert executed.count("json_tuple") == 1
+    seen = pipeline.stream_split(spark, stages)
+    assert seen.isStreaming and seen.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+    with pytest.raises(ValueError, match="unknown kind"):
+        pipeline.read_split(spark, stages, "other")
+
+
+def test_windows_expire_in_the_chain(spark, sf_dir):
+    stages = pipeline.Stages(fresh_folder(spark, "expiring"))
+    documents = q.clickstream_stream(spark, sf_dir)
+    pipeline.start_documents(documents, stages).awaitTermination()
+    pipeline.start_window_changes(
+        pipeline.stream_documents(spark, stages), stages, slice_ms=3_600_000, final=True
+    ).awaitTermination()
+    everything = pipeline.read_window_changes(spark, stages)
+    whole = everything.count()
+    floor = pipeline.expire_windows(spark, stages, 24 * 3_600_000)
+    kept = pipeline.read_window_changes(spark, stages)
+    assert 0 < kept.count() < whole and everything.count() == whole
+    assert kept.where(F.col("agg_time") < floor * 3_600_000).count() == 0
+    assert everything.where(F.col("agg_time") >= floor * 3_600_000).count() == kept.count()
+    assert pipeline.compact_windows(spark, stages) == 0
