@@ -675,6 +675,14 @@ where session_end <= (select max(server_time) from counted) - 60000""",
     ((select max(server_time) from fast) - 60000 - 360000) // 240000""",
         ),
     )
+    sql["stream_far_future"] = _with(
+        FAST,
+        hopping(
+            "fast",
+            """event_id % 53 <> 0 and ws + 600000 <=
+    (select max(server_time) from fast where event_id % 53 <> 0) - 60000""",
+        ),
+    )
     sql["stream_split"] = _with(
         CORE,
         f"""select part as partition, event_id as "offset",

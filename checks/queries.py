@@ -634,6 +634,22 @@ def stream_retention(spark, sf_dir):
     return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
 
 
+def stream_far_future(spark, sf_dir):
+    """Final windows though every 53rd event claims to be 1000 days ahead of its message."""
+    folder = fresh_folder(spark, "far-future")
+    rows = None
+    wrong = F.when(F.col("offset") % 53 == 0, 86_400_000 * 1000).otherwise(0)
+    for stream in _in_thirds(spark, sf_dir, folder):
+        events = stream.withColumn("timestamp", F.timestamp_millis("_server_time"))
+        events = events.withColumn("_server_time", F.col("_server_time") + wrong)
+        rows = windows.hopping_counters(events, latest_ms=windows.by_message_time(5_000))
+        query = keyed.start_keyed(
+            rows, f"{folder}/out", f"{folder}/checkpoint", output_mode="append"
+        )
+        _drain(query)
+    return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
+
+
 def stream_split(spark, sf_dir):
     """Documents and rejects of one pass over texts with odd ends."""
     stages = _stages(spark, "split")
@@ -802,6 +818,7 @@ def queries() -> dict[str, Query]:
         "stream_late_drop": stream_late_drop,
         "stream_compacted": stream_compacted,
         "stream_retention": stream_retention,
+        "stream_far_future": stream_far_future,
         "stream_split": stream_split,
         "stream_documents": stream_documents,
         "stream_rejects": stream_rejects,

@@ -38,12 +38,14 @@ def cookie_events(
 
 
 def with_event_time(
-    events: DataFrame, grace: str | None = GRACE, latest_ms: int | None = None
+    events: DataFrame, grace: str | None = GRACE, latest_ms: int | Column | None = None
 ) -> DataFrame:
     """Add ``_event_time`` from ``_server_time``; on a stream also the watermark.
 
     Times that no timestamp can hold, or beyond ``latest_ms``, are NULL: their rows fall
-    into no window. ``untimely_events`` lists them.
+    into no window and do not move the watermark. ``untimely_events`` lists them.
+    ``latest_ms`` may be a column: ``by_message_time`` bounds each event by the time at
+    which its own message arrived.
     """
     time = event_timestamp(F.col("_server_time"), latest_ms)
     timed = events.withColumn("_event_time", time)
@@ -52,7 +54,16 @@ def with_event_time(
     return timed
 
 
-def untimely_events(events: DataFrame, latest_ms: int | None = None) -> DataFrame:
+def by_message_time(ahead_ms: int, timestamp: str = "timestamp") -> Column:
+    """The latest time, in ms, that an event may claim: its message's, and so much more.
+
+    A clock that runs ahead then only loses its own events; it cannot close the windows of
+    all others. The bound is the message's own, so a replay gives the same result.
+    """
+    return F.unix_millis(timestamp) + F.lit(ahead_ms)
+
+
+def untimely_events(events: DataFrame, latest_ms: int | Column | None = None) -> DataFrame:
     """The events that have a time, but none that a window can be found for."""
     time = event_timestamp(F.col("_server_time"), latest_ms)
     return events.where(F.col("_server_time").isNotNull() & time.isNull())
@@ -92,6 +103,7 @@ def hopping_counters(
     size: str = WINDOW_SIZE,
     hop: str = WINDOW_HOP,
     grace: str | None = GRACE,
+    latest_ms: int | Column | None = None,
 ) -> DataFrame:
     """Counters per (rowkey, window); ``agg_time`` is the window start in epoch ms.
 
@@ -99,7 +111,7 @@ def hopping_counters(
     combined before it: a hot key reaches its reducer as one row per map task and
     window, however many events it has.
     """
-    timed = with_event_time(events, grace)
+    timed = with_event_time(events, grace, latest_ms)
     windowed = timed.groupBy(
         "rowkey", F.window("_event_time", size, hop).alias("window")
     ).agg(*_count_aggregates(counters))
@@ -112,6 +124,7 @@ def hopping_counters_by_pane(
     size: str = WINDOW_SIZE,
     hop: str = WINDOW_HOP,
     grace: str | None = GRACE,
+    latest_ms: int | Column | None = None,
 ) -> DataFrame:
     """The same rows, with events folded into hop-sized panes first.
 
@@ -119,7 +132,7 @@ def hopping_counters_by_pane(
     it. Worth a second shuffle when a cookie has several events per pane; ``size``
     must be a multiple of ``hop``.
     """
-    timed = with_event_time(events, grace)
+    timed = with_event_time(events, grace, latest_ms)
     panes = timed.groupBy(
         "rowkey", F.window("_event_time", hop).alias("pane")
     ).agg(*_count_aggregates(counters))
@@ -136,9 +149,10 @@ def tumbling_counters(
     counters: Mapping[str, int] = COUNTERS,
     size: str = WINDOW_SIZE,
     grace: str | None = GRACE,
+    latest_ms: int | Column | None = None,
 ) -> DataFrame:
     """Counters per (rowkey, adjoining window)."""
-    timed = with_event_time(events, grace)
+    timed = with_event_time(events, grace, latest_ms)
     windowed = timed.groupBy(
         "rowkey", F.window("_event_time", size).alias("window")
     ).agg(*_count_aggregates(counters))
@@ -150,6 +164,7 @@ def session_counters(
     counters: Mapping[str, int] = COUNTERS,
     gap_ms: int = 600_000,
     grace: str | None = GRACE,
+    latest_ms: int | Column | None = None,
 ) -> DataFrame:
     """Counters per (rowkey, session): a pause longer than ``gap_ms`` ends one.
 
@@ -159,7 +174,7 @@ def session_counters(
     panes, which cannot straddle a session break: the per-key work is then bounded
     by the covered time span over the gap, not by the number of events.
     """
-    timed = with_event_time(events, grace)
+    timed = with_event_time(events, grace, latest_ms)
     if events.isStreaming:
         session = F.session_window("_event_time", f"{gap_ms} milliseconds")
         windowed = timed.groupBy("rowkey", session.alias("window")).agg(

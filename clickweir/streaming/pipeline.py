@@ -27,6 +27,7 @@ from clickweir.operators.enrich import (
 from clickweir.operators.features import cookie_features
 from clickweir.operators.parse import parse_events, rejects
 from clickweir.operators.windows import (
+    by_message_time,
     cookie_events,
     hopping_counters,
     hopping_counters_by_pane,
@@ -96,11 +97,19 @@ def document_envelope(documents: DataFrame, topic: str = DOCUMENT_TOPIC) -> Data
     )
 
 
-def windows_of(documents: DataFrame, panes: bool = False) -> DataFrame:
-    """Cookie windows from document messages, streaming or not."""
-    events = parse_events(documents, WINDOW_COLUMNS, keep=())
+def windows_of(
+    documents: DataFrame, panes: bool = False, ahead_ms: int | None = None
+) -> DataFrame:
+    """Cookie windows from document messages, streaming or not.
+
+    ``ahead_ms``: events that claim to be so much later than their message count nowhere
+    and do not move the watermark.
+    """
+    keep = () if ahead_ms is None else ("timestamp",)
+    events = parse_events(documents, WINDOW_COLUMNS, keep=keep)
     make = hopping_counters_by_pane if panes else hopping_counters
-    return make(cookie_events(events))
+    latest = None if ahead_ms is None else by_message_time(ahead_ms)
+    return make(cookie_events(events), latest_ms=latest)
 
 
 def start_documents(
@@ -198,12 +207,16 @@ def stream_documents(spark: SparkSession, stages: Stages) -> DataFrame:
 
 
 def start_final_windows(
-    documents: DataFrame, stages: Stages, panes: bool = False, trigger: dict | None = None
+    documents: DataFrame,
+    stages: Stages,
+    panes: bool = False,
+    trigger: dict | None = None,
+    ahead_ms: int | None = None,
 ) -> StreamingQuery:
     """Stage 2, final form: a window appears once, when no event can reach it."""
     prepare_streaming(documents.sparkSession)
     return (
-        windows_of(documents, panes)
+        windows_of(documents, panes, ahead_ms)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", stages.windows)
@@ -219,6 +232,7 @@ def start_window_changes(
     trigger: dict | None = None,
     slice_ms: int | None = None,
     final: bool = False,
+    ahead_ms: int | None = None,
 ) -> StreamingQuery:
     """Stage 2, change form: a window is written again whenever it changes.
 
@@ -226,7 +240,7 @@ def start_window_changes(
     slice that their start is in, and ``expire_windows`` drops old slices.
     """
     return start_keyed(
-        windows_of(documents),
+        windows_of(documents, ahead_ms=ahead_ms),
         stages.windows,
         stages.checkpoint("windows"),
         trigger,

@@ -281,3 +281,19 @@ def test_windows_expire_in_the_chain(spark, sf_dir):
     assert kept.where(F.col("agg_time") < floor * 3_600_000).count() == 0
     assert everything.where(F.col("agg_time") >= floor * 3_600_000).count() == kept.count()
     assert pipeline.compact_windows(spark, stages) == 0
+
+
+def test_a_wrong_clock_closes_no_windows(spark):
+    """One event far ahead of its message: the others' windows stay open."""
+    later = 1_000 * 24 * 60 * MINUTE
+
+    def bounded(stream):
+        own = stream.withColumn("timestamp", F.timestamp_millis(F.col("_server_time") % later))
+        return windows.hopping_counters(own, latest_ms=windows.by_message_time(5_000))
+
+    runs, plain = Deliveries(spark, bounded), Deliveries(spark)
+    for one in (runs, plain):
+        one.deliver(("a", 1), ("bad", 1 + later / MINUTE), ("a", 20))
+        one.deliver(("a", 19.5), ("c", 60))
+    assert runs.late == 0 and plain.late == 10
+    assert ("bad", 0) not in runs.result() and runs.result()[("a", 12)] == 2
