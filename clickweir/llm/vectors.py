@@ -5,12 +5,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+# squared lengths that are exact enough, and whose products neither overflow nor vanish
+SMALLEST, LARGEST = 1e-150, 1e150
+
 
 def usable_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     """Which rows hold a usable vector, and those vectors as doubles.
 
     Null and empty vectors, zero ones, and those that hold a null or a non-finite component
-    are not usable; neither are vectors whose length overflows or vanishes in doubles.
+    are not usable. A vector whose length overflows or vanishes in doubles is multiplied by a
+    power of two, which changes no cosine.
     """
     usable = np.zeros(len(column), dtype=bool)
     vectors = []
@@ -24,9 +28,13 @@ def usable_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
         vector = parts.cast(pa.float64()).to_numpy(zero_copy_only=False)
         with np.errstate(over="ignore", invalid="ignore"):
             norm = np.dot(vector, vector)
-        if np.isfinite(norm) and norm > 0:
-            usable[i] = True
-            vectors.append(vector)
+        if not SMALLEST < norm < LARGEST:
+            largest = np.abs(vector).max()
+            if not np.isfinite(largest) or not largest:
+                continue
+            vector = np.ldexp(vector, -int(np.frexp(largest)[1]))
+        usable[i] = True
+        vectors.append(vector)
     return usable, vectors
 
 

@@ -308,3 +308,19 @@ def test_pipeline_runs_over_all_documents(spark, sf_dir, messy_documents, no_doc
         out.count()
         assert stage(spark, no_documents, sf_dir).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, messy_documents, sf_dir).count() == messy_documents.count()
+
+
+def test_vectors_of_extreme_length_are_compared(spark):
+    one, other = [1.0, 2.0, 3.0, 4.0], [4.0, -3.0, 2.0, -1.0]
+    rows = [
+        (1, [x * 1e200 for x in one], 1), (2, [x * 1e-200 for x in one], 1), (3, one, 1),
+        (4, [x * 1e-320 for x in one], 1), (5, [x * 1e307 for x in other], 1), (50, other, 1),
+        (100, [0.0] * 4, 1), (101, [float("nan")] + one[1:], 1), (102, [float("inf")] + one[1:], 1),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(spark, frame).collect()}
+    assert [found[i] for i in (1, 2, 3, 4)] == [(3, 1)] * 4
+    assert found[5] == (1, 5) and found[50] == (1, 5)
+    assert [found[i] for i in (100, 101, 102)] == [(0, i) for i in (100, 101, 102)]
+    near = [tuple(r) for r in ann.nearest(spark, frame, F.col("vec_id") == 50).collect()]
+    assert len(near) == 5 and near[0][2] == 5 and near[0][3] == pytest.approx(1.0)
