@@ -3,7 +3,8 @@
 Every text is cut into rolling word k-grams, hashed, and joined by Spark to the positions
 of the same k-grams in the templates. A match votes for its diagonal (position in the text
 minus position in the template); neighbouring diagonals, which a word put in or left out
-sets apart, are merged, and what a merged group covers is verified against the template.
+sets apart, are merged, and the words of the template that a merged group really covers
+are counted: only groups with enough of them are verified.
 
 Templates are few and short, whatever the corpus: their k-grams are broadcast, after a
 check of their number.
@@ -17,7 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +53,18 @@ NOTICES = {
     "all-rights-reserved": ["all rights reserved"],
 }
 MOST_GRAMS = 100_000  # of all templates together, so that they may be broadcast
+WORD_BITS = 60  # words of a template to one long value
+
+_PLACE = ["row", "doc_id", "n_words", "template", "template_words", "label", "base"]
+
+
+def _bits() -> Column:
+    """Which of a part's words are covered."""
+    return F.bit_or(F.expr(f"shiftleft(1L, word % {WORD_BITS})"))
+
+
+def _labels(label: Column) -> Column:
+    return F.array_join(F.array_sort(F.collect_set(label)), ",")
 
 
 @dataclass(frozen=True)
@@ -126,6 +139,9 @@ def scan(
     One row for every row of documents, repeated rows and null ids included. ``spans``
     lists the verified places as (label, first, last, coverage), in words from 0. Score is
     the best coverage of a verified place, 0 without one; a phrase covers itself whole.
+    A place's coverage is the share of its words, or of its template's if these are more,
+    that are words of the template standing there, each counted once however many
+    diagonals have it. Very long texts with very many places take time in proportion.
     Null and empty texts have no words, empty labels and null places. Other columns are
     not read. Words are runs of A-Z (lower-cased), a-z, 0-9 and bytes beyond ASCII.
     """
@@ -151,105 +167,52 @@ def scan(
         .select("row", "doc_id", "n_words", "e.size", F.posexplode("e.values").alias("pos", "value"))
         .join(templates, ["value", "size"])
     )
-    diagonals = votes.groupBy(
-        "row", "doc_id", "n_words", "template", "template_words", "label", "base",
-        (F.col("pos") - F.col("at")).alias("diagonal"), "size",
-    ).agg(
-        F.count(F.lit(1)).alias("hits"), F.min("at").alias("low"), F.max("at").alias("high")
+    # a hit stands for the words it covers; those of one diagonal are bits, a few long values
+    # for any number of hits, summed up before the shuffle
+    covered = votes.withColumn("diagonal", F.col("pos") - F.col("at")).withColumn(
+        "word", F.explode(F.sequence("at", F.col("at") + F.greatest("size", F.lit(1)) - 1))
     )
-    # one array a text of what it shares with templates: as long as the text at most
-    place = F.struct(
-        "template", "diagonal", "size", "template_words", "label", "base", "hits", "low", "high"
-    )
-    found = diagonals.groupBy("row", "doc_id", "n_words").agg(
-        F.sort_array(F.collect_list(place)).alias("places")
-    )
-    return found.select(
-        "doc_id", "n_words", F.inline(F.array(_verdict(settings)))
-    )
-
-
-def _verdict(settings: LicenseSettings):
-    """The result columns from the sorted diagonals of one text."""
-    places = F.col("places")
-    base = F.filter(places, lambda p: p["base"])
-    starts = F.transform(base, lambda p: p["diagonal"].cast("long"))
-
-    def covered(p):
-        # words between the first and last hit, less those no hit of the diagonal accounts for
-        return F.least(
-            p["high"] - p["low"] + p["size"], p["hits"].cast("int") + p["size"] - 1
-        )
-
-    empty = F.expr(
-        "cast(array() as array<struct<template:int,label:string,words:int,diagonal:int,"
-        "first:int,last:int,covered:int,reached:int>>)"
-    )
-
-    def merge(done, p):
-        """Join a diagonal to the last place if template and diagonal are neighbours."""
-        last = F.element_at(done, -1)
-        near = (
-            (F.size(done) > 0)
-            & F.coalesce(
-                (last["template"] == p["template"])
-                & (p["diagonal"] - last["diagonal"] <= settings.neighbours),
-                F.lit(False),
-            )
+    diagonals = covered.groupBy(
+        *_PLACE, "diagonal", (F.expr(f"word div {WORD_BITS}")).alias("part")
+    ).agg(_bits().alias("bits"), F.min("pos").alias("first"), F.max(F.expr("pos + size - 1")).alias("last"))
+    # from here on all of a text is in one task, sorted, never in one array
+    along = Window.partitionBy("row", "template").orderBy("diagonal")
+    step = F.col("diagonal") - F.lag("diagonal").over(along)
+    near = F.least(F.lit(settings.neighbours), F.col("template_words") - 1)
+    apart = (step > near) | (F.col("base") & (step > 0))  # every place of a phrase counts
+    places = (
+        diagonals.repartition("row")
+        .withColumn("begins", F.coalesce(apart, F.lit(True)).cast("long"))
+        .withColumn("place", F.sum("begins").over(along))
+        .groupBy(*_PLACE, "place", "part")
+        .agg(
+            F.bit_or("bits").alias("bits"), F.min("first").alias("first"), F.max("last").alias("last")
         )
-        low, high = p["diagonal"] + p["low"], p["diagonal"] + p["high"] + p["size"] - 1
-
-        def entry(first, final, words, reached):
-            return F.array(
-                F.struct(
-                    p["template"].alias("template"), p["label"].alias("label"),
-                    p["template_words"].alias("words"), p["diagonal"].alias("diagonal"),
-                    first.alias("first"), final.alias("last"),
-                    words.cast("int").alias("covered"), reached.alias("reached"),
-                )
-            )
-
-        joined = F.concat(
-            F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-            entry(
-                F.least(last["first"], low), F.greatest(last["last"], high),
-                F.least(last["covered"] + covered(p), p["template_words"]),
-                F.greatest(last["reached"], p["high"]),
-            ),
+        .groupBy(*_PLACE, "place")
+        .agg(
+            F.sum(F.bit_count("bits")).alias("covered"),
+            F.min("first").cast("long").alias("first"), F.max("last").cast("long").alias("last"),
         )
-        return F.when(near, joined).otherwise(
-            F.concat(done, entry(low, high, covered(p), p["high"]))
+        .withColumn(
+            "coverage",
+            F.col("covered") / F.greatest("template_words", F.col("last") - F.col("first") + 1),
         )
-
-    merged = F.aggregate(F.filter(places, lambda p: ~p["base"] & (p["template"] >= 0)), empty, merge)
-    own = F.transform(
-        merged,
-        lambda p: F.struct(
-            p["label"].alias("label"), p["first"].cast("long").alias("first"),
-            p["last"].cast("long").alias("last"),
-            (p["covered"] / F.greatest(p["words"], p["last"] - p["first"] + 1)).alias("coverage"),
-        ),
-    )
-    phrases = F.transform(
-        base,
-        lambda p: F.struct(
-            p["label"].alias("label"), p["diagonal"].cast("long").alias("first"),
-            (p["diagonal"] + p["template_words"] - 1).cast("long").alias("last"),
-            F.lit(1.0).alias("coverage"),
-        ),
     )
-    spans = F.array_sort(
-        F.concat(phrases, F.filter(own, lambda p: p["coverage"] >= settings.coverage)),
-    )
-    names = F.array_sort(F.array_distinct(F.transform(spans, lambda p: p["label"])))
-    base_names = F.array_sort(F.array_distinct(F.transform(base, lambda p: p["label"])))
-    best = F.array_max(F.transform(spans, lambda p: p["coverage"]))
-    return F.struct(
-        F.size(base).cast("long").alias("n_base"),
-        F.array_min(starts).alias("first_word"),
-        F.array_max(starts).alias("last_word"),
-        F.array_join(base_names, ",").alias("base_labels"),
-        F.array_join(names, ",").alias("labels"),
-        F.coalesce(best, F.lit(0.0)).alias("score"),
-        spans.alias("spans"),
+    known = F.col("template") >= 0
+    start = F.when(F.col("base"), F.col("first"))
+    verified = known & (F.col("base") | (F.col("coverage") >= settings.coverage))
+    span = F.when(verified, F.struct("label", "first", "last", "coverage"))
+    # collecting leaves nulls out: what the marker and places that fail give
+    return (
+        places.groupBy("row", "doc_id", "n_words")
+        .agg(
+            F.count(start).alias("n_base"),
+            F.min(start).alias("first_word"),
+            F.max(start).alias("last_word"),
+            _labels(F.when(F.col("base"), F.col("label"))).alias("base_labels"),
+            _labels(F.when(verified, F.col("label"))).alias("labels"),
+            F.coalesce(F.max(F.when(verified, F.col("coverage"))), F.lit(0.0)).alias("score"),
+            F.sort_array(F.collect_list(span)).alias("spans"),
+        )
+        .drop("row")
     )

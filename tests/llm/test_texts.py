@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 import struct
+import time
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from llm_helpers import LOWER, plain_words, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickweir.llm import bpe, licenses, minhash, token_counts, words
@@ -228,6 +230,45 @@ def test_license_places_match_brute_force(spark, messy_documents, no_documents):
     assert licenses.scan(spark, no_documents).count() == 0
 
 
+def test_license_places_of_overlapping_phrases(spark):
+    frame = spark.createDataFrame([(1, "ha ha ha ha")], "doc_id long, text string")
+    row = licenses.scan(spark, frame, phrases={"ha ha": "laugh"}, notices={}).first()
+    assert (row["n_base"], row["first_word"], row["last_word"]) == (3, 0, 2)
+    assert [(s["first"], s["last"]) for s in row["spans"]] == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_license_words_of_neighbouring_diagonals_count_once(spark):
+    # the first six words twice, one word apart in the text: six of twelve words of the notice
+    notice = " ".join(f"word{i}" for i in range(12))
+    half = " ".join(notice.split()[:6])
+    texts = [(1, f"{half} {half}"), (2, notice), (3, f"{half} {' '.join(notice.split()[7:])}")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    settings = licenses.LicenseSettings(neighbours=6, coverage=0.0)
+    rows = licenses.scan(spark, frame, settings, phrases={}, notices={"own": [notice]}).collect()
+    found = {r["doc_id"]: r["spans"] for r in rows}
+    assert [s["coverage"] for s in found[1]] == [6 / 12]
+    assert [(s["first"], s["last"], s["coverage"]) for s in found[2]] == [(0, 11, 1.0)]
+    assert [s["coverage"] for s in found[3]] == [11 / 12]
+
+
+def test_license_scan_of_very_long_text(spark):
+    many = 250_000  # 5 MB in one document
+    frame = spark.createDataFrame(
+        [(1, "all rights reserved " * many), (2, "all rights reserved")], "doc_id long, text string"
+    )
+    began = time.monotonic()
+    rows = {
+        r["doc_id"]: r
+        for r in licenses.scan(spark, frame)
+        .select("doc_id", "n_words", "labels", F.size("spans").alias("n"), F.element_at("spans", -1).alias("end"))
+        .collect()
+    }
+    assert time.monotonic() - began < 60
+    assert (rows[1]["n_words"], rows[1]["labels"], rows[1]["n"]) == (3 * many, "all-rights-reserved", many)
+    assert (rows[1]["end"]["first"], rows[1]["end"]["last"]) == (3 * many - 3, 3 * many - 1)
+    assert rows[2]["n"] == 1
+
+
 def test_license_notices_survive_small_changes(spark):
     notice = licenses.NOTICES["mit"][1].split()
     changed = [*notice[:9], "indeed", *notice[9:15], *notice[16:]]
