@@ -28,6 +28,7 @@ class ShardSettings:
     dimensions: Sequence[str] = ("doc_id", "source", "lang", "n_chars")
     overhead: int = 8  # bytes a document counts beside its text
     tolerance: float = 0.0005  # of a shard's bytes, left undecided at a cut
+    whole: float = 0.05  # of a shard's bytes: equal texts up to this are never divided
     rows_a_run: int = 2048  # documents that are numbered together
 
 
@@ -48,7 +49,9 @@ class Node:
 def _coordinates(spark: SparkSession, rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Every dimension scaled to 0 .. 2^31 - 1 over the corpus, then made unique enough.
 
-    The low 32 bits are the text's checksum, so that equal texts stay side by side.
+    Rows of one text have the smallest values among them in every dimension, and the low 32
+    bits are the text's checksum: no cut along a dimension falls between equal texts. A text
+    of very many rows is a skewed key of the join, which adaptive execution splits.
     """
     numbers = {}
     for i, kind in kinds.items():
@@ -61,6 +64,14 @@ def _coordinates(spark: SparkSession, rows: DataFrame, kinds: dict[str, str]) ->
     ends = rows.agg(
         *[F.min(i).alias(f"{i}_low") for i in kinds], *[F.max(i).alias(f"{i}_high") for i in kinds]
     ).first()
+    alike = (
+        rows.groupBy("text_crc32", "size")
+        .agg(F.count(F.lit(1)).alias("copies"), *[F.min(i).alias(f"{i}_least") for i in kinds])
+        .where("copies > 1")
+    )
+    rows = rows.join(alike, ["text_crc32", "size"], "left").withColumns(
+        {i: F.when(F.col("copies") > 1, F.col(f"{i}_least")).otherwise(F.col(i)) for i in kinds}
+    )
     out = []
     for i in kinds:
         low, high = ends[f"{i}_low"], ends[f"{i}_high"]
@@ -140,8 +151,8 @@ def _find_cuts(rows: DataFrame, root: Node, level: list[Node], axes, target: flo
                     break
                 total += row["bytes"]
             single = chosen["low"] == chosen["high"]
-            if single and state["within"] is None and chosen["bytes"] > slack:
-                # one text, or one text and place: its copies are cut by the finest value
+            if single and state["within"] is None and chosen["bytes"] > settings.whole * target:
+                # copies of one text, too many to stay together: cut by the finest value
                 open_nodes[name] = state | {
                     "within": chosen["low"], "column": "finest", "before": total,
                     "low": 0, "high": (1 << 63) - 1,
@@ -168,8 +179,10 @@ def shard(
 ) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
 
-    Sizes of the shards are near equal (law ``bytes``): a cut misses its share by less than
-    a document or the tolerance. Equal texts stay together unless a cut falls among them.
+    Sizes of the shards are near equal (law ``bytes``): a cut misses its share by at most
+    half of a document, of the tolerance, or of a group of equal texts. Equal texts are in
+    one shard, unless together they have more than the share ``whole`` of a shard's bytes:
+    such a group may be divided by a cut, as keeping it would set the sizes apart.
     Null text: no bytes, checksum 0. Null, NaN or infinite metadata lies at the lower end
     of its dimension; dimensions that the table lacks are left out. Null ids and repeated
     rows are documents like others. Slots number a shard's rows from 0: runs of hashed ids

@@ -188,6 +188,31 @@ def test_shards_are_even_and_numbered(spark, messy_documents, no_documents):
     assert sharding.shard(spark, no_documents).count() == 0
 
 
+def test_equal_texts_stay_together(spark):
+    # copies with ids, sources and languages far apart; one group of a third of all rows
+    pick = random.Random(4)
+    rows = [(i, f"text {pick.randint(0, 4000)} " + "y" * (i % 60)) for i in range(0, 60_000, 10)]
+    rows += [(pick.randint(0, 60_000), f"group {i % 40} " + "z" * 30) for i in range(400)]
+    rows += [(pick.randint(0, 60_000), "hot " * 9) for _ in range(3000)]
+    rows += [(None, None)] * 5
+    frame = spark.createDataFrame(
+        [(i, t, f"s{pick.randint(0, 5)}", pick.choice(["en", "de", None])) for i, t in rows],
+        "doc_id long, text string, source string, lang string",
+    )
+    out = sharding.shard(spark, frame).collect()
+    assert collections.Counter(r["doc_id"] for r in out) == collections.Counter(i for i, _ in rows)
+    size, groups = collections.Counter(), collections.defaultdict(list)
+    for r in out:
+        size[r["shard"]] += r["size"]
+        groups[r["text_crc32"], r["size"]].append(r)
+    share = sum(size.values()) / 24
+    settings = sharding.ShardSettings()
+    small = [g for g in groups.values() if sum(r["size"] for r in g) <= settings.whole * share]
+    assert len(groups) - len(small) == 1 and any(len(g) > 5 for g in small)
+    assert all(len({r["shard"] for r in g}) == 1 for g in small)
+    assert max(size.values()) - min(size.values()) <= 2 * settings.whole * share
+
+
 def toxic_documents(count=600):
     pick = random.Random(12)
     rows, labels = [], []
