@@ -149,6 +149,21 @@ def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(events_table(spark, sf_dir), messy_document(), row_key())
 
 
+def spelled_document() -> Column:
+    """Escapes, blanks, repeated and nested keys, and numbers that can be written in several ways."""
+    user = F.col("user_id").cast("string")
+    return F.concat(
+        F.lit('{"uid":'), user, F.lit('.50, "o" : {"uid":'), user,
+        F.lit('.5, "b":[1,  {"c":"]}"}]},\n"s":"a\\tb\\/'), F.col("event_type"),
+        F.lit('\\u0430\\"","p":"{\\"uid\\": 1.0}","params":'), F.col("props"),
+        F.lit(',"uid":'), user, F.lit('.500 ,"uid":null}'),
+    )
+
+
+def spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope(events_table(spark, sf_dir), spelled_document(), row_key())
+
+
 def odd_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with what producers leave behind the last brace, by event number."""
     return odd_ends_rows(events_table(spark, sf_dir))

@@ -564,6 +564,33 @@ where pair.text is not null""",
 from fx join hashes u on u.text = fx.uuid left join hashes a on a.text = fx.ua""",
         recursive=True,
     )
+    spelled = """
+spelled as (
+  select event_id, props, user_id || '.50' as first, user_id || '.500' as uid,
+    '{"uid":' || user_id || '.5, "b":[1,  {"c":"]}"}]}' as o,
+    'a\\tb\\/' || event_type || '\\u0430\\"' as s, '{\\"uid\\": 1.0}' as p
+  from events)"""
+    sql["export_columns_spelled"] = _with(
+        spelled,
+        """select concat_ws('|', event_id, uid, regexp_replace(o, '[ ]', '', 'g'), '{"uid": 1.0}',
+  regexp_replace(props, '[ ]', '', 'g')) as line from spelled""",
+    )
+    sql["export_message_spelling"] = _with(
+        spelled
+        + ","
+        + hash_sql("select props as text from spelled union all select s from spelled union all select 'null'"),
+        """select concat_ws('|', event_id, '{' || uid || ',' || n.hash || '}', o, '{' || s || ',' || t.hash || '}', p,
+  h.hash) as line from spelled join hashes h on h.text = props join hashes t on t.text = s
+  join hashes n on n.text = 'null'""",
+        recursive=True,
+    )
+    sql["export_eav_spelling"] = _with(
+        spelled,
+        """select concat_ws('|', event_id, pair.field, pair.text) as line
+from spelled, unnest([{'field': 'uid', 'text': first}, {'field': 'o', 'text': o},
+  {'field': 's', 'text': s}, {'field': 'p', 'text': p}, {'field': 'params', 'text': props},
+  {'field': 'uid', 'text': uid}, {'field': 'uid', 'text': 'null'}]) as u(pair)""",
+    )
     event_hashes = """select fx.event_id as "offset", u.hash as uuid_hash, a.hash as ua_hash, k.hash as key_hash,
   p.hash as props_hash, c.hash as cid_hash
 from fx left join hashes u on u.text = fx.uuid left join hashes a on a.text = fx.ua

@@ -317,9 +317,11 @@ def sql_stream(changes: bool) -> Query:
 # --- exports ------------------------------------------------------------------
 
 
-def export(spec: str, source: Query = m.clickstream, delimiter: str = "|") -> Query:
+def export(
+    spec: str, source: Query = m.clickstream, delimiter: str = "|", spelling: str = "decoded"
+) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return render.render_lines(source(spark, sf_dir), spec, delimiter)
+        return render.render_lines(source(spark, sf_dir), spec, delimiter, spelling=spelling)
 
     return query
 
@@ -791,6 +793,11 @@ def queries() -> dict[str, Query]:
         "export_eav": export_eav,
         "export_sparse_map": sparse("map"),
         "export_sparse_positions": sparse("positions"),
+        "export_columns_spelled": export("offset;columns:uid,o,p,params", m.spelled),
+        "export_message_spelling": export(
+            "offset;columns:uid,o,s,p,hash(params),hash(s),hash(uid)", m.spelled, spelling="message"
+        ),
+        "export_eav_spelling": export("offset;eav", m.spelled, spelling="message"),
         "export_hash": export("offset;columns:hash(uuid),uid,hash(ua)"),
         "export_text_files": export_text_files,
         "hash_compat": hash_query("compat"),

@@ -19,6 +19,7 @@ _NEGATIVE_ONE = -1
 
 # Fixed value: what JSON allows around a document. Producers often end messages with it.
 JSON_BLANKS = " \t\r\n"
+NESTING = 32  # of values whose own spelling is looked up; deeper ones come decoded
 
 
 def document_text(value: Column) -> Column:
@@ -117,13 +118,59 @@ def extend_document(
     return F.when(extendable(value) if valid is None else valid, joined)
 
 
+def _member_pattern() -> str:
+    """One ``"key": value`` of an object, as a pattern with the two as groups.
+
+    Values nest ``NESTING`` deep at most. Every repetition is possessive: a text is passed
+    over once, without backtracking, however long it is.
+    """
+    string = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    nested = ""
+    for _ in range(NESTING):
+        inside = "|".join(filter(None, [r'[^\[\]{}"]++', string, nested]))
+        nested = rf"[\[{{](?:{inside})*+[\]}}]"
+    return rf'(?s)({string})\s*+:\s*+({string}|{nested}|[^\s,\[\]{{}}"]++)'
+
+
+def written_entries(value: Column) -> Column:
+    """All top-level entries, ``key`` and ``text``, in the characters of the message.
+
+    Strings lose their quotes and keep their escapes, nested values keep their blanks,
+    numbers their spelling; a repeated key keeps all its entries, in order. A document that
+    nests deeper than ``NESTING`` gives decoded text (``document_map``), one that is
+    malformed gives NULL.
+    """
+    pattern = F.lit(_member_pattern())
+    keys = F.regexp_extract_all(value, pattern, F.lit(1))
+    texts = F.regexp_extract_all(value, pattern, F.lit(2))
+    quoted = r'(?s)^"(.*)"$'
+    written = F.zip_with(
+        keys,
+        texts,
+        lambda key, text: F.struct(
+            F.regexp_replace(key, quoted, "$1").alias("key"),
+            F.regexp_replace(text, quoted, "$1").alias("text"),
+        ),
+    )
+    decoded = F.transform(
+        F.map_entries(document_map(value)),
+        lambda entry: F.struct(entry["key"].alias("key"), entry["value"].alias("text")),
+    )
+    found = F.json_object_keys(value)
+    return F.when(
+        found.isNotNull(), F.when(F.size(found) == F.size(keys), written).otherwise(decoded)
+    )
+
+
 def number_spelling(value: Column, key: Column, text: Column) -> Column:
     """Undo the reformatting of fractional numbers by the JSON reader.
 
     The reader returns ``1.7E9`` for ``1700000000.0``. Text exports want the
     characters of the message, so look the number up in it: among the numbers
-    written after this key, take the last one with the same numeric value.
-    Anything that is not a fractional number passes through untouched.
+    written after this key, take the last one with the same numeric value. Only where
+    these are spelled in several ways (a nested value may have the same key) the top-level
+    entries are told apart. Anything that is not a fractional number passes through
+    untouched.
     """
     pattern = F.concat(
         F.lit('"\\Q'), key, F.lit('\\E"\\s*:\\s*(-?[0-9]+(?:\\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)')
@@ -134,7 +181,11 @@ def number_spelling(value: Column, key: Column, text: Column) -> Column:
         F.regexp_extract_all(value, pattern, F.lit(1)),
         lambda number: number.try_cast("double") == target,
     )
-    return F.when(
-        fractional,
-        F.coalesce(F.try_element_at(written, F.lit(_NEGATIVE_ONE)), text),
-    ).otherwise(text)
+    own = F.filter(
+        written_entries(value),
+        lambda entry: (entry["key"] == key) & (entry["text"].try_cast("double") == target),
+    )
+    spelled = F.when(
+        F.size(F.array_distinct(written)) > 1, F.try_element_at(own, F.lit(_NEGATIVE_ONE))["text"]
+    ).otherwise(F.try_element_at(written, F.lit(_NEGATIVE_ONE)))
+    return F.when(fractional, F.coalesce(spelled, text)).otherwise(text)

@@ -38,7 +38,7 @@ from clickweir.streaming.run import run_bounded
 
 # which of the target's options each format honours
 HONOURED = {
-    "csv": {"columns", "filename", "delimiter", "newline", "compression", "hash_method"},
+    "csv": {"columns", "filename", "delimiter", "newline", "compression", "hash_method", "spelling"},
     "orc": {"columns", "filename", "compression"},
     "table": {"table", "nulls", "batch_column"},
     "jdbc": {
@@ -61,6 +61,7 @@ class ExportJob:
     newline: str = "\n"
     compression: str = ""
     hash_method: str = "compat"
+    spelling: str = "decoded"
     # source: a stored copy, or a topic
     replay: str = ""
     brokers: str = ""
@@ -170,6 +171,7 @@ def export(messages: DataFrame, job: ExportJob) -> None:
             job.delimiter,
             job.newline,
             job.hash_method,
+            spelling=job.spelling,
             compression=job.compression or None,
         )
     elif job.format == "orc":
@@ -265,7 +267,7 @@ def _start(messages: DataFrame, job: ExportJob):
             batch_column=job.batch_column or None, trigger=trigger,
         )
     if job.format == "csv":
-        rows = render_lines(messages, job.columns, job.delimiter, job.hash_method)
+        rows = render_lines(messages, job.columns, job.delimiter, job.hash_method, job.spelling)
         writer = rows.writeStream.format("text").option("lineSep", job.newline)
         if job.compression:
             writer = writer.option("compression", job.compression)

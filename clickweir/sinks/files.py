@@ -34,9 +34,11 @@ def write_lines(
     mode: str = "append",
     compression: str | None = None,
     max_records_per_file: int | None = None,
+    spelling: str = "decoded",
 ) -> None:
     """Write an export as text files, one line per record."""
-    writer = render_lines(messages, spec, delimiter, hash_method).write.mode(mode)
+    lines = render_lines(messages, spec, delimiter, hash_method, spelling)
+    writer = lines.write.mode(mode)
     writer = writer.option("lineSep", newline)
     if compression:
         writer = writer.option("compression", compression)

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.functions.document import document_map, last_entry, number_spelling
+from clickweir.functions.document import (
+    document_map,
+    last_entry,
+    number_spelling,
+    written_entries,
+)
 from clickweir.functions.hashing import text_hash
 from clickweir.functions.text import null_text
 from clickweir.operators.parse import extract_fields
@@ -13,6 +18,7 @@ from clickweir.sinks.export_spec import ExportField, ExportSpec
 
 DELIMITER = "|"
 GROUP_DELIMITER = ","
+SPELLINGS = ("decoded", "message")
 
 
 def header_columns(headers) -> list[Column]:
@@ -46,9 +52,13 @@ def render_lines(
     spec: ExportSpec | str,
     delimiter: str = DELIMITER,
     hash_method: str = "compat",
+    spelling: str = "decoded",
 ) -> DataFrame:
     """One text column ``line`` for the modes json, eav and columns.
 
+    ``spelling``: strings ``decoded``, or everything in the characters of the ``message``
+    (escapes and the blanks of nested values as they are, also under hash()).
+
     Nothing is quoted; control characters of a value keep their JSON spelling, so every
     record is one line (json writes the text as it is). NULL is the empty cell. A message whose payload is
     no document gives the text itself (json), no line (eav) or empty cells (columns).
@@ -59,14 +69,14 @@ def render_lines(
         line = _joined([*headers, F.col("value")], delimiter)
         return messages.select(line.alias("line"))
     if own.mode == "eav":
-        rows = entity_rows(messages, own.headers)
+        rows = entity_rows(messages, own.headers, spelling)
         cells = [
             *[F.col(name) for name in own.headers], one_line(F.col("field")), one_line(F.col("text"))
         ]
         return rows.select(_joined(cells, delimiter).alias("line"))
     if own.mode != "columns":
         raise ValueError(f"mode {own.mode!r} has no text form; use sparse_groups")
-    values = field_values(messages, own, hash_method)
+    values = field_values(messages, own, hash_method, spelling)
     cells: list[Column] = [F.col(f"_head_{n}") for n in range(len(headers))]
     position = 0
     for members in own.groups.values():
@@ -80,10 +90,19 @@ def render_lines(
     return values.select(_joined(cells, delimiter).alias("line"))
 
 
+def _check_spelling(spelling: str) -> None:
+    if spelling not in SPELLINGS:
+        raise ValueError(f"unknown spelling {spelling!r}; expected one of {SPELLINGS}")
+
+
 def field_values(
-    messages: DataFrame, spec: ExportSpec, hash_method: str = "compat"
+    messages: DataFrame,
+    spec: ExportSpec,
+    hash_method: str = "compat",
+    spelling: str = "decoded",
 ) -> DataFrame:
     """Header cells ``_head_n`` and value cells ``_cell_n``, in output order."""
+    _check_spelling(spelling)
     ordered = [item for members in spec.groups.values() for item in members]
     heads = [
         column.alias(f"_head_{n}")
@@ -92,6 +111,17 @@ def field_values(
     held = [f"_head_{n}" for n in range(len(heads))]
     value = F.col("_value")
     messages = messages.select(*heads, F.col("value").alias("_value"))
+    if spelling == "message":
+        document = messages.select("*", written_entries(value).alias("_entries"))
+        base = document.select(
+            *held,
+            *[_written_text(F.col("_entries"), i).alias(f"_raw_{n}") for n, i in enumerate(ordered)],
+        )
+        cells = [
+            text_hash(raw, hash_method).cast("string") if item.hashed else raw
+            for item, raw in ((i, F.col(f"_raw_{n}")) for n, i in enumerate(ordered))
+        ]
+        return base.select(*held, *[cell.alias(f"_cell_{n}") for n, cell in enumerate(cells)])
     if any(item.hashed for item in ordered):
         # hash() also covers explicit nulls, so presence of the key must be known
         document = messages.select("*", document_map(value).alias("_map"))
@@ -123,13 +153,23 @@ def _map_text(document: Column, item: ExportField) -> Column:
     )
 
 
+def _written_text(entries: Column, item: ExportField) -> Column:
+    """The last entry of a field under hash(), the last that is not null otherwise."""
+    own = F.filter(
+        entries,
+        lambda entry: (entry["key"] == item.key)
+        & (F.lit(item.hashed) | null_text(entry["text"]).isNotNull()),
+    )
+    return F.try_element_at(own, F.lit(-1))["text"]
+
+
 def _cell(item: ExportField, value: Column, raw: Column, hash_method: str) -> Column:
     text = raw if item.hashed else null_text(raw)
     spelled = number_spelling(value, F.lit(item.key), text)
     return text_hash(spelled, hash_method).cast("string") if item.hashed else spelled
 
 
-def entity_rows(messages: DataFrame, headers=()) -> DataFrame:
+def entity_rows(messages: DataFrame, headers=(), spelling: str = "decoded") -> DataFrame:
     """One row per top-level key: header columns, ``field`` and raw ``text``.
 
     No null rule: a null value is the text ``null``, and a repeated key gives one
@@ -138,6 +178,11 @@ def entity_rows(messages: DataFrame, headers=()) -> DataFrame:
     heads = [
         column.alias(name) for name, column in zip(headers, header_columns(headers))
     ]
+    _check_spelling(spelling)
+    if spelling == "message":
+        return messages.select(*heads, F.inline(written_entries(F.col("value")))).toDF(
+            *headers, "field", "text"
+        )
     entries = messages.select(
         *heads,
         F.col("value").alias("_value"),
@@ -154,6 +199,7 @@ def sparse_groups(
     spec: ExportSpec | str,
     layout: str = "map",
     hash_method: str = "compat",
+    spelling: str = "decoded",
 ) -> DataFrame:
     """Only the present fields, one column per value group.
 
@@ -163,7 +209,7 @@ def sparse_groups(
     own = ExportSpec.parse(spec) if isinstance(spec, str) else spec
     if layout not in ("map", "positions"):
         raise ValueError(f"unknown layout {layout!r}; expected map or positions")
-    cells = field_values(messages, own, hash_method)
+    cells = field_values(messages, own, hash_method, spelling)
     columns, position = [], 0
     for group, members in own.groups.items():
         texts = [F.col(f"_cell_{position + n}") for n in range(len(members))]

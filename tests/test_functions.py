@@ -8,6 +8,7 @@ from clickweir.functions.coerce import coerce, stored_type
 from clickweir.functions.document import (
     extend_document,
     number_spelling,
+    written_entries,
     reject_reason,
     spelled_key,
 )
@@ -282,7 +283,8 @@ def test_spelled_key(spark):
 def test_number_spelling(spark):
     texts = [
         '{"n":1704067207.100000}', '{"n": 1.50e3,"o":{"n":2.0}}', '{"n":"1.0"}',
-        '{"n":12345678901234567890}', '{"o":{"n":7.10},"n":3.0}',
+        '{"n":12345678901234567890}', '{"o":{"n":7.10},"n":3.0}', '{"n":1.0,"o":{"n":1.00}}',
+        '{"o":[{"n":1.00}],"n":1.000}',
     ]
     rows = spark.createDataFrame([(t,) for t in texts], "x string").select(
         "x", F.json_tuple("x", "n").alias("n")
@@ -290,4 +292,27 @@ def test_number_spelling(spark):
     column = number_spelling(F.col("x"), F.lit("n"), F.col("n"))
     assert [r[0] for r in rows.select(column).collect()] == [
         "1704067207.100000", "1.50e3", "1.0", "12345678901234567890", "3.0",
+        "1.0", "1.000",
     ]
+
+
+def test_written_entries(spark):
+    deep = "[" * 40 + "1.50" + "]" * 40
+    texts = {
+        '{"a":1.50,"a":"x\\"y\\u0041", "b" : [ 1, {"a":"}"} ] ,"c":null}': [
+            ("a", "1.50"), ("a", 'x\\"y\\u0041'), ("b", '[ 1, {"a":"}"} ]'), ("c", "null")
+        ],
+        "{}": [],
+        '{"a":"","":"{\\"b\\": 1}"}': [("a", ""), ("", '{\\"b\\": 1}')],
+        '{"a":': None,
+        "[1]": None,
+        '{"a":%s,"b":2}' % deep: [("a", deep.replace("1.50", "1.5")), ("b", "2")],
+        '{"a":"%s","b":[%s1]}' % ("\\n" * 50_000, "1, " * 50_000): [
+            ("a", "\\n" * 50_000), ("b", "[%s1]" % ("1, " * 50_000))
+        ],
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    found = {r[0]: r[1] for r in rows.select("x", written_entries(F.col("x"))).collect()}
+    for text, expected in texts.items():
+        entries = found[text]
+        assert (entries if entries is None else [tuple(e) for e in entries]) == expected
