@@ -236,10 +236,24 @@ def test_exporter_command_line(spark, messages):
         run_export(spark, ExportJob(replay=source, format="xml"))
 
 
+def test_exporter_keeps_the_spelling_of_messages(spark, messages):
+    source, out = fresh_folder(spark, "replay"), fresh_folder(spark, "exported")
+    write_replay(messages(['{"s":"a\\tb\\/", "o":{"n": 1.50}, "n":1.500}', "{broken"]), source)
+    job = parse_arguments(
+        ["--replay", source, "--task", "0:0:2", "--columns", "columns:s,o,n", "--filename", out,
+         "--spelling", "message"]
+    )
+    assert run_export(spark, job) == "finished"
+    assert sorted(lines(spark.read.text(out))) == ['a\\tb\\/|{"n": 1.50}|1.500', "||"]
+    with pytest.raises(ValueError):
+        render.render_lines(messages(DOCUMENTS), "columns:s", spelling="other")
+
+
 @pytest.mark.parametrize(
     "job",
     [
         ExportJob(replay="x"),
+        ExportJob(replay="x", task="*:-2:1", format="orc", spelling="message"),
         ExportJob(replay="x", task="*:-2:1", format="table", table="t", batch_size=10),
         ExportJob(replay="x", task="*:-2:1", format="table", table="t", thread_count=2),
         ExportJob(replay="x", task="*:-2:1", format="orc", delimiter=";"),
