@@ -6,8 +6,11 @@ inner product of a rotated second vector with the code by that factor estimates
 without bias, and the factor bounds the error. Only pairs whose bound reaches the
 threshold are computed exactly.
 
-Vectors meet in buckets of code bits from several rotations. Pairs are estimated and
-decided inside tasks, which return sums and fewer links than vectors, never the pairs.
+Codes and factors are stored once, with the rotated vector in whole steps of one byte for the
+other side of an estimate. Vectors meet in buckets of code bits from several rotations, and
+only these short forms are sent there: a first pass keeps the members that may have a
+partner, the second one fetches the vectors of those alone and decides. Pairs never leave a
+task, which returns members, sums and fewer links than vectors.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ BLOCK = 1024  # members of a bucket that meet as one side
 SMALL = 64  # buckets up to this size share tasks
 ROWS_A_TASK = 4096
 PAIRS_AT_ONCE = 1 << 18
+MET = ["key", "same", "block", "lo", "hi", "task"]  # a member in a bucket, or in two blocks of it
 
 
 @dataclass(frozen=True)
@@ -63,27 +67,52 @@ def rotation(size: int, number: int, seed: int) -> np.ndarray:
     return _rotations[key]
 
 
-def encode(vectors: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rotated unit vectors, their codes (+1 or -1) and correction factors."""
+@dataclass(frozen=True)
+class Codes:
+    """Short forms of vectors with equally many components, row by row.
+
+    ``signs`` are the packed signs of the rotated unit vector, ``factors`` its inner product
+    with them, ``steps`` its coordinates as multiples of ``scales``, rounded to whole ones.
+    """
+
+    signs: np.ndarray
+    factors: np.ndarray
+    steps: np.ndarray
+    scales: np.ndarray
+
+    def __getitem__(self, rows) -> Codes:
+        return Codes(self.signs[rows], self.factors[rows], self.steps[rows], self.scales[rows])
+
+
+def encode(vectors: np.ndarray, seed: int) -> Codes:
     unit = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
     rotated = unit @ rotation(vectors.shape[1], 0, seed)
-    codes = np.where(rotated >= 0, 1.0, -1.0)
-    return rotated, codes, np.abs(rotated).sum(axis=1) / math.sqrt(vectors.shape[1])
+    scales = np.abs(rotated).max(axis=1) / 127
+    return Codes(
+        np.packbits(rotated >= 0, axis=1),
+        np.abs(rotated).sum(axis=1) / math.sqrt(vectors.shape[1]),
+        np.rint(rotated / scales[:, None]).astype(np.int8),
+        scales,
+    )
 
 
-def may_reach(
-    rotated: np.ndarray, codes: np.ndarray, factors: np.ndarray, settings: EmbedSettings
-) -> np.ndarray:
+def may_reach(left: Codes, right: Codes, settings: EmbedSettings) -> np.ndarray:
     """Whether a pair's cosine can be at the threshold, row by row, given its estimate.
 
-    For a pair at cosine t the estimate errs by a standard deviation of at most
-    sqrt(1 - t^2) * sqrt(1 - f^2) / (f * sqrt(D - 1)).
+    The left side's steps meet the right side's signs. For a pair at cosine t the estimate
+    errs by a standard deviation of at most sqrt(1 - t^2) * sqrt(1 - f^2) / (f * sqrt(D - 1)),
+    and by the rounding of the steps, at most half a step a coordinate.
     """
-    size = rotated.shape[1]
-    estimate = (rotated * codes).sum(axis=1) / math.sqrt(size) / factors
+    size = left.steps.shape[1]
+    signs = np.unpackbits(right.signs, axis=1, count=size).view(np.int8)
+    steps = left.steps.astype(np.int16)
+    # inner product with +1 and -1: twice the sum where the sign is +1, less the whole sum
+    inner = 2 * (steps * signs).sum(axis=1, dtype=np.int32) - steps.sum(axis=1, dtype=np.int32)
+    estimate = inner * left.scales / math.sqrt(size) / right.factors
+    rounding = left.scales * math.sqrt(size) / 2 / right.factors
     spread = math.sqrt(max(0.0, 1 - settings.threshold**2) / max(size - 1, 1))
-    bound = spread * np.sqrt(np.maximum(0.0, 1 - factors**2)) / factors
-    return estimate + settings.deviations * bound + 1e-9 >= settings.threshold
+    bound = spread * np.sqrt(np.maximum(0.0, 1 - right.factors**2)) / right.factors
+    return estimate + rounding + settings.deviations * bound + 1e-9 >= settings.threshold
 
 
 def _keys(vectors: np.ndarray, bits: int, buckets: int, seed: int) -> np.ndarray:
@@ -104,13 +133,17 @@ def _keys(vectors: np.ndarray, bits: int, buckets: int, seed: int) -> np.ndarray
     return out
 
 
-_CODED = "vec_id long, same binary, vector binary, keys array<long>"
+SHORT = ("signs", "factor", "steps", "scale")
+_CODED = (
+    "vec_id long, same binary, vector binary, keys array<long>, "
+    "signs binary, factor double, steps binary, scale double"
+)
 
 
 def _code(
     batches: Iterator[pa.RecordBatch], bits: int, buckets: int, settings: EmbedSettings
 ) -> Iterator[pa.RecordBatch]:
-    """The class of equal vectors with equal labels, and the keys of their buckets."""
+    """The class of equal vectors with equal labels, their codes and the keys of their buckets."""
     for whole in batches:
         for first in range(0, whole.num_rows, 2048):
             batch = whole.slice(first, 2048)
@@ -120,6 +153,8 @@ def _code(
             same: list[bytes | None] = [None] * batch.num_rows
             data: list[bytes | None] = [None] * batch.num_rows
             keys: list[list[int] | None] = [None] * batch.num_rows
+            signs, steps = ([None] * batch.num_rows for _ in range(2))
+            factors, scales = ([None] * batch.num_rows for _ in range(2))
             by_size: dict[int, list[int]] = {}
             for place, row in enumerate(rows.tolist()):
                 if labels[row] is not None:
@@ -127,21 +162,28 @@ def _code(
             for size, places in by_size.items():
                 table = np.stack([vectors[p] for p in places])
                 found = _keys(table, bits, buckets, settings.seed)
-                for place, own in zip(places, found):
+                codes = encode(table, settings.seed)
+                for at, (place, own) in enumerate(zip(places, found)):
                     row = rows[place]
                     name = f"{labels[row]}\x00{size}".encode()
                     salt = hashlib.blake2b(name, digest_size=8).digest()
                     data[row] = vectors[place].tobytes()
                     same[row] = hashlib.blake2b(salt + data[row], digest_size=16).digest()
                     keys[row] = mix(own + np.frombuffer(salt, dtype=np.uint64)).view(np.int64)
+                    signs[row], steps[row] = codes.signs[at].tobytes(), codes.steps[at].tobytes()
+                    factors[row], scales[row] = codes.factors[at], codes.scales[at]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(same, pa.binary()),
                     pa.array(data, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(signs, pa.binary()),
+                    pa.array(factors, pa.float64()),
+                    pa.array(steps, pa.binary()),
+                    pa.array(scales, pa.float64()),
                 ],
-                ["vec_id", "same", "vector", "keys"],
+                ["vec_id", "same", "vector", "keys", *SHORT],
             )
 
 
@@ -201,26 +243,54 @@ def _pairs(order: np.ndarray, keys: np.ndarray, block, low, high):
         yield np.concatenate(one), np.concatenate(two)
 
 
+def _candidates(table: pa.Table, settings: EmbedSettings):
+    """For each number of components: its rows, and index pairs into them that may reach."""
+    ids, key = table["rep"].to_numpy(), table["key"].to_numpy()
+    block, low, high = (table[c].to_numpy() for c in ("block", "lo", "hi"))
+    signs, steps = (table[c].to_pylist() for c in ("signs", "steps"))
+    factors, scales = table["factor"].to_numpy(), table["scale"].to_numpy()
+    sizes = np.array([len(x) for x in steps])
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        codes = Codes(
+            np.frombuffer(b"".join(signs[i] for i in rows), np.uint8).reshape(len(rows), -1),
+            factors[rows],
+            np.frombuffer(b"".join(steps[i] for i in rows), np.int8).reshape(len(rows), -1),
+            scales[rows],
+        )
+        order = np.lexsort((ids[rows], key[rows]))
+
+        def pairs(codes=codes, order=order, rows=rows):
+            for one, two in _pairs(order, key[rows][order], block[rows], low[rows], high[rows]):
+                maybe = may_reach(codes[one], codes[two], settings)
+                yield one[maybe], two[maybe]
+
+        yield rows, pairs()
+
+
+def _screen(table: pa.Table, settings: EmbedSettings) -> pa.Table:
+    """The members of the buckets at hand that may have a partner there."""
+    kept = np.zeros(table.num_rows, dtype=bool)
+    for rows, pairs in _candidates(table, settings):
+        for one, two in pairs:
+            kept[rows[one]] = kept[rows[two]] = True
+    return table.filter(pa.array(kept)).select(MET)
+
+
 def _decide(table: pa.Table, settings: EmbedSettings) -> pa.Table:
     """Rows with n links more for the class ``same``, or with a link between ids u and v."""
     ids = table["rep"].to_numpy()
     key = table["key"].to_numpy()
     weights = table["copies"].to_numpy()
-    block, low, high = (table[c].to_numpy() for c in ("block", "lo", "hi"))
     all_keys = np.array(table["keys"].to_pylist(), dtype=np.int64).reshape(len(ids), -1)
     raw = table["vector"].to_pylist()
     names = table["same"].to_pylist()
     out_same, out_u, out_v, out_n = [], [], [], []
-    for size in {len(x) for x in raw}:
-        rows = np.array([i for i, x in enumerate(raw) if len(x) == size])
+    for rows, pairs in _candidates(table, settings):
         vectors = np.frombuffer(b"".join(raw[i] for i in rows), dtype=np.float64)
         vectors = vectors.reshape(len(rows), -1)
-        rotated, codes, factors = encode(vectors, settings.seed)
         sums = _Sums(ids[rows], weights[rows])
-        order = np.lexsort((ids[rows], key[rows]))
-        for one, two in _pairs(order, key[rows][order], block[rows], low[rows], high[rows]):
-            maybe = may_reach(rotated[one], codes[two], factors[two], settings)
-            one, two = one[maybe], two[maybe]
+        for one, two in pairs:
             # a pair that shares several buckets is decided in the first of them
             shared = all_keys[rows[one]] == all_keys[rows[two]]
             here = all_keys[rows[one], shared.argmax(axis=1)] == key[rows[one]]
@@ -280,7 +350,7 @@ def near_vectors(
     members = (
         linkable.join(classes.withColumnRenamed("rep", "vec_id"), ["same", "vec_id"])
         .dropDuplicates(["same"])
-        .select("same", F.col("vec_id").alias("rep"), "copies", "vector", "keys")
+        .select("same", F.col("vec_id").alias("rep"), "copies", "vector", "keys", *SHORT)
     )
     members = stored(spark, members, "vector-members")
     keyed = members.select("same", F.explode("keys").alias("key"))
@@ -301,12 +371,23 @@ def near_vectors(
         )
     )
 
+    def screen(table: pa.Table) -> pa.Table:
+        return _screen(table, settings)
+
     def decide(table: pa.Table) -> pa.Table:
         return _decide(table, settings)
 
+    # vectors and key lists go to the buckets of members that may have a partner, no others
+    likely = stored(
+        spark,
+        spread.join(members.select("same", "rep", *SHORT), "same")
+        .groupBy("task", "lo", "hi")
+        .applyInArrow(screen, "key long, same binary, block int, lo int, hi int, task long"),
+        "vector-likely",
+    )
     found = stored(
         spark,
-        spread.join(members, "same").groupBy("task", "lo", "hi").applyInArrow(
+        likely.join(members, "same").groupBy("task", "lo", "hi").applyInArrow(
             decide, "same binary, u long, v long, n long"
         ),
         "vector-links",

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import plain_words
 from pyspark.sql import functions as F
@@ -77,15 +78,50 @@ def test_code_estimates_are_unbiased_and_bounded():
     settings = embed_dedup.EmbedSettings()
     one = pick.normal(size=(4000, 64))
     two = one + pick.normal(size=one.shape) * 0.15
-    rotated, _, _ = embed_dedup.encode(one, 3)
-    _, codes, factors = embed_dedup.encode(two, 3)
-    estimate = (rotated * codes).sum(axis=1) / 8 / factors
+    left, right = embed_dedup.encode(one, 3), embed_dedup.encode(two, 3)
+    signs = np.unpackbits(right.signs, axis=1) * 2.0 - 1
+    estimate = (left.steps * signs).sum(axis=1) * left.scales / 8 / right.factors
     true = np.array([cosine(a, b) for a, b in zip(one, two)])
     assert abs((estimate - true).mean()) < 0.002
-    reached = embed_dedup.may_reach(rotated, codes, factors, settings)
+    reached = embed_dedup.may_reach(left, right, settings)
     assert reached[true >= settings.threshold].all()
     other = embed_dedup.encode(pick.normal(size=one.shape), 3)
-    assert embed_dedup.may_reach(rotated, other[1], other[2], settings).mean() < 0.01
+    assert embed_dedup.may_reach(left, other, settings).mean() < 0.01
+
+
+@pytest.mark.parametrize("size", [1, 3, 13])
+def test_codes_of_any_length_reach_what_is_near(size):
+    pick = np.random.default_rng(2)
+    one = pick.normal(size=(2000, size))
+    two = one + pick.normal(size=one.shape) * 0.05
+    settings = embed_dedup.EmbedSettings()
+    near = np.array([cosine(a, b) for a, b in zip(one, two)]) >= settings.threshold
+    reached = embed_dedup.may_reach(embed_dedup.encode(one, 3), embed_dedup.encode(two, 3), settings)
+    assert near.sum() > 500 and reached[near].all()
+
+
+def test_codes_spare_most_exact_cosines():
+    """One bucket of 600 vectors, 100 of them in close pairs: codes leave few to compute."""
+    pick = np.random.default_rng(5)
+    vectors = pick.normal(size=(600, 64))
+    vectors[50:100] = vectors[:50] + pick.normal(size=(50, 64)) * 0.05
+    codes = embed_dedup.encode(vectors, 11)
+    count = len(vectors)
+    table = pa.table({
+        "key": pa.array([7] * count, pa.int64()),
+        "same": pa.array([i.to_bytes(4, "big") for i in range(count)]),
+        "block": pa.array([0] * count, pa.int32()), "lo": pa.array([0] * count, pa.int32()),
+        "hi": pa.array([0] * count, pa.int32()), "task": pa.array([0] * count, pa.int64()),
+        "rep": pa.array(range(count), pa.int64()),
+        "signs": [x.tobytes() for x in codes.signs], "factor": codes.factors,
+        "steps": [x.tobytes() for x in codes.steps], "scale": codes.scales,
+    })
+    settings = embed_dedup.EmbedSettings()
+    (_, found), = embed_dedup._candidates(table, settings)
+    pairs = sum(len(one) for one, _ in found)
+    assert 50 <= pairs < count * (count - 1) // 2 // 100
+    kept = embed_dedup._screen(table, settings)["same"].to_pylist()
+    assert {i.to_bytes(4, "big") for i in range(100)} <= set(kept) and len(kept) < 300
 
 
 def test_no_vectors(spark):
