@@ -718,6 +718,26 @@ where session_end <= (select max(server_time) from counted) - 60000""",
   case when event_id % 6 = 3 then 'trailing_text' end as reason from core""",
     )
     late = "event_id % 10 = 9"
+    sql["stream_late_rows"] = _with(
+        FAST,
+        f"""select rowkey, event_id as "offset", eid, server_time as _server_time,
+  ws as agg_time, cut as watermark_ms
+from (select *, server_time - server_time % 120000 - 120000 * k as ws from fast, range(5) hops(k)) e,
+  (select max(server_time) - 60000 as cut from fast where not ({late})) c
+where {late} and ws + 600000 <= cut""",
+    )
+    # panes that closed, the watermark that their first events make, and what ended by it
+    sql["stream_session_panes"] = _with(
+        FAST
+        + """,
+keyed as (select * replace (case when event_id % 3 = 0 then 'hot' else rowkey end as rowkey)
+          from fast),
+paned as (select * from keyed where (server_time // 20000 + 1) * 20000 <=
+          (select max(server_time) from keyed) - 60000),
+firsts as (select min(server_time) as first_ms from paned group by rowkey, server_time // 20000)""",
+        f"""select * from ({sessions('paned', 20000)}) s
+where session_end <= (select max(first_ms) - 20000 from firsts)""",
+    )
     sql["stream_late_drop"] = _with(
         FAST,
         hopping(
@@ -726,6 +746,7 @@ where session_end <= (select max(server_time) from counted) - 60000""",
     (select max(server_time) from fast where not ({late})) - 60000""",
         ),
     )
+    sql["stream_late_counters"] = sql["stream_late_drop"]
     sql["stream_features"] = _with(
         FAST, feature_rows(hopping("fast", fast_closed), "integer")
     )

@@ -19,7 +19,7 @@ from clickweir.sinks.manifests import ManifestLog
 from clickweir.sources.envelope import read_replay, stream_replay, write_replay
 from clickweir.sources.stream_spec import StreamSpec
 from clickweir.sources.task_spec import TaskSpec
-from clickweir.streaming import keyed, pipeline
+from clickweir.streaming import keyed, late, pipeline
 from clickweir.streaming.append import start_table_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -580,21 +580,60 @@ def stream_session(spark, sf_dir):
     return _file_sink(rows, spark, "session")
 
 
+def _late_last(spark, sf_dir, folder: str):
+    """Three deliveries: every tenth event comes last, after the watermark has passed."""
+    events = m.compressed_clock(spark, sf_dir)
+    late_ones = F.col("offset") % 10 == 9
+    half = F.col("_server_time") < m.EPOCH_MS + 600_000
+    for delivery in (~late_ones & half, ~late_ones & ~half, late_ones):
+        events.where(delivery).write.mode("append").parquet(f"{folder}/in")
+        yield spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+
+
 def stream_late_drop(spark, sf_dir):
     """Every tenth event is delivered last, after the watermark has passed."""
     folder = fresh_folder(spark, "late")
-    events = m.compressed_clock(spark, sf_dir)
-    late = F.col("offset") % 10 == 9
-    half = F.col("_server_time") < m.EPOCH_MS + 600_000
     rows = None
-    for delivery in (~late & half, ~late & ~half, late):
-        events.where(delivery).write.mode("append").parquet(f"{folder}/in")
-        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+    for stream in _late_last(spark, sf_dir, folder):
         rows = windows.hopping_counters(stream)
         _drain(keyed.start_keyed(rows, f"{folder}/out", f"{folder}/checkpoint"))
     return keyed.read_keyed(spark, f"{folder}/out", rows.schema, pipeline.WINDOW_KEYS)
 
 
+def _stamped(spark, sf_dir, label: str) -> DataFrame:
+    folder = fresh_folder(spark, label)
+    schema = None
+    for stream in _late_last(spark, sf_dir, folder):
+        schema = stream.schema
+        _drain(late.start_stamped(stream, f"{folder}/out", f"{folder}/checkpoint"))
+    return late.read_stamped(spark, f"{folder}/out", schema)
+
+
+def stream_late_rows(spark, sf_dir):
+    """What stream_late_drop drops: each event and window, and the watermark it missed."""
+    found = late.late_windows(_stamped(spark, sf_dir, "late-rows"))
+    return found.select("rowkey", "offset", "eid", "_server_time", "agg_time", late.CUT)
+
+
+def stream_late_counters(spark, sf_dir):
+    """What stream_late_drop counts, from the events that stream_late_rows are taken from."""
+    return late.timely_counters(_stamped(spark, sf_dir, "late-counters"))
+
+
+PANE_GAP_MS = 20_000
+
+
+def stream_session_panes(spark, sf_dir):
+    """Sessions from final panes, in three deliveries; every third event has one key."""
+    stages = _stages(spark, "session-panes")
+    for stream in _in_thirds(spark, sf_dir, stages.root):
+        hot = F.when(F.col("offset") % 3 == 0, "hot").otherwise(F.col("rowkey"))
+        events = stream.withColumn("rowkey", hot)
+        _drain(pipeline.start_session_panes(events, stages, PANE_GAP_MS))
+        _drain(pipeline.start_sessions(spark, stages, PANE_GAP_MS))
+    return pipeline.read_sessions(spark, stages)
+
+
 def _in_thirds(spark, sf_dir, folder: str):
     """The events on the compressed clock as three deliveries in time order, one at a time."""
     events = m.compressed_clock(spark, sf_dir)
@@ -823,6 +862,9 @@ def queries() -> dict[str, Query]:
         "stream_tumbling": stream_tumbling,
         "stream_session": stream_session,
         "stream_late_drop": stream_late_drop,
+        "stream_late_rows": stream_late_rows,
+        "stream_late_counters": stream_late_counters,
+        "stream_session_panes": stream_session_panes,
         "stream_compacted": stream_compacted,
         "stream_retention": stream_retention,
         "stream_far_future": stream_far_future,

@@ -97,6 +97,15 @@ def _window_rows(windowed: DataFrame, counters: Mapping[str, int]) -> DataFrame:
     )
 
 
+def counted_windows(
+    windowed: DataFrame, counters: Mapping[str, int] = COUNTERS
+) -> DataFrame:
+    """Counters of events that have a ``window`` each already."""
+    return _window_rows(
+        windowed.groupBy("rowkey", "window").agg(*_count_aggregates(counters)), counters
+    )
+
+
 def hopping_counters(
     events: DataFrame,
     counters: Mapping[str, int] = COUNTERS,
@@ -213,3 +222,56 @@ def session_counters(
         )
         .select("rowkey", "agg_time", "session_end", F.col("rowkey").alias("u"), FLAG, *counters)
     )
+
+
+def session_panes(
+    events: DataFrame,
+    counters: Mapping[str, int] = COUNTERS,
+    gap_ms: int = 600_000,
+    grace: str | None = GRACE,
+    latest_ms: int | Column | None = None,
+) -> DataFrame:
+    """First and last event and counters per (rowkey, pane of ``gap_ms``).
+
+    A pane cannot straddle a session break, so panes are sessions in parts. Fixed-width
+    sums and extremes: hash aggregation before and after the shuffle, and the state of a
+    stream holds one row for each key and pane, however many events there are.
+    """
+    timed = with_event_time(events, grace, latest_ms)
+    pane = F.window("_event_time", f"{gap_ms} milliseconds").alias("_pane")
+    return (
+        timed.groupBy("rowkey", pane)
+        .agg(
+            F.min("_server_time").alias("first_ms"),
+            F.max("_server_time").alias("last_ms"),
+            *_count_aggregates(counters),
+        )
+        .drop("_pane")
+    )
+
+
+def pane_sessions(
+    panes: DataFrame, counters: Mapping[str, int] = COUNTERS, gap_ms: int = 600_000
+) -> DataFrame:
+    """The rows of ``session_counters`` from panes, streaming or not.
+
+    A pane counts as one event that lasts from its first to its last. On a stream the
+    panes have to be final ones in the order in which they were closed: they are then out
+    of order by less than a pane, which is the delay of the watermark here, and no pane
+    comes too late.
+    """
+    timed = panes.withColumn("_first", F.timestamp_millis("first_ms"))
+    if panes.isStreaming:
+        timed = timed.withWatermark("_first", f"{gap_ms} milliseconds")
+    lasting = F.col("last_ms") - F.col("first_ms") + F.lit(gap_ms)
+    session = F.session_window("_first", F.concat(lasting.cast("string"), F.lit(" milliseconds")))
+    merged = timed.groupBy("rowkey", session.alias("window")).agg(*_merge_aggregates(counters))
+    ends = merged.withColumn("session_end", F.unix_millis("window.end"))
+    return ends.select(
+        "rowkey",
+        F.unix_millis("window.start").alias("agg_time"),
+        "session_end",
+        F.col("rowkey").alias("u"),
+        FLAG,
+        *counters,
+    )

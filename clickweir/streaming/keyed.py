@@ -61,7 +61,7 @@ def start_keyed(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         before = log.latest()
-        if _has(before, stream, batch_id):
+        if has_batch(before, stream, batch_id):
             # its rows are there; the stream's state has still to be brought up to them
             batch.write.format("noop").mode("overwrite").save()
             return
@@ -81,7 +81,7 @@ def start_keyed(
                 state["slices"] = list(slices)
             return state, [part], None
 
-        _publish(log, add)
+        publish(log, add)
 
     writer = (
         changes.writeStream.outputMode(output_mode)
@@ -94,12 +94,13 @@ def start_keyed(
     return writer.start()
 
 
-def _has(manifest: Manifest, stream: str, batch_id: int) -> bool:
+def has_batch(manifest: Manifest, stream: str, batch_id: int) -> bool:
+    """Whether that micro-batch of the stream has been published."""
     state = manifest.state
     return state.get("stream") == stream and state["batch"] >= batch_id
 
 
-def _publish(log: ManifestLog, make: Callable[[Manifest], tuple | None]) -> bool:
+def publish(log: ManifestLog, make: Callable[[Manifest], tuple | None]) -> bool:
     """Publish what ``make`` makes of the latest manifest, as often as others are faster."""
     for _ in range(TRIES):
         latest = log.latest()
@@ -215,7 +216,7 @@ def compact_keyed(
         kept = [part for part in parts if part[SEGMENT] not in names]
         return latest.state, [], [{SEGMENT: merged, "level": level + 1}, *kept]
 
-    return len(names) if _publish(log, swap) else 0
+    return len(names) if publish(log, swap) else 0
 
 
 def expire_keyed(spark: SparkSession, path: str, retention: int) -> int | None:
@@ -239,7 +240,7 @@ def expire_keyed(spark: SparkSession, path: str, retention: int) -> int | None:
             return None
         return {**latest.state, "floor": kept[0]}, [], None
 
-    _publish(log, raise_floor)
+    publish(log, raise_floor)
     return kept[0] if kept else None
 
 

@@ -31,11 +31,19 @@ from clickweir.operators.windows import (
     cookie_events,
     hopping_counters,
     hopping_counters_by_pane,
+    pane_sessions,
+    session_panes,
 )
 from clickweir.session import prepare_streaming
 from clickweir.sources.envelope import ENVELOPE
 from clickweir.sources.kafka import DURABLE_WRITER
 from clickweir.streaming.keyed import compact_keyed, expire_keyed, read_keyed, start_keyed
+from clickweir.streaming.late import (
+    late_windows,
+    read_stamped,
+    start_stamped,
+    timely_counters,
+)
 
 # Payload fields the window job reads, topic names of the stages.
 WINDOW_COLUMNS = "eid int, uid int, _server_time bigint, _ua_is_test int"
@@ -47,6 +55,19 @@ WINDOW_SCHEMA = (
     "cnt_item_view bigint, cnt_phone_view bigint, cnt_app_item bigint, "
     "cnt_app_call bigint"
 )
+COUNTED_SCHEMA = (
+    "rowkey string, eid int, uid int, _server_time bigint, _ua_is_test int, "
+    "partition int, offset bigint, timestamp timestamp"
+)
+PANE_SCHEMA = (
+    "rowkey string, first_ms bigint, last_ms bigint, is_logged_in int, cnt_pixel bigint, "
+    "cnt_item_view bigint, cnt_phone_view bigint, cnt_app_item bigint, cnt_app_call bigint"
+)
+SESSION_SCHEMA = (
+    "rowkey string, agg_time bigint, session_end bigint, u string, is_logged_in int, "
+    "cnt_pixel bigint, cnt_item_view bigint, cnt_phone_view bigint, cnt_app_item bigint, "
+    "cnt_app_call bigint"
+)
 FEATURE_SCHEMA = (
     "u string, agg_time bigint, has_pixel boolean, has_ctr_broken boolean, "
     "has_frontback_iv_broken boolean, has_frontback_ph_broken boolean"
@@ -77,6 +98,18 @@ class Stages:
     def windows(self) -> str:
         return f"{self.root}/windows"
 
+    @property
+    def stamped(self) -> str:
+        return f"{self.root}/stamped"
+
+    @property
+    def panes(self) -> str:
+        return f"{self.root}/panes"
+
+    @property
+    def sessions(self) -> str:
+        return f"{self.root}/sessions"
+
     @property
     def features(self) -> str:
         return f"{self.root}/features"
@@ -249,6 +282,93 @@ def start_window_changes(
     )
 
 
+def start_counted(
+    documents: DataFrame,
+    stages: Stages,
+    trigger: dict | None = None,
+    ahead_ms: int | None = None,
+) -> StreamingQuery:
+    """Stage 2 with late rows kept: the events that count, each with the watermark at which
+    it was read. ``read_timely_windows`` and ``read_late_windows`` part them."""
+    events = parse_events(documents, WINDOW_COLUMNS)
+    fields = [field.name for field in StructType.fromDDL(COUNTED_SCHEMA)]
+    return start_stamped(
+        cookie_events(events).select(*fields),
+        stages.stamped,
+        stages.checkpoint("stamped"),
+        latest_ms=None if ahead_ms is None else by_message_time(ahead_ms),
+        trigger=trigger,
+    )
+
+
+def read_timely_windows(
+    spark: SparkSession, stages: Stages, ahead_ms: int | None = None
+) -> DataFrame:
+    latest = None if ahead_ms is None else by_message_time(ahead_ms)
+    stamped = read_stamped(spark, stages.stamped, COUNTED_SCHEMA)
+    return timely_counters(stamped, latest_ms=latest)
+
+
+def read_late_windows(
+    spark: SparkSession, stages: Stages, ahead_ms: int | None = None
+) -> DataFrame:
+    """Position and times of every event that a closed window was left without."""
+    latest = None if ahead_ms is None else by_message_time(ahead_ms)
+    stamped = read_stamped(spark, stages.stamped, COUNTED_SCHEMA)
+    return late_windows(stamped, latest_ms=latest)
+
+
+def start_session_panes(
+    events: DataFrame,
+    stages: Stages,
+    gap_ms: int = 600_000,
+    trigger: dict | None = None,
+    latest_ms: int | Column | None = None,
+) -> StreamingQuery:
+    """Sessions for hot keys, first part: final panes of a gap's length.
+
+    Events are combined per key and pane before the shuffle, so neither the network nor
+    the state sees how many a key has. ``start_sessions`` joins the panes to sessions.
+    """
+    prepare_streaming(events.sparkSession)
+    return (
+        session_panes(events, gap_ms=gap_ms, latest_ms=latest_ms)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", stages.panes)
+        .option("checkpointLocation", stages.checkpoint("panes"))
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def start_sessions(
+    spark: SparkSession,
+    stages: Stages,
+    gap_ms: int = 600_000,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Second part: a session appears once, when no pane can extend it.
+
+    A session is then out about two gaps and the grace period after its last event.
+    """
+    prepare_streaming(spark)
+    panes = spark.readStream.schema(PANE_SCHEMA).parquet(stages.panes)
+    return (
+        pane_sessions(panes, gap_ms=gap_ms)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", stages.sessions)
+        .option("checkpointLocation", stages.checkpoint("sessions"))
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_sessions(spark: SparkSession, stages: Stages) -> DataFrame:
+    return spark.read.schema(SESSION_SCHEMA).parquet(stages.sessions)
+
+
 def expire_windows(spark: SparkSession, stages: Stages, retention_ms: int) -> int | None:
     """Drop the slices of windows that ended so long before the stream's watermark."""
     return expire_keyed(spark, stages.windows, retention_ms)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 import time
+from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 # Default bounds of a run, in seconds.
 POLL_TIMEOUT = 30.0
@@ -16,7 +18,7 @@ class Observed:
     """Sums over a query's progress, collected while it runs.
 
     Spark keeps the last 100 progress reports; ``update`` has to be called before more
-    have passed. ``complete`` tells whether it was.
+    have passed. ``complete`` tells whether it was. ``ProgressSums`` does not poll.
     """
 
     def __init__(self) -> None:
@@ -82,14 +84,53 @@ def run_bounded(
         query.stop()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late in the last 100 progress reports that Spark keeps.
+class ProgressSums(StreamingQueryListener):
+    """Input rows and late rows of queries, counted as their reports come in.
 
-    ``Observed`` counts over longer runs. Rows are counted after expansion into windows: a late event in five hopping
-    windows counts five times.
+    Nothing is polled, so no report is missed however long a query runs:
+
+        sums = ProgressSums()
+        spark.streams.addListener(sums)
+        ...
+        sums.wait(query); sums.late(query)
+
+    Late rows are those that stateful operators saw after partial aggregation and
+    expansion into windows: a late event in five hopping windows counts up to five times.
+    ``streaming.late`` lists the events themselves.
     """
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+
+    def __init__(self) -> None:
+        self._rows: Counter[str] = Counter()
+        self._late: Counter[str] = Counter()
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        progress = event.progress
+        late = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        with self._news:
+            self._rows[str(progress.runId)] += progress.numInputRows
+            self._late[str(progress.runId)] += late
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+    def rows(self, query: StreamingQuery) -> int:
+        return self._rows[str(query.runId)]
+
+    def late(self, query: StreamingQuery) -> int:
+        return self._late[str(query.runId)]
+
+    def wait(self, query: StreamingQuery, timeout: float = 60.0) -> bool:
+        """Whether the last report of a query that has ended has come in."""
+        run = str(query.runId)
+        with self._news:
+            return self._news.wait_for(lambda: run in self._ended, timeout)

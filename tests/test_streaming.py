@@ -11,9 +11,9 @@ from clickweir.plans import batch
 from clickweir.session import fresh_folder
 from clickweir.sinks.tables import append_to_table
 from clickweir.sources.envelope import stream_replay, write_replay
-from clickweir.streaming import keyed, pipeline
+from clickweir.streaming import keyed, late, pipeline
 from clickweir.streaming.append import start_table_append
-from clickweir.streaming.run import Observed, late_rows, run_bounded
+from clickweir.streaming.run import Observed, ProgressSums, run_bounded
 
 EVENT = "rowkey string, eid int, uid int, _server_time bigint, _ua_is_test bigint"
 MINUTE = 60_000
@@ -40,8 +40,9 @@ class Deliveries:
             .trigger(availableNow=True)
             .start()
         )
-        query.awaitTermination()
-        self.late += late_rows(query)
+        observed = Observed()
+        assert run_bounded(query, observed=observed) == "finished"
+        self.late += observed.late
 
     def result(self):
         found = self.spark.read.schema(self.rows.schema).parquet(f"{self.folder}/out")
@@ -297,3 +298,139 @@ def test_a_wrong_clock_closes_no_windows(spark):
         one.deliver(("a", 19.5), ("c", 60))
     assert runs.late == 0 and plain.late == 10
     assert ("bad", 0) not in runs.result() and runs.result()[("a", 12)] == 2
+
+
+def test_listener_counts_what_reports_say(spark):
+    sums = ProgressSums()
+    spark.streams.addListener(sums)
+    try:
+        folder = fresh_folder(spark, "listener")
+        for rows in ([("a", 1), ("a", 20)], [("a", 12), ("b", 21)]):
+            events = [(key, 301, 1, minute * MINUTE, 0) for key, minute in rows]
+            spark.createDataFrame(events, EVENT).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            stream = spark.readStream.schema(EVENT).parquet(f"{folder}/in")
+            query = keyed.start_keyed(
+                windows.hopping_counters(stream), f"{folder}/out", f"{folder}/checkpoint"
+            )
+            query.awaitTermination()
+            assert sums.wait(query)
+            assert sums.rows(query) == 2
+        assert sums.late(query) == 3
+    finally:
+        spark.streams.removeListener(sums)
+
+
+class Stamped:
+    """Events of several deliveries, stamped, and the same through the built-in operator."""
+
+    def __init__(self, spark):
+        self.spark, self.folder = spark, fresh_folder(spark, "stamped")
+
+    def deliver(self, *rows):
+        events = [(key, 301, 1, None if t is None else int(t * MINUTE), 0) for key, t in rows]
+        self.spark.createDataFrame(events, EVENT).coalesce(1).write.mode("append").parquet(
+            f"{self.folder}/in"
+        )
+        self.start().awaitTermination()
+        stream = self.spark.readStream.schema(EVENT).parquet(f"{self.folder}/in")
+        counted = windows.hopping_counters(stream)
+        keyed.start_keyed(counted, f"{self.folder}/out", f"{self.folder}/c2").awaitTermination()
+
+    def start(self):
+        stream = self.spark.readStream.schema(EVENT).parquet(f"{self.folder}/in")
+        return late.start_stamped(stream, f"{self.folder}/stamped", f"{self.folder}/c1")
+
+    def rows(self, version=None):
+        return late.read_stamped(self.spark, f"{self.folder}/stamped", EVENT, version)
+
+
+def test_late_rows_are_kept_and_leave_what_was_counted(spark):
+    runs = Stamped(spark)
+    runs.deliver(("a", 1), ("a", 20), ("a", None))
+    runs.deliver(("a", 12), ("b", 21))
+    runs.deliver(("a", 9.5), ("c", 60), ("d", 1))
+    listed = {
+        (r["rowkey"], r["_server_time"] / MINUTE, r["agg_time"] // MINUTE, r[late.CUT] // MINUTE)
+        for r in late.late_windows(runs.rows()).collect()
+    }
+    assert listed == {
+        *[("a", 12.0, w, 19) for w in (4, 6, 8)],
+        *[("a", 9.5, w, 20) for w in (0, 2, 4, 6, 8)],
+        *[("d", 1.0, w, 20) for w in (-8, -6, -4, -2, 0)],
+    }
+    ours = late.timely_counters(runs.rows())
+    counted = keyed.read_keyed(spark, f"{runs.folder}/out", ours.schema, pipeline.WINDOW_KEYS)
+    assert ours.count() > 10
+    assert ours.exceptAll(counted).count() == 0 == counted.exceptAll(ours).count()
+
+
+def test_stamped_batches_repeat_nothing_and_are_read_whole(spark):
+    runs = Stamped(spark)
+    assert runs.rows().count() == 0
+    runs.deliver(("a", 1))
+    runs.deliver(("a", 2), ("b", 3))
+    assert runs.rows().count() == 3 and runs.rows(version=0).count() == 1
+    # published, but the stream does not know: the batch is run again and changes nothing
+    log = keyed.manifests(spark, runs.folder + "/stamped")
+    for name in log.children(f"{runs.folder}/c1/commits"):
+        if not name.startswith(".") and name == "1":
+            log.remove(f"{runs.folder}/c1/commits/{name}")
+            log.remove(f"{runs.folder}/c1/commits/.{name}.crc")
+    runs.start().awaitTermination()
+    assert runs.rows().count() == 3
+    stream = spark.readStream.schema(EVENT).parquet(f"{runs.folder}/in")
+    other = late.start_stamped(stream, f"{runs.folder}/stamped", f"{runs.folder}/c3")
+    with pytest.raises(Exception, match="another stream"):
+        other.awaitTermination()
+    with pytest.raises(ValueError, match="watermark_ms"):
+        late.start_stamped(runs.rows(), "x", "y")
+
+
+def test_late_windows_of_the_chain(spark, sf_dir):
+    """Stage 2 with late rows kept: both parts together are all events in all windows."""
+    stages = pipeline.Stages(fresh_folder(spark, "chain-late"))
+    messages = m.clickstream(spark, sf_dir)
+    documents = pipeline.document_envelope(enrich.extended_documents(messages, F.lit(0)))
+    first = F.col("offset") % 3 == 0
+    for delivery in (~first, first):
+        documents.where(delivery).write.mode("append").parquet(stages.documents)
+        pipeline.start_counted(pipeline.stream_documents(spark, stages), stages).awaitTermination()
+    everything = pipeline.windows_of(documents)
+    timely = pipeline.read_timely_windows(spark, stages)
+    lost = pipeline.read_late_windows(spark, stages)
+    total = F.sum(sum(F.col(name) for name in windows.COUNTERS))
+    assert 0 < lost.count()
+    assert everything.agg(total).first()[0] == timely.agg(total).first()[0] + lost.count()
+
+
+def test_sessions_from_panes_agree_with_batch(spark):
+    """Pauses of just the gap, one key with most rows, panes that touch, deliveries in order."""
+    stages = pipeline.Stages(fresh_folder(spark, "pane-sessions"))
+    gap = 600_000
+    minutes = [("hot", t / 10) for t in range(400)]
+    minutes += [("a", t) for t in (1, 11, 21, 31.5, 31.6, 55, 70, 200)]
+    minutes += [("b", t) for t in (0, 9.99, 10, 20, 30.001, 100, 110, 120.001)]
+    events = [(key, 301, 1, int(round(t * MINUTE)), 0) for key, t in minutes] + [
+        ("end", 301, 1, 1000 * MINUTE, 0), ("end", 301, 1, 1011 * MINUTE, 0), ("none", 301, 1, None, 0)
+    ]
+    frame = spark.createDataFrame(events, EVENT)
+    parts = [
+        "_server_time < 1500000 or _server_time is null",
+        "_server_time between 1500000 and 4000000",
+        "_server_time > 4000000",
+    ]
+    for part in parts:
+        frame.where(part).coalesce(1).write.mode("append").parquet(f"{stages.root}/in")
+        stream = spark.readStream.schema(EVENT).parquet(f"{stages.root}/in")
+        pipeline.start_session_panes(stream, stages, gap).awaitTermination()
+        pipeline.start_sessions(spark, stages, gap).awaitTermination()
+    found = pipeline.read_sessions(spark, stages)
+    batch_rows = windows.session_counters(frame, gap_ms=gap)
+    expected = batch_rows.where("rowkey <> 'end'")
+    assert expected.count() == 10
+    assert found.exceptAll(expected).count() == 0 == expected.exceptAll(found).count()
+    # and the same panes without a stream
+    again = windows.pane_sessions(windows.session_panes(frame, gap_ms=gap), gap_ms=gap)
+    assert again.exceptAll(batch_rows).count() == 0 == batch_rows.exceptAll(again).count()
+    # the hot key's 400 events are one row for each pane
+    assert spark.read.parquet(stages.panes).where("rowkey = 'hot'").count() == 4
