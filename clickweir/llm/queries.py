@@ -137,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": sql.MINHASH_DEDUP,
+        "op2_embedding_dedup": sql.EMBEDDING_DEDUP,
         "op5_mixing": sql.MIXING,
         "op11_conversation_repair": sql.CONVERSATION_REPAIR,
         "op12_decontamination": sql.DECONTAMINATION,

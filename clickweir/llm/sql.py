@@ -300,3 +300,29 @@ from chosen{rounds} join centroids{rounds} on k = best.k
 
 
 CENTROID_CLUSTERING = _clustering()
+
+# Lengths of finite floats neither overflow nor vanish in doubles.
+EMBEDDING_DEDUP = """
+with recursive vectors as materialized (
+  select row_number() over () as r, vec_id, label,
+    case when vec_id is not null and label is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+      and len(list_filter(embedding, lambda e: e <> 0)) > 0
+      then list_transform(embedding, lambda e: e::double) end as x
+  from embeddings),
+usable as materialized (
+  select *, list_dot_product(x, x) as squared from vectors where x is not null),
+links as materialized (
+  select a.r, b.r as other, a.vec_id, b.vec_id as other_id
+  from usable a join usable b on a.label = b.label and len(a.x) = len(b.x) and a.r <> b.r
+  where list_dot_product(a.x, b.x) / sqrt(a.squared * b.squared) >= 0.98),
+reached as (
+  select vec_id, vec_id as root from vectors where vec_id is not null
+  union
+  select l.other_id, reached.root from reached join links l using (vec_id)),
+roots as (select vec_id, min(root) as root from reached group by vec_id),
+counts as (select r, count(*) as n from links group by r)
+select v.vec_id, coalesce(n, 0)::bigint as n_links, root::bigint as component_id,
+  coalesce(root = v.vec_id, false) as kept
+from vectors v left join roots using (vec_id) left join counts using (r)
+"""

@@ -5,10 +5,11 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import plain_words
+from llm_helpers import plain_words, table_of
 from pyspark.sql import functions as F
 
 from checks.compare import differences, duckdb_session
@@ -73,6 +74,18 @@ def test_vector_links_match_brute_force(spark, monkeypatch, small):
     assert sum(links.values()) > 50
 
 
+def test_vector_links_match_sql(spark, tmp_path, sf_dir):
+    """Planted links, odd vectors and repeated ids; then the given table."""
+    path = table_of(spark, tmp_path, "embeddings", vector_rows(), VECTORS)
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{path}/embeddings.parquet/*.parquet'")
+    frame = registered.op2_embedding_dedup(spark, path)
+    assert differences(con, frame, sql.EMBEDDING_DEDUP) == []
+    assert sum(row[1] > 0 for row in con.execute(sql.EMBEDDING_DEDUP).fetchall()) > 50
+    given = registered.op2_embedding_dedup(spark, sf_dir)
+    assert differences(duckdb_session(sf_dir), given, sql.EMBEDDING_DEDUP) == []
+
+
 def test_code_estimates_are_unbiased_and_bounded():
     pick = np.random.default_rng(1)
     settings = embed_dedup.EmbedSettings()
