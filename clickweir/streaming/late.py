@@ -122,7 +122,8 @@ def late_windows(
     """The events that came too late, one row for each closed window they belong to.
 
     All columns of the event, ``watermark_ms``, and ``agg_time``, the window's start. An
-    event that some of its windows were still open for counts in those. No shuffle.
+    event that some of its windows were still open for counts in those. Events without a
+    usable time are in no window and not listed. No shuffle.
     """
     late = _in_windows(stamped, size, hop, latest_ms).where(_late())
     return late.select(*stamped.columns, F.unix_millis("window.start").alias("agg_time"))
