@@ -103,7 +103,11 @@ def document() -> Column:
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message stream all queries start from."""
-    return envelope(events_table(spark, sf_dir), document(), row_key())
+    return clickstream_rows(events_table(spark, sf_dir))
+
+
+def clickstream_rows(events: DataFrame) -> DataFrame:
+    return envelope(events, document(), row_key())
 
 
 def compressed_clock(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,8 @@ from clickweir.streaming.append import start_table_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TASKS_PER_CORE = 3  # that stored messages are dealt out to
+
 
 def no_clock() -> Column:
     """Events without a time of their own get 0, so that results repeat."""
@@ -126,14 +128,32 @@ def _core_stream_spec() -> StreamSpec:
     )
 
 
-def _core_messages(spark, sf_dir):
+def _stored_messages(spark, sf_dir) -> DataFrame:
+    """The click stream, stored as it is in a topic.
+
+    The events are dealt out first: a table of few row groups would leave all that reads
+    its messages to as few tasks. Only stored texts are filtered without being made anew
+    for each use that a condition has for them.
+    """
+    folder = fresh_folder(spark, "messages")
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    events = m.events_table(spark, sf_dir).repartition(tasks)
+    m.clickstream_rows(events).write.parquet(folder)
+    return read_replay(spark, folder)
+
+
+def _store_documents(spark, sf_dir) -> str:
     """Extended documents, stored between the jobs as they are in a topic."""
     folder = fresh_folder(spark, "documents")
     documents = enrich.extended_documents(
-        m.clickstream(spark, sf_dir), no_clock(), skip_rejects=True
+        _stored_messages(spark, sf_dir), no_clock(), skip_rejects=True
     )
     pipeline.document_envelope(documents).write.parquet(folder)
-    return read_replay(spark, folder)
+    return folder
+
+
+def _core_messages(spark, sf_dir):
+    return read_replay(spark, _store_documents(spark, sf_dir))
 
 
 def declared_stream(spark, sf_dir):
@@ -296,11 +316,7 @@ def sql_stream(changes: bool) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = fresh_folder(spark, "sql-stream")
-        source = fresh_folder(spark, "documents")
-        documents = enrich.extended_documents(
-            m.clickstream(spark, sf_dir), no_clock(), skip_rejects=True
-        )
-        pipeline.document_envelope(documents).write.parquet(source)
+        source = _store_documents(spark, sf_dir)
         job = sql_job.start_sql(
             spark, {_core_stream_spec(): stream_replay(spark, source)}, SQL_JOB[:1],
             f"{folder}/out", f"{folder}/checkpoint", changes=changes,
