@@ -1,12 +1,12 @@
 """License scan by diagonal voting.
 
-Every text is cut into rolling word k-grams, hashed, and joined by Spark to the positions
-of the same k-grams in the templates. A match votes for its diagonal (position in the text
+Every text is cut into rolling word k-grams and hashed; those that any template has are
+joined by Spark to the positions of the same k-grams in the templates. A match votes for its diagonal (position in the text
 minus position in the template); neighbouring diagonals, which a word put in or left out
 sets apart, are merged, and the words of the template that a merged group really covers
 are counted: only groups with enough of them are verified.
 
-Templates are few and short, whatever the corpus: their k-grams are broadcast, after a
+Templates are few and short, whatever the corpus: their k-grams go to all tasks, after a
 check of their number.
 """
 
@@ -104,24 +104,50 @@ _TEMPLATE = T.StructType(
 )
 
 
-def _rolled(batches: Iterator[pa.RecordBatch], sizes: Sequence[int]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, n_words, size, values): a text's rolling hashes for each k-gram size."""
+_HITS = "doc_id long, n_words long, hits array<struct<size: int, pos: int, value: long>>"
+
+
+def _rolled(
+    batches: Iterator[pa.RecordBatch], templates: Mapping[int, np.ndarray]
+) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, n_words, hits): a text's rolling hashes that any template has, by size.
+
+    ``templates`` has the sorted hashes of each k-gram size. All others would meet nothing
+    in the join. The first hit of a text is its marker, of size 0.
+    """
     for batch in portions(batches):
         words, offsets = word_hashes(batch.column(1), NOT_ALPHANUMERIC)
         counts = np.diff(offsets)
-        out = []
-        for size in sizes:
+        texts = np.arange(len(counts))
+        row = np.repeat(texts, counts)
+        zeros = np.zeros(len(texts), dtype=np.int64)
+        rows, sizes, places, hashes = [texts], [zeros], [zeros], [zeros]
+        for size, known in templates.items():
             values = grams(words, size).view(np.int64)
-            # positions whose k-gram lies within one row
-            row = np.repeat(np.arange(len(counts)), counts)
-            at = np.arange(len(words))
-            inside = np.flatnonzero(at + size <= offsets[row + 1])
-            per_row = np.maximum(counts - size + 1, 0)
-            ends = np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)
-            out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values[inside])))
+            nearest = np.minimum(np.searchsorted(known, values), len(known) - 1)
+            at = np.flatnonzero(known[nearest] == values)
+            at = at[at + size <= offsets[row[at] + 1]]  # the k-gram lies within one row
+            rows.append(row[at])
+            sizes.append(np.full(len(at), size))
+            places.append(at - offsets[row[at]])
+            hashes.append(values[at])
+        row = np.concatenate(rows)
+        order = np.argsort(row, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))])
+        hits = pa.StructArray.from_arrays(
+            [
+                pa.array(np.concatenate(sizes)[order].astype(np.int32)),
+                pa.array(np.concatenate(places)[order].astype(np.int32)),
+                pa.array(np.concatenate(hashes)[order]),
+            ],
+            ["size", "pos", "value"],
+        )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts.astype(np.int64)), *out],
-            ["doc_id", "n_words", *[f"values{size}" for size in sizes]],
+            [
+                batch.column(0), pa.array(counts.astype(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), hits),
+            ],
+            ["doc_id", "n_words", "hits"],
         )
 
 
@@ -146,25 +172,20 @@ def scan(
     not read. Words are runs of A-Z (lower-cased), a-z, 0-9 and bytes beyond ASCII.
     """
     rows = _template_rows(phrases, notices, settings.gram)
-    sizes = sorted({row[1] for row in rows})
+    hashes = {
+        size: np.unique(np.array([row[0] for row in rows if row[1] == size], dtype=np.int64))
+        for size in sorted({row[1] for row in rows})
+    }
     # the entry of size 0 meets the one marker of each text, so that every text is returned
     marker = (0, 0, -1, 0, 1, "", False)
     templates = F.broadcast(spark.createDataFrame([marker, *rows], _TEMPLATE))
-    schema = "doc_id long, n_words long, " + ", ".join(f"values{k} array<long>" for k in sizes)
-    rolled = (
+    votes = (
         documents.select(
             F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
         )
-        .mapInArrow(partial(_rolled, sizes=sizes), schema)
+        .mapInArrow(partial(_rolled, templates=hashes), _HITS)
         .withColumn("row", F.monotonically_increasing_id())
-    )
-    every = F.array(
-        F.struct(F.lit(0).alias("size"), F.array(F.lit(0).cast("long")).alias("values")),
-        *[F.struct(F.lit(k).alias("size"), F.col(f"values{k}").alias("values")) for k in sizes],
-    )
-    votes = (
-        rolled.select("row", "doc_id", "n_words", F.explode(every).alias("e"))
-        .select("row", "doc_id", "n_words", "e.size", F.posexplode("e.values").alias("pos", "value"))
+        .select("row", "doc_id", "n_words", F.inline("hits"))
         .join(templates, ["value", "size"])
     )
     # a hit stands for the words it covers; those of one diagonal are bits, a few long values
