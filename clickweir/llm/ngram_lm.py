@@ -12,7 +12,7 @@ next shorter order, down to single words. N-grams that begin a text have nothing
 them; they keep their own count at every order. All the rest of the model is a few totals
 for each order.
 
-Scoring: workers map the shards' files into memory and search them for the sorted n-grams
+Scoring: workers map the shards' files into memory and search them for the n-grams
 of a portion of text at a time, so a worker's memory does not grow with the model.
 
 What is stored and sent is kept small, for it is many times the texts: sorted n-grams are
@@ -80,8 +80,8 @@ def _firsts(keys: np.ndarray) -> np.ndarray:
 
 def _runs(shard: np.ndarray, shards: int):
     """(shard, indices) for every shard that occurs; the indices in order."""
-    order = np.argsort(shard, kind="stable")
-    edges = np.searchsorted(shard[order], np.arange(shards + 1))
+    order = np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable")
+    edges = np.append(0, np.cumsum(np.bincount(shard, minlength=shards)))
     for number in np.flatnonzero(np.diff(edges)).tolist():
         yield number, order[edges[number] : edges[number + 1]]
 
@@ -307,6 +307,7 @@ def _mapped(folder: str, name: str, kinds: list[str]) -> list[np.ndarray]:
                 whole = np.memmap(local, dtype=np.uint8, mode="r")
             finally:
                 os.unlink(local)
+        whole = whole.view(np.ndarray)  # slices of a memmap cost more than they hold
         lengths = np.frombuffer(whole[: 8 * len(kinds)], dtype=np.int64)
         at, arrays = 8 * len(kinds), []
         for kind, length in zip(kinds, lengths.tolist()):
@@ -602,15 +603,14 @@ def _of_grams(model: NgramModel, words: np.ndarray):
     """Counts of n-grams less the discounts, total counts behind their contexts, and the shares
     taken off there."""
     cuts = model.discounts[len(words) - 1]
-    keys, first, place = np.unique(_keys(words), return_index=True, return_inverse=True)
-    words = words[:, first]
-    counts, behind = np.zeros(len(keys), dtype=np.int64), np.zeros((4, len(keys)), dtype=np.int64)
+    size = words.shape[1]
+    counts, seen, off = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64), np.zeros(size)
     shards, kinds = model.vocabulary.shards, _gram_file(len(words))
     for number, own in _runs(_shard_of(words[:-1], shards), shards):
         if file := _shard(model.vocabulary, f"grams{len(words)}", number, kinds):
-            counts[own], behind[:, own] = _in_tree(file, words[:, own])
-    seen, back = behind[0], np.dot(cuts, behind[1:]) / np.maximum(behind[0], 1)
-    return np.maximum(_discounted(counts, cuts), 0)[place], seen[place], back[place]
+            counts[own], behind = _in_tree(file, np.take(words, own, axis=1))
+            seen[own], off[own] = behind[0], np.dot(cuts, behind[1:])
+    return np.maximum(_discounted(counts, cuts), 0), seen, off / np.maximum(seen, 1)
 
 
 def _probabilities(model: NgramModel, hashes: np.ndarray, place: np.ndarray):
